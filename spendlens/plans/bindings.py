@@ -98,10 +98,10 @@ VIEWS = {
     "li": """
         SELECT l.l_orderkey * 8 + l.l_linenumber AS line_id, l.l_orderkey AS transaction_id,
                o.o_custkey AS tokenized_cardmember_id, l.l_suppkey AS merchant_id, l.l_suppkey AS offer_id,
-               p.p_type AS campaign_id, CAST(date_trunc('month', l.l_shipdate) AS DATE) AS transaction_date,
+               p.p_type AS campaign_id, make_date(year(CAST(l.l_shipdate AS DATE)), month(CAST(l.l_shipdate AS DATE)), 1)
+                 AS transaction_date,
                l.l_shipdate AS ship_time, l.l_extendedprice AS transaction_amount,
-               CAST(round(CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(l.l_discount AS DECIMAL(9,4)), 2) AS DOUBLE)
-                 AS calculated_reward_amount,
+               CAST(floor(l.l_extendedprice * l.l_discount) AS DOUBLE) AS calculated_reward_amount,
                l.l_returnflag, l.l_linestatus,
                CASE WHEN o.o_custkey % 10 < 7 THEN 'test' WHEN o.o_custkey % 10 < 9 THEN 'control'
                     ELSE 'holdout' END AS assignment_group

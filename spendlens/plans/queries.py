@@ -837,8 +837,8 @@ def score_minmax(d):
 
 @query("""SELECT campaign_id, count(*) AS transaction_count,
        CAST(sum(CAST(transaction_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_spend,
-       CAST(round(sum(CAST(transaction_amount AS DECIMAL(18,2))) * 1000000 // count(*) / 1000000.0, 2) AS DOUBLE)
-         AS avg_transaction_amount,
+       CAST((CAST(sum(CAST(transaction_amount AS DECIMAL(18,2))) * 200 AS BIGINT) + count(*)) // (2 * count(*)) AS DOUBLE)
+         / 100 AS avg_transaction_amount,
        min(transaction_amount) AS min_transaction_amount, max(transaction_amount) AS max_transaction_amount
        FROM {li} GROUP BY 1""")
 def category_spend(d):
@@ -912,8 +912,8 @@ def risk_event_status(d):
 
 
 @query("""SELECT tokenized_cardmember_id, CASE WHEN historical_transaction_count_90d > 0 THEN
-       CAST(round(CAST(historical_spend_90d AS DECIMAL(18,2)) * 1000000 // historical_transaction_count_90d
-            / 1000000.0, 2) AS DOUBLE) END AS average_ticket_size,
+       CAST((CAST(CAST(historical_spend_90d AS DECIMAL(18,2)) * 200 AS BIGINT) + historical_transaction_count_90d)
+            // (2 * historical_transaction_count_90d) AS DOUBLE) / 100 END AS average_ticket_size,
        greatest(0.05, least(0.80, balance / 10000)) AS clamped_rate FROM {card}""")
 def average_ticket(d):
     out = derive(d.card, {
