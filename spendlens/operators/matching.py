@@ -130,91 +130,124 @@ def matched_rows(pairs: DataFrame, run_id: str, policy: str = "flat") -> DataFra
     ).select(*[c for c in MATCHED_COLUMNS if c != "match_deduplication_reason"])
 
 
-def best_per_transaction(matches: DataFrame, within: Sequence[str] = ()) -> DataFrame:
-    """Highest reward, then earliest activation, then offer id, then activation id.
-
-    `within` names columns that are a function of the transaction and on which the input is
-    already hash partitioned; the ranking then reuses that partitioning instead of shuffling.
-    """
-    window = Window.partitionBy(*within, "transaction_id").orderBy(
+def best_per_transaction(matches: DataFrame) -> DataFrame:
+    """Highest reward, then earliest activation, then offer id, then activation id."""
+    window = Window.partitionBy("transaction_id").orderBy(
         F.desc("calculated_reward_amount"), "activation_timestamp", "offer_id", "activation_id"
     )
     top = matches.withColumn(RANK, F.row_number().over(window)).filter(F.col(RANK) == 1).drop(RANK)
     return top.withColumn("match_deduplication_reason", F.lit(CHOICE_REASON))
 
 
-def deciding_windows(act: DataFrame) -> DataFrame:
+def _slice(df: DataFrame, column: str, seconds: int) -> Column:
+    """Number of the time slice of a timestamp; slices follow the order of the timestamps.
+
+    Zoneless timestamps are numbered on the wall clock, instants in UTC, so a change of clocks
+    can never put a later timestamp into an earlier slice.
+    """
+    at = F.col(column)
+    if isinstance(df.schema[column].dataType, TimestampNTZType):
+        clock = F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
+        return F.floor((F.unix_date(at.cast("date")).cast("bigint") * 86400 + clock) / seconds)
+    return F.floor(F.unix_seconds(at) / seconds)
+
+
+def deciding_windows(act: DataFrame, slice_seconds: int = 3600) -> DataFrame:
     """Cut the activations of each (card, offer) into disjoint windows in which each one decides.
 
     All activations of one offer pay the same reward, so the earliest one that covers a purchase
     wins. An activation therefore decides only after the latest expiry among those before it;
-    one that never does is dropped. Afterwards a transaction meets at most one activation per
-    offer, which replaces all pairs of a busy card and merchant.
+    one that never does is dropped. What remains has strictly increasing expiries.
 
-    The running maximum has two levels: within a day, and over the daily maxima. No task has to
-    hold more than one day of a (card, offer), and the second level sees one row per day.
+    The running maximum has two levels: within a time slice, and over the maxima of the slices.
+    No task has to hold more than one slice of a (card, offer), and the second level sees one
+    row per slice.
     """
     group = ["tokenized_cardmember_id", "offer_id"]
-    dated = act.withColumn("__day", F.col("activation_timestamp").cast("date"))
-    daily = dated.groupBy(*group, "__day").agg(F.max("offer_expiry_timestamp").alias("__max"))
-    before = Window.partitionBy(*group).orderBy("__day").rowsBetween(Window.unboundedPreceding, -1)
-    carried = daily.select(*group, "__day", F.max("__max").over(before).alias("__carried"))
-    in_day = (
-        Window.partitionBy(*group, "__day")
+    sliced = act.withColumn("__slice", _slice(act, "activation_timestamp", slice_seconds))
+    maxima = sliced.groupBy(*group, "__slice").agg(F.max("offer_expiry_timestamp").alias("__max"))
+    before = Window.partitionBy(*group).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = maxima.select(*group, "__slice", F.max("__max").over(before).alias("__carried"))
+    inside = (
+        Window.partitionBy(*group, "__slice")
         .orderBy("activation_timestamp", "activation_id")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     covered = (
-        dated.withColumn("__covered", F.max("offer_expiry_timestamp").over(in_day))
-        .join(carried, [*group, "__day"])
+        sliced.withColumn("__covered", F.max("offer_expiry_timestamp").over(inside))
+        .join(carried, [*group, "__slice"])
         .withColumn("decides_after", F.greatest("__covered", "__carried"))
     )
     decides = F.col("decides_after").isNull() | (F.col("decides_after") < F.col("offer_expiry_timestamp"))
-    return covered.filter(decides).drop("__day", "__covered", "__carried")
+    return covered.filter(decides).drop("__slice", "__covered", "__carried")
 
 
-def _day_number(df: DataFrame, column: str) -> Column:
-    """Days since the epoch, on the wall clock for zoneless timestamps and in UTC for instants."""
-    if isinstance(df.schema[column].dataType, TimestampNTZType):
-        return F.unix_date(F.col(column).cast("date"))
-    return F.floor(F.unix_seconds(F.col(column)) / 86400).cast("int")
+def _same_clock(tx: DataFrame, act: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Zoneless timestamps and instants cannot be ordered together: cast both sides to instants."""
+    if tx.schema["transaction_timestamp"].dataType == act.schema["activation_timestamp"].dataType:
+        return tx, act
+    ends = ("activation_timestamp", "offer_expiry_timestamp")
+    return (
+        tx.withColumn("transaction_timestamp", F.col("transaction_timestamp").cast("timestamp")),
+        act.withColumns({c: F.col(c).cast("timestamp") for c in ends}),
+    )
+
+
+def purchases_per_offer(tx: DataFrame, act: DataFrame, terms: Sequence[str]) -> DataFrame:
+    """Each transaction once per offer its card has activated at its merchant and whose minimum it meets."""
+    offered = act.select("tokenized_cardmember_id", "merchant_id", "offer_id", *terms).distinct()
+    return tx.select(*TX_NEEDED).join(offered, ["tokenized_cardmember_id", "merchant_id"]).filter(
+        F.col("transaction_amount") >= F.col("minimum_spend_amount")
+    )
+
+
+def _slices(df: DataFrame, first: str, last: str, seconds: int) -> Column:
+    return F.explode(F.sequence(_slice(df, first, seconds), _slice(df, last, seconds)))
+
 
+def choose(tx: DataFrame, act: DataFrame, policy: str = "flat", slice_days: int = 7) -> DataFrame:
+    """The best pair of each transaction, found by sorting instead of by building all pairs.
 
-def choose(tx: DataFrame, act: DataFrame, policy: str = "flat", bucket_days: int = 7) -> DataFrame:
-    """The best pair of each transaction, without building all pairs first.
+    1. Each transaction meets the distinct offers its card has activated at its merchant: at most
+       one row per offer, however many activations there are.
+    2. For each of them the deciding activation is the first window that ends at or after the
+       purchase, if it had begun by then. Purchases and windows are stacked and sorted by time;
+       a window is repeated in every time slice it touches, so that the slices of a (card, offer)
+       are independent and a busy one is spread over many tasks.
+    3. The best offer per transaction is ranked, after a map-side limit of one row each.
 
-    Deciding windows are laid over time buckets of `bucket_days`; the bucket joins card and
-    merchant as a third equi key, so a card and merchant with a large part of all rows is spread
-    over as many tasks as it has buckets. Transactions must be unique by id (clean tables are):
-    then one bucket holds all candidates of a transaction and ranking needs no further shuffle.
+    Every step is linear in its rows apart from sorting; no step compares all transactions of a
+    card and merchant with all of its activations.
     """
-    if tx.schema["transaction_timestamp"].dataType != act.schema["activation_timestamp"].dataType:
-        tx = tx.withColumn("transaction_timestamp", F.col("transaction_timestamp").cast("timestamp"))
-        act = act.withColumns(
-            {c: F.col(c).cast("timestamp") for c in ("activation_timestamp", "offer_expiry_timestamp")}
-        )
+    tx, act = _same_clock(tx, act)
+    seconds = slice_days * 86400
+    group = ["tokenized_cardmember_id", "offer_id"]
+    terms = ["campaign_id", "reward_amount", "minimum_spend_amount", *(c for c in PERCENT_NEEDED if c in act.columns)]
+    asked = purchases_per_offer(tx, act, terms)
     windows = deciding_windows(act)
-    start = F.greatest("activation_timestamp", "decides_after")
-    windows = windows.withColumn("__start", start)
-    first, last = _day_number(windows, "__start"), _day_number(windows, "offer_expiry_timestamp")
-    spread = windows.withColumn(
-        "time_bucket",
-        F.explode(F.sequence(F.floor(first / bucket_days), F.floor(last / bucket_days))),
-    ).drop("__start")
-    placed = tx.withColumn("time_bucket", F.floor(_day_number(tx, "transaction_timestamp") / bucket_days))
-
-    keys = ["tokenized_cardmember_id", "merchant_id", "time_bucket"]
-    same = [F.col(f"tx.{k}") == F.col(f"act.{k}") for k in keys]
-    decides = F.col("act.decides_after").isNull() | (
-        F.col("tx.transaction_timestamp") > F.col("act.decides_after")
+    windows = windows.withColumn("__from", F.greatest("activation_timestamp", "decides_after"))
+    window = F.struct("activation_id", "activation_timestamp", "offer_expiry_timestamp")
+    purchase = [c for c in TX_NEEDED if c not in group] + terms
+    stacked = asked.select(
+        *group, _slice(asked, "transaction_timestamp", seconds).alias("__slice"),
+        F.col("transaction_timestamp").alias("__at"), F.struct(*purchase).alias("__tx"),
+    ).unionByName(
+        windows.select(
+            *group, _slices(windows, "__from", "offer_expiry_timestamp", seconds).alias("__slice"), F.col("offer_expiry_timestamp").alias("__at"),
+            window.alias("__window"),
+        ),
+        allowMissingColumns=True,
     )
-    pairs = (
-        placed.alias("tx")
-        .join(spread.alias("act"), same[0] & same[1] & same[2] & _qualifies() & decides)
-        .select(*_pair_columns(act), "tx.time_bucket")
+    # Backwards in time; at the same instant the window comes first, because its end is inclusive.
+    backwards = (
+        Window.partitionBy(*group, "__slice")
+        .orderBy(F.desc("__at"), F.col("__window").isNull())
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    best = best_per_transaction(with_reward(pairs, policy), within=keys)
-    return best.drop("time_bucket")
+    ending = stacked.withColumn("__next", F.last("__window", ignorenulls=True).over(backwards))
+    begun = F.col("__tx").isNotNull() & (F.col("__next.activation_timestamp") <= F.col("__at"))
+    pairs = ending.filter(begun).select(*group, "__tx.*", "__next.*")
+    return best_per_transaction(with_reward(pairs, policy))
 
 
 def match_redemptions(
@@ -227,22 +260,48 @@ def match_redemptions(
     return rows.withColumn("match_deduplication_reason", F.lit(CHOICE_REASON)).select(*MATCHED_COLUMNS)
 
 
-def first_redemption(transactions: DataFrame, activations: DataFrame, offers: DataFrame) -> DataFrame:
+def first_redemption(
+    transactions: DataFrame, activations: DataFrame, offers: DataFrame, slice_days: int = 7
+) -> DataFrame:
     """Redemption fact: the first settled transaction that qualifies for each activation.
 
-    Earliest time, then lowest id. The choice is an aggregate with map-side combining, so a hot
-    activation is reduced before the shuffle.
+    Earliest time, then lowest id. Found by sorting like `choose`: in every time slice it touches
+    an activation sees the first purchase at or after its start, and the earliest over its slices
+    counts, through an aggregate with map-side combining.
     """
+    seconds, group = slice_days * 86400, ["tokenized_cardmember_id", "offer_id"]
     settled = transactions.filter("transaction_status = 'settled'").select(*TX_NEEDED)
     rules = offers.select(*RULE_NEEDED, *PERCENT_NEEDED)
     act = activation_offers(activations.select(*ACT_NEEDED), rules)
-    pick = F.min(F.struct("transaction_timestamp", "transaction_id", "transaction_date", "transaction_amount"))
-    first = candidates(settled, act).groupBy(
-        "activation_id", "tokenized_cardmember_id", "merchant_id", "offer_id", "campaign_id",
-        "reward_amount", *PERCENT_NEEDED,
-    ).agg(pick.alias("t"))
-    flat = first.select("*", "t.transaction_id", "t.transaction_timestamp", "t.transaction_date",
-                        "t.transaction_amount").drop("t")
+    settled, act = _same_clock(settled, act)
+    act = act.filter(F.col("offer_expiry_timestamp") >= F.col("activation_timestamp"))
+
+    asked = purchases_per_offer(settled, act, ["minimum_spend_amount"])
+    purchase = F.struct("transaction_timestamp", "transaction_id", "transaction_date", "transaction_amount")
+    own = ["activation_id", "merchant_id", "campaign_id", "reward_amount", *PERCENT_NEEDED, "offer_expiry_timestamp"]
+    stacked = asked.select(
+        *group, _slice(asked, "transaction_timestamp", seconds).alias("__slice"),
+        F.col("transaction_timestamp").alias("__at"), purchase.alias("__tx"),
+    ).unionByName(
+        act.select(
+            *group, _slices(act, "activation_timestamp", "offer_expiry_timestamp", seconds).alias("__slice"),
+            F.col("activation_timestamp").alias("__at"), F.struct(*own).alias("__act"),
+        ),
+        allowMissingColumns=True,
+    )
+    # Backwards in time; at the same instant purchases come first (highest id first), then activations.
+    backwards = (
+        Window.partitionBy(*group, "__slice")
+        .orderBy(F.desc("__at"), F.col("__tx").isNull(), F.desc("__tx.transaction_id"))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    following = stacked.withColumn("__next", F.last("__tx", ignorenulls=True).over(backwards))
+    in_time = F.col("__act").isNotNull() & (
+        F.col("__next.transaction_timestamp") <= F.col("__act.offer_expiry_timestamp")
+    )
+    first = following.filter(in_time).select(*group, "__act.*", "__next").drop("offer_expiry_timestamp")
+    keys = [*group, *(c for c in own if c != "offer_expiry_timestamp")]
+    flat = first.groupBy(*keys).agg(F.min("__next").alias("t")).select(*keys, "t.*")
     return derive(flat, {"calculated_reward_amount": reward_amount()}).select(
         F.concat(F.lit("red_"), F.col("activation_id").cast("string")).alias("redemption_id"),
         "transaction_id", "activation_id", "tokenized_cardmember_id", "offer_id", "campaign_id", "merchant_id",
@@ -250,3 +309,39 @@ def first_redemption(transactions: DataFrame, activations: DataFrame, offers: Da
         F.col("transaction_date").alias("redemption_date"),
         "transaction_amount", "calculated_reward_amount", F.lit("qualified").alias("redemption_status"),
     )
+
+
+def candidate_counts(tx: DataFrame, act: DataFrame, slice_days: int = 7) -> DataFrame:
+    """How many pairs `candidates` has per transaction and offer, without building them.
+
+    Per (card, offer) and time slice the live activations are a running sum: plus one where one
+    begins, minus one after one has ended.
+    """
+    tx, act = _same_clock(tx, act)
+    seconds, group = slice_days * 86400, ["tokenized_cardmember_id", "offer_id"]
+    act = act.filter(F.col("offer_expiry_timestamp") >= F.col("activation_timestamp"))
+    asked = purchases_per_offer(tx, act, ["minimum_spend_amount"])
+    end = F.col("offer_expiry_timestamp")
+
+    def event(df: DataFrame, at: Column, slice_number: Column, turn: int, change: int, key: Column) -> DataFrame:
+        return df.select(
+            *group, slice_number.alias("__slice"), at.alias("__at"), F.lit(turn).alias("__turn"),
+            F.lit(change).alias("__change"), key.alias("transaction_id"),
+        )
+
+    none = F.lit(None).cast(tx.schema["transaction_id"].dataType)
+    touched = _slices(act, "activation_timestamp", "offer_expiry_timestamp", seconds)
+    events = (
+        event(act, F.col("activation_timestamp"), touched, 0, 1, none)
+        .unionByName(event(asked, F.col("transaction_timestamp"), _slice(asked, "transaction_timestamp", seconds), 1, 0,
+                           F.col("transaction_id")))
+        .unionByName(event(act, end, _slice(act, "offer_expiry_timestamp", seconds), 2, -1, none))
+    )
+    so_far = (
+        Window.partitionBy(*group, "__slice").orderBy("__at", "__turn")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    live = events.withColumn("candidate_count", F.sum("__change").over(so_far))
+    return live.filter((F.col("__turn") == 1) & (F.col("candidate_count") > 0)).select(
+        "transaction_id", "offer_id", "candidate_count"
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import derive, money_sum
-from .matching import candidates
+from .matching import candidate_counts
 
 
 def value_distribution(df: DataFrame, column: str) -> DataFrame:
@@ -91,7 +91,8 @@ def range_counters(df: DataFrame, conditions: Mapping[str, str]) -> DataFrame:
 def join_safety(tx: DataFrame, act: DataFrame, act_offers: DataFrame) -> DataFrame:
     """Is the transaction-to-offer join safe? Input sizes, candidate counts and expansion ratios.
 
-    Candidates are counted, never collected; both ratios come out of one row of counters.
+    The candidates are counted from running sums, so the profile stays cheap on exactly the data
+    for which the pair join would explode.
     """
     def one(df: DataFrame, name: str) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
@@ -99,7 +100,11 @@ def join_safety(tx: DataFrame, act: DataFrame, act_offers: DataFrame) -> DataFra
     sizes = (
         one(tx, "transactions").unionByName(one(act, "activations"))
         .unionByName(one(act_offers, "activation_offers"))
-        .unionByName(one(candidates(tx, act_offers), "candidates"))
+        .unionByName(
+            candidate_counts(tx, act_offers)
+            .agg(F.coalesce(F.sum("candidate_count"), F.lit(0)).alias("n"))
+            .select(F.lit("candidates").alias("name"), "n")
+        )
     )
     names = ("transactions", "activations", "activation_offers", "candidates")
     wide = sizes.agg(*(F.max(F.when(F.col("name") == n, F.col("n"))).alias(n) for n in names))

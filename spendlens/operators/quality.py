@@ -219,33 +219,26 @@ def check_cannibalization(df: DataFrame, checks: Sequence[Check] = CANNIBALIZATI
 def check_scd(scd: DataFrame, spec: ScdSpec) -> DataFrame:
     """Version table checks: required values, intervals, exactly one open version per key, unique ids.
 
-    Keys without any open version are counted as well. Ids hash the business key, so a repeated
-    id always repeats within one key and both uniqueness checks share one grouping by key and id.
+    Keys without any open version are counted as well.
     """
-    per_id = scd.groupBy(spec.key, "surrogate_scd_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.expr(nulls(
-            "surrogate_scd_id", spec.key, "effective_start_date", "is_current", "scd_record_hash",
-            "scd_pipeline_run_id", "scd_rule_version", "scd_created_at", "scd_updated_at"))).alias("null_required"),
+    required = nulls(
+        "surrogate_scd_id", spec.key, "effective_start_date", "is_current", "scd_record_hash",
+        "scd_pipeline_run_id", "scd_rule_version", "scd_created_at", "scd_updated_at")
+    per_key = scd.groupBy(spec.key).agg(
+        F.count_if(F.expr(required)).alias("null_required"),
         F.count_if(F.expr("effective_end_date < effective_start_date")).alias("end_before_start"),
-        F.count_if(F.expr("is_current AND effective_end_date IS NOT NULL")).alias("current_with_end"),
+        F.count_if(F.expr("is_current AND effective_end_date IS NOT NULL")).alias("current_with_end_date"),
         F.count_if("is_current").alias("open"),
     )
-    per_key = per_id.groupBy(spec.key).agg(
-        F.count_if(F.col("n") > 1).alias("duplicate_surrogate"),
-        *(F.sum(c).alias(c) for c in ("null_required", "end_before_start", "current_with_end", "open")),
-    )
+    summed = ("null_required", "end_before_start", "current_with_end_date")
     totals = per_key.agg(
-        *(F.sum(c).alias(c) for c in ("duplicate_surrogate", "null_required", "end_before_start", "current_with_end")),
-        F.count_if(F.col("open") != 1).alias("not_one_current"),
-    )
-    return as_rows(totals, spec.output, [
-        ("null_required", "null_required", "critical"),
-        ("end_before_start", "end_before_start", "high"),
-        ("current_with_end", "current_with_end_date", "high"),
-        ("not_one_current", "not_exactly_one_current", "critical"),
-        ("duplicate_surrogate", "duplicate_surrogate", "critical"),
-    ])
+        *(F.sum(c).alias(c) for c in summed), F.count_if(F.col("open") != 1).alias("not_exactly_one_current"))
+    ids = scd.groupBy("surrogate_scd_id").agg(F.count(F.lit(1)).alias("n"))
+    repeated = ids.agg(F.count_if(F.col("n") > 1).alias("duplicate_surrogate"))
+    severity = {"end_before_start": "high", "current_with_end_date": "high"}
+    rows = as_rows(totals, spec.output, [
+        (c, c, severity.get(c, "critical")) for c in (*summed, "not_exactly_one_current")])
+    return rows.unionByName(as_rows(repeated, spec.output, [("duplicate_surrogate", "duplicate_surrogate", "critical")]))
 
 
 # --------------------------------------------------------------- keys, relations, money formulas

@@ -53,7 +53,9 @@ VIEWS = {
         SELECT c.c_custkey AS tokenized_cardmember_id, c.c_mktsegment AS segment_id, c.c_nationkey AS location_id,
                coalesce(h.spend, CAST(0 AS DOUBLE)) AS historical_spend_90d,
                coalesce(h.n_orders, 0) AS historical_transaction_count_90d,
-               c.c_acctbal AS balance, c.c_acctbal >= 0 AS is_test_eligible, c.c_acctbal < 9000 AS is_control_eligible
+               c.c_acctbal AS balance, c.c_acctbal >= 0 AS is_test_eligible, c.c_acctbal < 9000 AS is_control_eligible,
+               CASE WHEN c.c_custkey % 10 < 7 THEN 'test' WHEN c.c_custkey % 10 < 9 THEN 'control' ELSE 'holdout' END
+                 AS assignment_group
         FROM {customer} c LEFT JOIN {order_history} h ON c.c_custkey = h.o_custkey""",
     "consent": """
         SELECT c_custkey AS consent_id, c_custkey AS tokenized_cardmember_id,

@@ -434,6 +434,11 @@ def deciding_windows(d):
         "decides_after")
 
 
+@query("SELECT transaction_id, offer_id, count(*) AS candidate_count FROM {pairs} GROUP BY ALL")
+def candidate_counts(d):
+    return matching.candidate_counts(*ready(d))
+
+
 @query("SELECT * FROM {redeemed}")
 def first_redemption(d):
     return matching.first_redemption(d.tx, d.act, d.offer)
@@ -1416,7 +1421,7 @@ def outliers(d):
 TOLERANCES = {"historical_spend_90d": 4_000_000.0, "historical_transaction_count_90d": 16.0, "balance": 16_000.0}
 
 
-def positioned(where: str, prefix: str) -> str:
+def positioned(where: str) -> str:
     steps = ", ".join(f"floor({f} / {w * 0.25}) AS b{i}" for i, (f, w) in enumerate(TOLERANCES.items()))
     return f"""SELECT *, row_number() OVER (PARTITION BY segment_id, b0, b1, b2
        ORDER BY tokenized_cardmember_id % 64, tokenized_cardmember_id) AS position
@@ -1426,9 +1431,8 @@ def positioned(where: str, prefix: str) -> str:
 @query(f"""SELECT t.segment_id, t.tokenized_cardmember_id AS test_tokenized_cardmember_id,
        c.tokenized_cardmember_id AS control_tokenized_cardmember_id,
        1.0 - ({' + '.join(f'abs(t.{f} - c.{f}) / {w}' for f, w in TOLERANCES.items())}) / 3 AS match_quality_score
-       FROM ({positioned('tokenized_cardmember_id % 10 < 7', 't')}) t
-       JOIN ({positioned('tokenized_cardmember_id % 10 IN (7, 8)', 'c')}) c USING (segment_id, b0, b1, b2, position)""")
+       FROM ({positioned("assignment_group = 'test'")}) t
+       JOIN ({positioned("assignment_group = 'control'")}) c USING (segment_id, b0, b1, b2, position)""")
 def control_matching(d):
-    group = F.col("tokenized_cardmember_id") % 10
-    return experiment.match_controls(
-        d.card.filter(group < 7), d.card.filter(group.isin(7, 8)), ["segment_id"], TOLERANCES)
+    test, control = d.card.filter("assignment_group = 'test'"), d.card.filter("assignment_group = 'control'")
+    return experiment.match_controls(test, control, ["segment_id"], TOLERANCES)
