@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import derive, money_sum
@@ -20,6 +20,13 @@ PII_PATTERNS = {
     "person_name": "(Mr|Mrs|Ms|Dr)[.]? [A-Z][a-z]+( [A-Z][a-z]+)?",
     "street_address": "[0-9]{1,5} [A-Z][a-z]+( [A-Z][a-z]+)? (Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Drive|Dr)",
 }
+# A cheap pattern that every match of the full one contains; rows without it are not searched further.
+PII_GATES = {"email_address": "@", "phone_number": "[0-9]{3}[ .-][0-9]{4}"}
+
+
+def _gated(text: Column, kind: str, search: Column, nothing: Column) -> Column:
+    gate = PII_GATES.get(kind)
+    return F.when(text.rlike(gate), search).otherwise(nothing) if gate else F.coalesce(search, nothing)
 
 
 def cohort_lift(test: DataFrame, control: DataFrame, grain: Sequence[str], min_cohort: int = MIN_COHORT) -> DataFrame:
@@ -98,7 +105,7 @@ def column_gate(df: DataFrame) -> DataFrame:
 def pii_scan(df: DataFrame, columns: Sequence[str], patterns: dict[str, str] = PII_PATTERNS) -> DataFrame:
     """Matches and affected rows per text column and kind of personal data, in one pass."""
     hits = {
-        f"{c}|{kind}": F.coalesce(F.regexp_count(F.col(c), F.lit(pattern)), F.lit(0))
+        f"{c}|{kind}": _gated(F.col(c), kind, F.regexp_count(F.col(c), F.lit(pattern)), F.lit(0))
         for c in columns
         for kind, pattern in patterns.items()
     }
@@ -123,7 +130,8 @@ def pii_quotes(df: DataFrame, key: str, column: str, patterns: dict[str, str] =
     """Every match with its row: what was found, of which kind, where."""
 
     def quotes(kind: str, pattern: str):
-        hits = F.regexp_extract_all(F.col(column), F.lit(pattern), F.lit(0))
+        none = F.array().cast("array<string>")
+        hits = _gated(F.col(column), kind, F.regexp_extract_all(F.col(column), F.lit(pattern), F.lit(0)), none)
         return F.transform(hits, lambda q: F.struct(F.lit(kind).alias("info_type"), q.alias("quote")))
 
     found = [quotes(kind, pattern) for kind, pattern in patterns.items()]
