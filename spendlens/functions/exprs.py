@@ -29,8 +29,9 @@ def derive(df: DataFrame, formulas: Mapping[str, str]) -> DataFrame:
     metrics stays one analysis step and collapses into a single codegen stage. A formula named
     like an existing column replaces it (and therefore cannot read the old value).
     """
-    kept = [c for c in df.columns if c not in formulas]
-    return df.select(*kept, *(F.expr(sql).alias(name) for name, sql in formulas.items()))
+    replaced = [c for c in df.columns if c in formulas]
+    kept = f"* EXCEPT ({', '.join(replaced)})" if replaced else "*"
+    return df.selectExpr(kept, *(f"{sql} AS {name}" for name, sql in formulas.items()))
 
 
 def case(rules: Iterable[tuple[str, str]], default: str) -> str:
@@ -111,10 +112,7 @@ def lowered_in(column: str, values: Sequence[str]) -> Column:
 
 def present(*columns: str) -> Column:
     """True where none of the columns is null."""
-    cond = F.lit(True)
-    for name in columns:
-        cond = cond & F.col(name).isNotNull()
-    return cond
+    return F.expr(" AND ".join(f"{name} IS NOT NULL" for name in columns))
 
 
 def require(df: DataFrame, columns: Iterable[str], what: str) -> DataFrame:

@@ -43,8 +43,8 @@ def small_side(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
 
 def _with_status(df: DataFrame, needed: Sequence[str], status: str, values: Sequence[str]) -> DataFrame:
     if status not in df.columns:
-        return df.select(*needed)
-    return df.filter(lowered_in(status, values)).select(*needed, status)
+        return df.selectExpr(*needed)
+    return df.filter(lowered_in(status, values)).selectExpr(*needed, status)
 
 
 def match_ready_transactions(tx: DataFrame, statuses: Sequence[str] = TRANSACTION_STATUSES) -> DataFrame:

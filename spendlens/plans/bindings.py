@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 RAW = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
@@ -164,6 +165,16 @@ VIEWS = {
 _REF = re.compile(r"{([a-z]\w*)}")
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """Scan with the schema found on the first read, which saves a footer job on each later one."""
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
 class Domain:
     """Lazy access to the raw tables and views of one data folder."""
 
@@ -177,7 +188,7 @@ class Domain:
             raise AttributeError(name)
         if name not in self._made:
             if name in RAW:
-                self._made[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+                self._made[name] = read_parquet(self.spark, f"{self.folder}/{name}.parquet")
             elif name in VIEWS:
                 refs = dict.fromkeys(_REF.findall(VIEWS[name]))
                 self._made[name] = self.spark.sql(VIEWS[name], **{r: getattr(self, r) for r in refs})
