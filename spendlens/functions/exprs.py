@@ -6,6 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 # Sums of money are taken over whole ten-thousandths held in a bigint: exact, independent of the
 # order in which partitions are merged, and cheaper than a 28-digit decimal aggregation buffer.
@@ -132,3 +133,16 @@ def stamp(df: DataFrame, prefix: str, rule_version: str, run_id: str) -> DataFra
             f"{prefix}_created_at": F.current_timestamp(),
         }
     )
+
+
+def time_slice(df: DataFrame, column: str, seconds: int) -> Column:
+    """Number of the time slice of a timestamp; slices follow the order of the timestamps.
+
+    Zoneless timestamps are numbered on the wall clock, instants in UTC, so a change of clocks
+    can never put a later timestamp into an earlier slice.
+    """
+    at = F.col(column)
+    if isinstance(df.schema[column].dataType, TimestampNTZType):
+        clock = F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
+        return F.floor((F.unix_date(at.cast("date")).cast("bigint") * 86400 + clock) / seconds)
+    return F.floor(F.unix_seconds(at) / seconds)

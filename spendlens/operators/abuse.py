@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import derive, prefixed_hash, ratio_pos
+from ..functions.exprs import derive, prefixed_hash, ratio_pos, time_slice
 from ..functions.rules import risk_event_status
 from .cleaning import first_per_key
 from .matching import small_side
@@ -41,14 +41,15 @@ def redemption_velocity(
     large part of all rows is spread over as many tasks as it has slices; context rows are
     dropped afterwards.
     """
-    width = window_seconds * 1_000_000
-    micros = F.unix_micros(F.col(time).cast("timestamp"))
-    own = F.floor(micros / width)
-    sliced = events.select(card, key, time, micros.alias("__at"), own.alias("__own")).withColumn(
+    own = time_slice(events, time, window_seconds)
+    sliced = events.select(card, key, time, own.alias("__own")).withColumn(
         "__slice", F.explode(F.array(F.col("__own"), F.col("__own") + 1))
     )
-    trailing = Window.partitionBy(card, "__slice").orderBy("__at").rangeBetween(-width, 0)
-    counted = sliced.withColumn("events_in_window", F.count(F.lit(1)).over(trailing))
+    trailing = F.expr(
+        f"count(1) OVER (PARTITION BY {card}, __slice ORDER BY {time} "
+        f"RANGE BETWEEN INTERVAL '{window_seconds}' SECOND PRECEDING AND CURRENT ROW)"
+    )
+    counted = sliced.withColumn("events_in_window", trailing)
     hits = (F.col("__slice") == F.col("__own")) & (F.col("events_in_window") >= threshold)
     return counted.filter(hits).select(card, key, time, "events_in_window")
 

@@ -6,9 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType
 
-from ..functions.exprs import derive, lowered_in, prefixed_hash, present, require
+from ..functions.exprs import derive, lowered_in, prefixed_hash, present, require, time_slice
 from ..functions.rules import reward_amount
 from ..sources.contracts import MATCH_RULES, MATCHED_COLUMNS
 from .cleaning import RANK, first_per_key
@@ -77,6 +76,14 @@ def activation_offers(act: DataFrame, rules: DataFrame) -> DataFrame:
     )
 
 
+def activation_terms(act: DataFrame, offers: DataFrame) -> DataFrame:
+    """Every activation with the reward terms of its offer; activations of unknown offers stay."""
+    wanted = ("offer_type", "minimum_spend_amount", "reward_amount", "reward_multiplier", "max_reward_amount",
+              "offer_status")
+    terms = first_per_key(offers.select("offer_id", *wanted), ["offer_id"])
+    return act.join(small_side(terms), "offer_id", "left")
+
+
 def _qualifies() -> Column:
     at = F.col("tx.transaction_timestamp")
     return (
@@ -98,10 +105,14 @@ def candidates(tx: DataFrame, act: DataFrame, strategy: str | None = None) -> Da
     """Every qualifying (transaction, activation) pair.
 
     Card and merchant are the equi keys, window and minimum spend the residual condition.
-    `strategy` is an optional Spark join hint for the activation side ("broadcast", "merge", ...);
-    without one Catalyst and AQE choose, including the split of skewed partitions.
+    `strategy` is an optional Spark join hint for the activation side ("merge", "shuffle_hash", or
+    "broadcast", which is followed only if that side is small); without one Catalyst and AQE
+    choose, including the split of skewed partitions.
     """
-    right = act.hint(strategy) if strategy else act
+    if strategy == "broadcast":
+        right = small_side(act)
+    else:
+        right = act.hint(strategy) if strategy else act
     same = (F.col("tx.tokenized_cardmember_id") == F.col("act.tokenized_cardmember_id")) & (
         F.col("tx.merchant_id") == F.col("act.merchant_id")
     )
@@ -139,19 +150,6 @@ def best_per_transaction(matches: DataFrame) -> DataFrame:
     return top.withColumn("match_deduplication_reason", F.lit(CHOICE_REASON))
 
 
-def _slice(df: DataFrame, column: str, seconds: int) -> Column:
-    """Number of the time slice of a timestamp; slices follow the order of the timestamps.
-
-    Zoneless timestamps are numbered on the wall clock, instants in UTC, so a change of clocks
-    can never put a later timestamp into an earlier slice.
-    """
-    at = F.col(column)
-    if isinstance(df.schema[column].dataType, TimestampNTZType):
-        clock = F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
-        return F.floor((F.unix_date(at.cast("date")).cast("bigint") * 86400 + clock) / seconds)
-    return F.floor(F.unix_seconds(at) / seconds)
-
-
 def deciding_windows(act: DataFrame, slice_seconds: int = 3600) -> DataFrame:
     """Cut the activations of each (card, offer) into disjoint windows in which each one decides.
 
@@ -164,7 +162,7 @@ def deciding_windows(act: DataFrame, slice_seconds: int = 3600) -> DataFrame:
     row per slice.
     """
     group = ["tokenized_cardmember_id", "offer_id"]
-    sliced = act.withColumn("__slice", _slice(act, "activation_timestamp", slice_seconds))
+    sliced = act.withColumn("__slice", time_slice(act, "activation_timestamp", slice_seconds))
     maxima = sliced.groupBy(*group, "__slice").agg(F.max("offer_expiry_timestamp").alias("__max"))
     before = Window.partitionBy(*group).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = maxima.select(*group, "__slice", F.max("__max").over(before).alias("__carried"))
@@ -201,8 +199,8 @@ def purchases_per_offer(tx: DataFrame, act: DataFrame, terms: Sequence[str]) ->
     )
 
 
-def _slices(df: DataFrame, first: str, last: str, seconds: int) -> Column:
-    return F.explode(F.sequence(_slice(df, first, seconds), _slice(df, last, seconds)))
+def _slices_between(df: DataFrame, first: str, last: str, seconds: int) -> Column:
+    return F.explode(F.sequence(time_slice(df, first, seconds), time_slice(df, last, seconds)))
 
 
 def choose(tx: DataFrame, act: DataFrame, policy: str = "flat", slice_days: int = 7) -> DataFrame:
@@ -229,12 +227,12 @@ def choose(tx: DataFrame, act: DataFrame, policy: str = "flat", slice_days: int
     window = F.struct("activation_id", "activation_timestamp", "offer_expiry_timestamp")
     purchase = [c for c in TX_NEEDED if c not in group] + terms
     stacked = asked.select(
-        *group, _slice(asked, "transaction_timestamp", seconds).alias("__slice"),
+        *group, time_slice(asked, "transaction_timestamp", seconds).alias("__slice"),
         F.col("transaction_timestamp").alias("__at"), F.struct(*purchase).alias("__tx"),
     ).unionByName(
         windows.select(
-            *group, _slices(windows, "__from", "offer_expiry_timestamp", seconds).alias("__slice"), F.col("offer_expiry_timestamp").alias("__at"),
-            window.alias("__window"),
+            *group, _slices_between(windows, "__from", "offer_expiry_timestamp", seconds).alias("__slice"),
+            F.col("offer_expiry_timestamp").alias("__at"), window.alias("__window"),
         ),
         allowMissingColumns=True,
     )
@@ -280,11 +278,11 @@ def first_redemption(
     purchase = F.struct("transaction_timestamp", "transaction_id", "transaction_date", "transaction_amount")
     own = ["activation_id", "merchant_id", "campaign_id", "reward_amount", *PERCENT_NEEDED, "offer_expiry_timestamp"]
     stacked = asked.select(
-        *group, _slice(asked, "transaction_timestamp", seconds).alias("__slice"),
+        *group, time_slice(asked, "transaction_timestamp", seconds).alias("__slice"),
         F.col("transaction_timestamp").alias("__at"), purchase.alias("__tx"),
     ).unionByName(
         act.select(
-            *group, _slices(act, "activation_timestamp", "offer_expiry_timestamp", seconds).alias("__slice"),
+            *group, _slices_between(act, "activation_timestamp", "offer_expiry_timestamp", seconds).alias("__slice"),
             F.col("activation_timestamp").alias("__at"), F.struct(*own).alias("__act"),
         ),
         allowMissingColumns=True,
@@ -330,12 +328,12 @@ def candidate_counts(tx: DataFrame, act: DataFrame, slice_days: int = 7) -> Data
         )
 
     none = F.lit(None).cast(tx.schema["transaction_id"].dataType)
-    touched = _slices(act, "activation_timestamp", "offer_expiry_timestamp", seconds)
+    touched = _slices_between(act, "activation_timestamp", "offer_expiry_timestamp", seconds)
     events = (
         event(act, F.col("activation_timestamp"), touched, 0, 1, none)
-        .unionByName(event(asked, F.col("transaction_timestamp"), _slice(asked, "transaction_timestamp", seconds), 1, 0,
+        .unionByName(event(asked, F.col("transaction_timestamp"), time_slice(asked, "transaction_timestamp", seconds), 1, 0,
                            F.col("transaction_id")))
-        .unionByName(event(act, end, _slice(act, "offer_expiry_timestamp", seconds), 2, -1, none))
+        .unionByName(event(act, end, time_slice(act, "offer_expiry_timestamp", seconds), 2, -1, none))
     )
     so_far = (
         Window.partitionBy(*group, "__slice").orderBy("__at", "__turn")

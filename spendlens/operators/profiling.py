@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,17 @@ def top_keys(df: DataFrame, key: str, limit: int = 10) -> DataFrame:
     return counted.orderBy(F.desc("row_count"), key).limit(limit)
 
 
+def heavy_keys(frames: Mapping[str, tuple[DataFrame, str]], limit: int = 10) -> DataFrame:
+    """Most frequent values of several join keys, stacked under their labels."""
+    parts = [
+        top_keys(df, key, limit).select(
+            F.lit(label).alias("key_name"), F.col(key).cast("string").alias("key_value"), "row_count"
+        )
+        for label, (df, key) in frames.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def top_rows(df: DataFrame, order: Sequence[Column | str], keys: Sequence[str], limit: int) -> DataFrame:
     """First rows of an order, made total by the grain keys (planned as a distributed top-k)."""
     return df.orderBy(*order, *keys).limit(limit)

@@ -54,8 +54,8 @@ def differs(formulas: Mapping[str, str], *columns: str) -> str:
     return " OR ".join(f"NOT ({c} <=> ({formulas[c]}))" for c in columns)
 
 
-def as_rows(totals: DataFrame, table: str, names: Sequence[tuple[str, str, str]]) -> DataFrame:
-    """Turn one row of counters into check rows. `names`: counter column, check name, severity."""
+def result_rows(totals: DataFrame, names: Sequence[tuple[str, str, str, str]]) -> DataFrame:
+    """Turn one row of counters into check rows: (counter column, table, check, severity) each."""
     cells = F.array(
         *(
             F.struct(
@@ -64,7 +64,7 @@ def as_rows(totals: DataFrame, table: str, names: Sequence[tuple[str, str, str]]
                 F.coalesce(F.col(counter), F.lit(0)).cast("bigint").alias("failure_count"),
                 F.lit(severity).alias("severity"),
             )
-            for counter, check, severity in names
+            for counter, table, check, severity in names
         )
     )
     rows = totals.select(F.inline(cells))
@@ -72,6 +72,11 @@ def as_rows(totals: DataFrame, table: str, names: Sequence[tuple[str, str, str]]
     return rows.withColumn("status", status)
 
 
+def as_rows(totals: DataFrame, table: str, names: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """Check rows of a single table: (counter column, check, severity) each."""
+    return result_rows(totals, [(counter, table, check, severity) for counter, check, severity in names])
+
+
 def run_checks(df: DataFrame, table: str, grain: Sequence[str], checks: Sequence[Check]) -> DataFrame:
     """All row checks and the grain check of one table in a single pass.
 
@@ -252,13 +257,24 @@ def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column:
 
 
 def check_relations(tables: Mapping[str, DataFrame], relations: Sequence[Relation] = RELATIONS) -> DataFrame:
-    """Orphan counts of all relations whose tables are at hand."""
+    """Orphan counts of all relations whose tables are at hand.
+
+    Relations to the same parent column share one anti join: their child keys are stacked under
+    the relation's number, so a parent is scanned and shuffled once.
+    """
+    known = [r for r in relations if r.child in tables and r.parent in tables]
     parts = []
-    for r in relations:
-        if r.child in tables and r.parent in tables:
-            orphans = orphan_keys(tables[r.child], r.child_column, tables[r.parent], r.parent_column)
-            total = orphans.agg(F.count(F.lit(1)).alias("n"))
-            parts.append(as_rows(total, r.child, [("n", r.name, "critical")]))
+    for parent, column in dict.fromkeys((r.parent, r.parent_column) for r in known):
+        group = [r for r in known if (r.parent, r.parent_column) == (parent, column)]
+        keys = [
+            tables[r.child].select(F.col(r.child_column).alias("orphan_key")).filter("orphan_key IS NOT NULL")
+            .distinct().withColumn("relation", F.lit(i))
+            for i, r in enumerate(group)
+        ]
+        stacked = reduce(DataFrame.unionByName, keys)
+        lost = stacked.join(tables[parent].select(F.col(column).alias("orphan_key")), "orphan_key", "left_anti")
+        totals = lost.agg(*(F.count_if(F.col("relation") == i).alias(f"r{i}") for i in range(len(group))))
+        parts.append(result_rows(totals, [(f"r{i}", r.child, r.name, "critical") for i, r in enumerate(group)]))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -183,6 +183,13 @@ class Domain:
         self.folder = folder.rstrip("/")
         self._made: dict[str, DataFrame] = {}
 
+    def shared(self, name: str, build):
+        """Build an intermediate result once."""
+        key = f"shared {name}"
+        if key not in self._made:
+            self._made[key] = build()
+        return self._made[key]
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)

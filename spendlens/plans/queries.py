@@ -40,6 +40,16 @@ def query(sql: str | None):
     return register
 
 
+def once(fn: Callable[[Domain], DataFrame]) -> Callable[[Domain], DataFrame]:
+    """An intermediate result that several parts of one query share is built once per domain."""
+
+    @wraps(fn)
+    def shared(d: Domain):
+        return d.shared(fn.__name__, lambda: fn(d))
+
+    return shared
+
+
 def cell_key(*more: str) -> str:
     return ", ".join((*CELL, *more))
 
@@ -307,6 +317,7 @@ def scd_snapshot_campaign(d):
     return scd_shape(scd.first_snapshot(d.campaign, CAMPAIGN_SCD, RUN), CAMPAIGN_SCD)
 
 
+@once
 def merchant_history(d: Domain) -> DataFrame:
     first = scd.first_snapshot(d.merchant, MERCHANT_SCD, RUN, start="1995-01-01")
     return scd.merge(first, d.merchant_v2, MERCHANT_SCD, "1998-06-01", RUN)
@@ -351,11 +362,13 @@ def pit_join(d):
 # ============================================================== matching
 
 
+@once
 def ready(d: Domain) -> tuple[DataFrame, DataFrame]:
     act = matching.activation_offers(matching.match_ready_activations(d.act), matching.offer_rules(d.offer))
     return matching.match_ready_transactions(d.tx), act
 
 
+@once
 def matched(d: Domain) -> DataFrame:
     return matching.match_redemptions(d.tx, d.act, d.offer, RUN)
 
@@ -397,6 +410,28 @@ def range_join_merge(d):
     return matching.candidates(*ready(d), strategy="merge")
 
 
+@query("SELECT * FROM {pairs}")
+def range_join_broadcast(d):
+    return matching.candidates(*ready(d), strategy="broadcast")
+
+
+@query("""SELECT a.*, o.offer_type, o.minimum_spend_amount, o.reward_amount, o.reward_multiplier, o.max_reward_amount,
+       o.offer_status FROM {act} a LEFT JOIN {offer} o USING (offer_id)""")
+def activation_terms(d):
+    return matching.activation_terms(d.act, d.offer)
+
+
+@query(" UNION ALL ".join(f"""(SELECT '{label}' AS key_name, CAST({key} AS VARCHAR) AS key_value, count(*) AS row_count
+       FROM {{{view}}} GROUP BY {key} ORDER BY row_count DESC, {key} LIMIT 10)""" for label, view, key in (
+       ("transaction_card", "ready_tx", "tokenized_cardmember_id"), ("transaction_merchant", "ready_tx", "merchant_id"),
+       ("activation_offer", "ready_act", "offer_id"))))
+def join_heavy_keys(d):
+    tx, act = matching.match_ready_transactions(d.tx), matching.match_ready_activations(d.act)
+    return profiling.heavy_keys({
+        "transaction_card": (tx, "tokenized_cardmember_id"), "transaction_merchant": (tx, "merchant_id"),
+        "activation_offer": (act, "offer_id")})
+
+
 @query(f"""SELECT {hashed('mred_', 'transaction_id', 'activation_id', 'offer_id')} AS matched_redemption_id,
        transaction_id, activation_id, offer_id, reward_amount AS calculated_reward_amount FROM {{pairs}}""")
 def matched_redemption_rows(d):
@@ -456,19 +491,23 @@ def join_profile(d):
 # ============================================================== rewards and finance
 
 
+@once
 def redeemed(d: Domain) -> DataFrame:
     return matching.first_redemption(d.tx, d.act, d.offer)
 
 
+@once
 def liability(d: Domain) -> DataFrame:
     owner = F.expr("CASE merchant_id % 3 WHEN 0 THEN 'merchant' WHEN 1 THEN 'platform' ELSE 'shared' END")
     return finance.reward_liability(redeemed(d), owner)
 
 
+@once
 def settled(d: Domain) -> DataFrame:
     return finance.settlements(d.tx.filter("transaction_status = 'settled'"), d.merchant, liability(d))
 
 
+@once
 def recon(d: Domain) -> DataFrame:
     return finance.reconciliation(d.tx, settled(d))
 
@@ -559,12 +598,14 @@ def merchant_daily_rewards(d):
     return marts.merchant_daily_rewards(matched(d))
 
 
+@once
 def merchant_daily(d: Domain) -> DataFrame:
     spend = marts.merchant_daily_spend(d.tx, unique_ids=True)
     rewards = marts.merchant_daily_rewards(matched(d), unique_ids=True)
     return marts.merchant_daily_economics(spend, rewards, d.merchant)
 
 
+@once
 def offer_daily(d: Domain) -> DataFrame:
     return marts.offer_daily_economics(marts.offer_daily_spend(matched(d), unique_ids=True), d.offer, d.campaign)
 
@@ -630,18 +671,22 @@ def category_performance(d):
 # ============================================================== incrementality, profitability, risk
 
 
+@once
 def lifted(d: Domain) -> DataFrame:
     return inc.lift(inc.test_group_spend(d.test), inc.control_group_spend(d.control))
 
 
+@once
 def incremental(d: Domain) -> DataFrame:
     return inc.with_context(inc.scaled_revenue(lifted(d)), d.cell_offer, d.merchant)
 
 
+@once
 def features(d: Domain) -> DataFrame:
     return inc.features(incremental(d))
 
 
+@once
 def risks(d: Domain) -> DataFrame:
     return risk.cannibalization(features(d))
 
@@ -1062,6 +1107,7 @@ RELATION_SQL = """SELECT table_name, check_name, failure_count, 'critical' AS se
                (SELECT transaction_id FROM {tx})))"""
 
 
+@once
 def finance_tables(d: Domain) -> dict[str, DataFrame]:
     return {
         "fact_transactions": d.tx, "fact_offer_redemptions": redeemed(d),
@@ -1123,6 +1169,7 @@ def silver_gates(d):
     return quality.check_rows(d.events, "events", GATES)
 
 
+@once
 def some_checks(d: Domain) -> DataFrame:
     return quality.check_rows(d.events, "events", GATES).unionByName(quality.check_release(d.lineitem, RELEASE))
 
@@ -1240,6 +1287,7 @@ EVENT_SQL = f"""SELECT {hashed('fraud_', 't.transaction_id', 'risk_rule_id')} AS
          ON t.transaction_id = r.transaction_id"""
 
 
+@once
 def risk_event_rows(d: Domain) -> DataFrame:
     rule = F.expr("CASE transaction_status WHEN 'refunded' THEN 'refund_after_reward' "
                   "ELSE 'high_redemption_velocity' END")

@@ -68,6 +68,33 @@ def test_sorted_choice_equals_brute_force(spark, tx, act, rewards):
     assert found(matching.match_redemptions(t, a, o, "r")) == brute(tx, act, offers)
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(transactions, activations)
+def test_counts_and_first_redemptions_equal_brute_force(spark, tx, act):
+    tx = [(i, *t) for i, t in enumerate(tx)]
+    act = [(i, *a) for i, a in enumerate(act)]
+    offers = [(o, o % 2, 3 * (o % 3), 1) for o in range(4)]
+    rules = {o: (m, s) for o, m, s, _ in offers}
+    pairs = {}
+    for i, c, m, h, amount in tx:
+        for j, c2, o, h2, w in act:
+            if c == c2 and rules[o][0] == m and h2 <= h <= h2 + w and amount >= rules[o][1]:
+                pairs.setdefault((i, o), []).append((j, h))
+    t, a, o = frames(spark, tx, act, offers)
+    live = matching.activation_offers(a, matching.offer_rules(o))
+    counted = {(r.transaction_id, r.offer_id): r.candidate_count for r in matching.candidate_counts(t, live).collect()}
+    assert counted == {k: len(v) for k, v in pairs.items()}
+
+    first = {}
+    for (i, _), hits in pairs.items():
+        for j, h in hits:
+            first[j] = min(first.get(j, (h, i)), (h, i))
+    full = o.withColumns({"offer_type": F.lit("fixed_cashback"), "reward_multiplier": F.lit(0.1),
+                          "max_reward_amount": F.lit(5.0)})
+    red = matching.first_redemption(t.withColumn("transaction_status", F.lit("settled")), a, full)
+    assert {r.activation_id: r.transaction_id for r in red.collect()} == {j: i for j, (_, i) in first.items()}
+
+
 @pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
 def test_nested_and_touching_windows(spark, kind):
     # 2 lies inside 1; 3 begins exactly when 1 ends; both ends count; 4 lasts over several slices
