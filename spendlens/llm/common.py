@@ -6,9 +6,11 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +55,36 @@ def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...], rows: int) -> Iterator[pa.Table]:
+    """Tables of whole groups, from batches that are sorted by the integer columns `names`; about `rows` rows each."""
+    held = None
+    for whole in batches:
+        for start in range(0, whole.num_rows, rows):
+            part = pa.Table.from_batches([whole.slice(start, rows)])
+            part = pa.concat_tables([held, part]) if held is not None else part
+            columns = [part.column(c).to_numpy() for c in names]
+            fresh = np.flatnonzero(np.logical_or.reduce([x[1:] != x[:-1] for x in columns]))
+            cut = fresh[-1] + 1 if len(fresh) else 0
+            if cut:
+                yield part.slice(0, cut)
+            held = part.slice(cut)
+    if held is not None and held.num_rows:
+        yield held
+
+
+def dealt_in_blocks(rows: DataFrame, key: str, node: str, count: str, block_rows: int) -> DataFrame:
+    """`rows`, each group of equal `key` dealt out in pairs of blocks and sorted: (key, first, second, block, ...).
+
+    A group of `count` rows has ceil(count / block_rows) blocks by a hash of `node`; every pair of blocks, and each
+    block with itself, comes together once, so no task holds more than about 2 * block_rows rows of a group.
+    """
+    blocks = rows.withColumn("_blocks", F.ceil(F.col(count) / block_rows).cast("int"))
+    blocks = blocks.withColumn("block", F.pmod(F.xxhash64(node), "_blocks").cast("int"))
+    dealt = blocks.withColumn("_partner", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    dealt = dealt.withColumn("first", F.least("block", "_partner")).withColumn("second", F.greatest("block", "_partner"))
+    return dealt.drop("_blocks", "_partner", count).repartition(key, "first", "second").sortWithinPartitions(key, "first", "second")
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, ASCII_UPPER, ASCII_LOWER)
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import map_arrow, stored
+from spendlens.llm.common import dealt_in_blocks, map_arrow, stored, whole_groups
 from spendlens.llm.graph import components
 
 TABLES, SCALE, BLOCK = 12, 0.25, 512
@@ -172,22 +172,8 @@ def _links(rows: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray, np
 
 def _count_links(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
     """Links of the groups of one task; its rows are sorted by group, and a group has 2 * BLOCK rows at most."""
-    def result(rows: pa.Table) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in _links(rows, threshold)], ["node", "links", "centre"])
-
-    held = None
-    for whole in batches:
-        for start in range(0, whole.num_rows, 4 * BLOCK):
-            rows = pa.Table.from_batches([whole.slice(start, 4 * BLOCK)])
-            rows = pa.concat_tables([held, rows]) if held is not None else rows
-            names = [rows.column(c).to_numpy() for c in ("cell", "first", "second")]
-            fresh = np.flatnonzero(np.logical_or.reduce([n[1:] != n[:-1] for n in names]))
-            cut = fresh[-1] + 1 if len(fresh) else 0
-            if cut:
-                yield result(rows.slice(0, cut))
-            held = rows.slice(cut)
-    if held is not None and held.num_rows:
-        yield result(held)
+    for rows in whole_groups(batches, ("cell", "first", "second"), 4 * BLOCK):
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in _links(rows, threshold)], ["node", "links", "centre"])
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.9, vector: str = "embedding") -> DataFrame:
@@ -201,11 +187,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, vector: str = "embe
         F.explode("cells").alias("cell"), "node", "copies", "vector")
     shared = map_arrow(classes, _with_cells, f"vector {kind}, node bigint, copies bigint, cells array<bigint>").select(
         F.explode("cells").alias("cell")).groupBy("cell").count().where("count > 1")
-    blocks = F.ceil(F.col("count") / BLOCK).cast("int")
-    dealt = rows.join(shared, "cell").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    dealt = dealt.withColumn("partner", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "cell", F.least("block", "partner").alias("first"), F.greatest("block", "partner").alias("second"), "block", "node", "copies", "vector")
-    grouped = dealt.repartition("cell", "first", "second").sortWithinPartitions("cell", "first", "second")
+    grouped = dealt_in_blocks(rows.join(shared, "cell"), "cell", "node", "count", BLOCK)
     counted = stored(map_arrow(grouped, lambda b: _count_links(b, threshold), "node bigint, links bigint, centre bigint"), "links")
     found = components(counted.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")))
     degree = counted.groupBy("node").agg(F.sum("links").alias("links"))

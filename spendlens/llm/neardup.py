@@ -6,15 +6,16 @@ its node. Each set is dealt by hash into `BANDS * ROWS` buckets; a bucket's regi
 zeros plus MANTISSA bits. Classes meet if a band of registers is equal; pairs are first judged by the share of equal
 registers, corrected for chance collisions, within `SIGMAS` standard errors of the threshold, then on their full sets.
 
-Pairs inside a band's bucket are not all written out. First every member meets the bucket's least node, and verified
-links give components. Only then do members of different components that share a bucket meet each other; members of
-one component need no further link. In large groups of copies nearly all pairs fall away at that point, and no link
-between components is lost.
+For banding, an empty bucket borrows the register of a full one that a fixed permutation names, so that small sets meet
+no more often than their similarity allows. Pairs inside a band's bucket are not written out. First every member
+meets the bucket's least node, and verified links give components. Only then are members of different components that
+share a bucket compared by their registers, inside the task and in pairs of blocks of BLOCK members; members of
+one component need no further link. Only pairs that may reach the threshold leave the task.
 
 Defined results: a null, empty or blank text has an empty set and links with nothing; a null doc_id links with nothing,
 has no component and is kept; rows with one doc_id are one document; equal rows give equal rows; an empty table gives
 an empty table; other columns are left alone. A link at the threshold is missed with probability
-(1 - 0.8 ** ROWS) ** BANDS, 7e-6.
+(1 - 0.8 ** ROWS) ** BANDS, 6e-7.
 """
 
 from __future__ import annotations
@@ -28,13 +29,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import map_arrow, stored
+from spendlens.llm.common import dealt_in_blocks, map_arrow, stored, whole_groups
 from spendlens.llm.graph import components
 
-ROWS, BANDS, MANTISSA = 5, 30, 10
+ROWS, BANDS, MANTISSA = 5, 36, 10
 REGISTERS = ROWS * BANDS
 EMPTY = 0xFFFF
 SIGMAS = 4.5
+BLOCK = 512
 WORD_MEMORY = 500_000
 
 _WORDS: dict[bytes, int] = {}
@@ -83,6 +85,24 @@ def registers(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
+#: For each bucket, the buckets it may borrow from, in order.
+LOANS = np.argsort(np.random.default_rng(5).random((REGISTERS, REGISTERS)), axis=1)
+
+
+def bands(row: np.ndarray) -> np.ndarray:
+    """BANDS int64 keys of a row of registers; none for an empty set."""
+    full = row != EMPTY
+    if not full.any():
+        return np.empty(0, np.int64)
+    lent = row.astype(np.uint64)
+    empty = np.flatnonzero(~full)
+    lent[empty] = row[LOANS[empty, full[LOANS[empty]].argmax(1)]]
+    key = np.arange(1, BANDS + 1, dtype=np.uint64) * _MIX[0]
+    for k in range(ROWS):
+        key = _scrambled(key * _MIX[0] + lent.reshape(BANDS, ROWS)[:, k])
+    return key.view(np.int64)
+
+
 def estimates(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Estimated Jaccard similarity and its standard error at 0.8, for register rows a and b of sets of n_a and n_b."""
     used = ((a != EMPTY) | (b != EMPTY)).sum(1)
@@ -118,13 +138,50 @@ def sketches(docs: DataFrame, words: int = 4) -> DataFrame:
 
 
 def band_keys(classes: DataFrame) -> DataFrame:
-    """key, node: one row for each band of a class that holds any register."""
-    width = 2 * ROWS
-    blank = F.unhex(F.lit("FF" * width))
-    bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.struct(
-        i.alias("band"), F.substring("registers", i * width + 1, F.lit(width)).alias("part")))
-    return classes.select("node", F.explode_outer(bands).alias("b")).where(F.col("b.part") != blank).select(
-        F.xxhash64("b.band", "b.part").alias("key"), "node")
+    """key, node: one row for each band of a class."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [bands(np.frombuffer(r, np.uint16)) for r in batch.column("registers").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(keys, pa.list_(pa.int64()))], ["node", "bands"])
+
+    found = map_arrow(classes.select("node", "registers"), run, "node bigint, bands array<bigint>")
+    return found.select(F.explode_outer("bands").alias("key"), "node").where("key is not null")
+
+
+def _close(reg_a, reg_b, n_a, n_b, threshold: float) -> np.ndarray:
+    value, error = estimates(reg_a, reg_b, n_a, n_b)
+    return (value >= threshold - SIGMAS * error) & (np.minimum(n_a, n_b) >= threshold * np.maximum(n_a, n_b))
+
+
+def _across(members: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of nodes with different labels that share a key and may be as similar as the threshold."""
+    counts = members.groupBy("key").agg(F.count("*").alias("members"))
+    rows = members.join(counts, "key").join(classes.select("node", "n_shingles", "registers"), "node")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, ("key", "first", "second"), 4 * BLOCK):
+            key, first, second, block, node, label, size = (table.column(c).to_numpy() for c in ("key", "first", "second", "block", "node", "label", "n_shingles"))
+            group = np.r_[0, np.cumsum((key[1:] != key[:-1]) | (first[1:] != first[:-1]) | (second[1:] != second[:-1]))]
+            reg = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint16).reshape(len(key), REGISTERS)
+            size = size.astype(float)
+            live, shift, found = np.arange(len(key) - 1), 1, []
+            while len(live):
+                live = live[live + shift < len(key)]
+                live = live[group[live] == group[live + shift]]
+                other = live + shift
+                ok = (label[live] != label[other]) & ((first[live] == second[live]) | (block[live] != block[other]))
+                a, b = live[ok], other[ok]
+                near = np.minimum(size[a], size[b]) >= threshold * np.maximum(size[a], size[b])
+                a, b = a[near], b[near]
+                if len(a):
+                    close = _close(reg[a], reg[b], size[a], size[b], threshold)
+                    found.append(np.sort(np.stack([node[a[close]], node[b[close]]]), axis=0))
+                shift += 1
+            if found:
+                pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+
+    return map_arrow(dealt_in_blocks(rows, "key", "node", "members", BLOCK), compare, "a bigint, b bigint").distinct()
 
 
 def _promising(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
@@ -137,9 +194,7 @@ def _promising(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFr
             rows = batch.num_rows
             reg = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(rows, REGISTERS) for c in ("reg_a", "reg_b")]
             size = [batch.column(c).to_numpy().astype(float) for c in ("n_a", "n_b")]
-            value, error = estimates(*reg, *size)
-            keep = (value >= threshold - SIGMAS * error) & (np.minimum(*size) >= threshold * np.maximum(*size))
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+            yield batch.select(["a", "b"]).filter(pa.array(_close(*reg, *size, threshold)))
 
     return map_arrow(joined, judge, "a bigint, b bigint")
 
@@ -184,10 +239,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80) -> DataF
 
     labelled = shared.select("key", "node").join(first, "node", "left").select("key", "node", F.coalesce("component", "node").alias("label"))
     mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
-    members = stored(labelled.join(mixed, "key"), "mixed")
-    one, two = members.toDF("key", "a", "la"), members.toDF("key", "b", "lb")
-    across = one.join(two, "key").where("la < lb").select("a", "b").distinct()
-    tried = stored(_promising(across, classes, percent / 100), "pairs")
+    tried = stored(_across(stored(labelled.join(mixed, "key"), "mixed"), classes, percent / 100), "pairs")
     more = stored(_verified(tried, classes, docs, words, percent), "links")
     final = components(links.unionAll(more))
 
