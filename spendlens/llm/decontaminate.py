@@ -96,7 +96,8 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_bro
     found = decontaminate(docs, benchmark, n, max_broadcast).select("doc_id", "text_key", "hits").distinct()
     keyed = docs.select("doc_id", "text", text_key(F.col("text")).alias("text_key"))
     rows = keyed.alias("d").join(found.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.text_key") == F.col("f.text_key")), "left")
-    lead = F.regexp_extract("text", r"^([\x00-\x2F\x3A-\x60\x7B-\x7F]*)", 1)
-    pieces = F.regexp_extract_all("text", F.lit(r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+[\x00-\x2F\x3A-\x60\x7B-\x7F]*)"), F.lit(1))
+    gap = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"  # here in the text's own case
+    lead = F.regexp_extract("text", f"^([{gap}]*)", 1)
+    pieces = F.regexp_extract_all("text", F.lit(f"([^{gap}]+[{gap}]*)"), F.lit(1))
     kept = F.concat(lead, F.concat_ws("", F.filter(pieces, lambda _, i: ~F.array_contains("hits", i))))
     return rows.select("d.doc_id", F.when(F.size("hits") > 0, kept).otherwise(F.col("text")).alias("text"))
