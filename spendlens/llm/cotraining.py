@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from spendlens.llm.common import labelled_sample, map_arrow
 from spendlens.llm.toxicity import logistic
 
-LABELLED, POOL, ROUNDS, GIVEN = 3000, 3000, 4, 60
+LABELLED, POOL, ROUNDS, GIVEN = 2000, 2000, 4, 60
 DIMENSIONS, MEMORY = 1024, 400_000
 #: Values of lang and source share this many columns.
 PLACES = 32
@@ -119,7 +119,10 @@ def _linear(x: np.ndarray, y: np.ndarray, penalty: float) -> np.ndarray:
     z = np.c_[np.ones(len(x)), x]
     weight = np.where(y > 0.5, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
     w = v = np.zeros(z.shape[1])
-    step = 4 / (np.linalg.norm(z * np.sqrt(weight)[:, None], 2) ** 2 + 4 * penalty)
+    top = np.ones(z.shape[1])
+    for _ in range(20):  # the largest eigenvalue of the weighted Gram matrix, by power iteration
+        top = z.T @ (weight * (z @ (top / np.linalg.norm(top))))
+    step = 4 / (1.1 * np.linalg.norm(top) + 4 * penalty)
     for k in range(300):
         p = 1 / (1 + np.exp(-np.clip(z @ v, -30, 30)))
         gradient = z.T @ (weight * (p - y)) + penalty * np.r_[0.0, v[1:]]

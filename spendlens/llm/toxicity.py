@@ -16,8 +16,9 @@ through `with_toxicity`; an empty table gives an empty table.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass, field
 from math import log
 
@@ -35,7 +36,7 @@ LEVEL, PAD = 19, b" " * 24
 TOXIC_BYTES, ORDINARY_BYTES = 4096, 16384
 #: A chi-square of 40 has p = 3e-10: chance words among millions of candidates stay below it.
 SIGNIFICANT = 40.0
-SAMPLE_ROWS, SAMPLE_WORDS, ORDINARY_WINDOWS = 6000, 3000, 60_000
+SAMPLE_ROWS, SAMPLE_WORDS, ORDINARY_WINDOWS = 6000, 1500, 60_000
 TOP, LONGEST, MEMORY = 3, 48, 400_000
 
 
@@ -72,7 +73,7 @@ class ToxicityModel:
             made.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=rules, write_content_size=False, write_checksum=False, write_dict_id=False).compress)
         return made
 
-    def features(self, texts: list[set[bytes]]) -> np.ndarray:
+    def features(self, texts: list[Collection[bytes]]) -> np.ndarray:
         ordinary, toxic = self.compressors()
         rows = np.zeros((len(texts), TOP + 1))
         memory = self.memory
@@ -90,7 +91,7 @@ class ToxicityModel:
             row[:TOP], row[TOP] = np.clip(best, -8, 12), log(1 + len(words))
         return rows
 
-    def score(self, texts: list[set[bytes]]) -> np.ndarray:
+    def score(self, texts: list[Collection[bytes]]) -> np.ndarray:
         if self.weights is None:
             return np.full(len(texts), self.base)
         return 1 / (1 + np.exp(-np.clip(self.features(texts) @ self.weights[1:] + self.weights[0], -30, 30)))
@@ -125,11 +126,11 @@ def log_likelihood_ratio(a: int, b: int, n_a: int, n_b: int) -> float:
     return 2 * (part(a, n_a, p) + part(b, n_b, p)) if 0 < p < 1 else 0.0
 
 
-def fit(texts: list[set[bytes]], labels: list[int], base: float) -> ToxicityModel:
-    """Dictionaries from the even rows, calibration on the odd ones; `base` is the share of label 1 to calibrate for."""
+def fit(texts: list[Collection[bytes]], labels: list[int], base: float) -> ToxicityModel:
+    """Dictionaries from two of three rows, calibration on the others; `base` is the share of label 1 to calibrate for."""
     constant = ToxicityModel(base)
-    learn = [(t, y) for t, y in zip(texts[::2], labels[::2])]
-    check = [(t, y) for t, y in zip(texts[1::2], labels[1::2])]
+    check = list(zip(texts[::3], labels[::3]))
+    learn = [(t, y) for i, (t, y) in enumerate(zip(texts, labels)) if i % 3]
     bad, good = [t for t, y in learn if y], [t for t, y in learn if not y]
     if not bad or not good or len({y for _, y in check}) < 2:
         return constant
@@ -140,7 +141,7 @@ def fit(texts: list[set[bytes]], labels: list[int], base: float) -> ToxicityMode
         return constant
     ordinary = [b" " + w + b" " for t in good for w in sorted(t)]
     ordinary = [ordinary[i] for i in np.random.default_rng(7).permutation(len(ordinary))[:ORDINARY_WINDOWS]]
-    toxic = [b" " + w + b" " for t in bad for w in sorted(t & telling)]
+    toxic = [b" " + w + b" " for t in bad for w in sorted(telling.intersection(t))]
     if not ordinary or not toxic:
         return constant
     model = ToxicityModel(base, _dictionary(TOXIC_BYTES, toxic), _dictionary(ORDINARY_BYTES, ordinary))
@@ -161,15 +162,15 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, usable: Column | None = N
 
     sample = labelled_sample(docs, labels, "toxic", rows, usable)
     kind = sample.schema["doc_id"].dataType.simpleString()
-    got = map_arrow(sample, words, f"doc_id {kind}, label int, words array<binary>").collect()
-    got.sort(key=lambda r: hash_of(str(r["doc_id"]).encode()))
+    shared: dict[bytes, bytes] = {}  # one object for each word of the sample
+    got = [(hash_of(str(r["doc_id"]).encode()), r["label"], tuple(shared.setdefault(bytes(w), bytes(w)) for w in r["words"]))
+           for r in map_arrow(sample, words, f"doc_id {kind}, label int, words array<binary>").toLocalIterator()]
+    got.sort(key=lambda r: r[:2])
     seen = labels.where(F.col("toxic").isin(0, 1) & (usable if usable is not None else F.lit(True))).agg(F.avg("toxic")).first()[0]
-    return fit([{bytes(w) for w in r["words"]} for r in got], [r["label"] for r in got], float(seen or 0.0))
+    return fit([r[2] for r in got], [r[1] for r in got], float(seen or 0.0))
 
 
 def hash_of(word: bytes) -> int:
-    import zlib
-
     return zlib.crc32(word)
 
 
