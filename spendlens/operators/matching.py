@@ -269,7 +269,7 @@ def first_redemption(
     """
     seconds, group = slice_days * 86400, ["tokenized_cardmember_id", "offer_id"]
     settled = transactions.filter("transaction_status = 'settled'").select(*TX_NEEDED)
-    rules = offers.select(*RULE_NEEDED, *PERCENT_NEEDED)
+    rules = first_per_key(offers.select(*RULE_NEEDED, *PERCENT_NEEDED), ["offer_id"])
     act = activation_offers(activations.select(*ACT_NEEDED), rules)
     settled, act = _same_clock(settled, act)
     act = act.filter(F.col("offer_expiry_timestamp") >= F.col("activation_timestamp"))

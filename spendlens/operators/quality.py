@@ -257,13 +257,18 @@ def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column:
 
 
 def check_relations(tables: Mapping[str, DataFrame], relations: Sequence[Relation] = RELATIONS) -> DataFrame:
-    """Orphan counts of all relations whose tables are at hand.
+    """Orphan counts of all relations; a relation with an absent table fails.
 
     Relations to the same parent column share one anti join: their child keys are stacked under
     the relation's number, so a parent is scanned and shuffled once.
     """
     known = [r for r in relations if r.child in tables and r.parent in tables]
+    absent = [r for r in relations if r not in known]
     parts = []
+    if absent:
+        spark = next(iter(tables.values())).sparkSession
+        lost = spark.range(1).select(F.lit(1).alias("absent"))
+        parts.append(result_rows(lost, [("absent", r.child, f"{r.name}: table absent", "critical") for r in absent]))
     for parent, column in dict.fromkeys((r.parent, r.parent_column) for r in known):
         group = [r for r in known if (r.parent, r.parent_column) == (parent, column)]
         keys = [
@@ -418,11 +423,14 @@ def summarize(checks: DataFrame) -> DataFrame:
 
 
 def promotion(checks: DataFrame) -> DataFrame:
-    """Per table: the strictest action its failed checks ask for, and whether it may move on."""
+    """Per table: the strictest action its failed checks ask for, and whether it may move on.
+
+    A failure of a severity that is null or not listed counts as critical.
+    """
     order = F.when(F.col("status") == "passed", len(ACTIONS))
     for i, (severity, _) in enumerate(ACTIONS):
         order = order.when(F.col("severity") == severity, i)
-    worst = checks.withColumn("__order", order).groupBy("table_name").agg(
+    worst = checks.withColumn("__order", order.otherwise(0)).groupBy("table_name").agg(
         F.min("__order").alias("__order"), F.count_if(F.col("status") == "failed").alias("failed_checks")
     )
     action = F.lit("promote")

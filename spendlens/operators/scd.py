@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import fingerprint, joined_text, require
@@ -53,7 +53,8 @@ def merge(
     pair yields its outcome as an array of rows: an unchanged version stays as it is; a changed
     one is closed the day before `as_of` and a new one is opened (a version opened on `as_of`
     itself is replaced); a new key opens one; a key that vanished stays open unless
-    `close_missing`. Closed history passes through untouched.
+    `close_missing` (then a version that opened on `as_of` or later is dropped, as it never held).
+    A snapshot older than the open version is put in its place in the history: see `insert_late`.
     """
     require(source, (spec.key, *spec.tracked), spec.source)
     columns = ["surrogate_scd_id", spec.key, *spec.tracked, *SCD_METADATA]
@@ -64,20 +65,57 @@ def merge(
     closed = F.col("old").withField("effective_end_date", last_day)
     closed = closed.withField("is_current", F.lit(False)).withField("scd_updated_at", F.current_timestamp())
     same = F.col("old.scd_record_hash") == F.col("new.scd_record_hash")
-    same_day = F.col("old.effective_start_date") >= F.to_date(F.lit(as_of))
-    gone = F.array(closed) if close_missing else F.array(F.col("old"))
+    day = F.to_date(F.lit(as_of))
+    late = F.col("old.effective_start_date") > day
+    same_day = F.col("old.effective_start_date") == day
+    none = F.slice(F.array(F.col("old")), 1, 0)
+    gone = F.when(late | same_day, none).otherwise(F.array(closed)) if close_missing else F.array(F.col("old"))
     outcome = (
         F.when(F.col("old").isNull(), F.array(F.col("new")))
         .when(F.col("new").isNull(), gone)
-        .when(same, F.array(F.col("old")))
+        .when(late | same, F.array(F.col("old")))
         .when(same_day, F.array(F.col("new")))
         .otherwise(F.array(closed, F.col("new")))
     )
     reopened = old.join(new, "k", "full_outer").select(F.inline(outcome))
-    history = scd.filter("NOT is_current").select(*columns)
+    history = insert_late(scd, old.join(new, "k").filter(late).select("k", "new"), spec.key, as_of, columns)
     return history.unionByName(reopened.select(*columns))
 
 
+def insert_late(scd: DataFrame, late: DataFrame, key: str, as_of: str, columns: Sequence[str]) -> DataFrame:
+    """Closed history with the versions of a late snapshot (k, new) between their neighbours.
+
+    The version that held on `as_of` ends the day before and the late one takes over its end; equal content changes
+    nothing; a version that started on `as_of` is replaced. Where none held, the late one ends before the next start.
+    """
+    day = F.to_date(F.lit(as_of))
+    rest = [c for c in columns if c not in ("effective_end_date", "is_current", "scd_updated_at")]
+    versions = scd.select(F.col(key).alias("k"), F.struct(*columns).alias("v"))
+    start, new = F.col("v.effective_start_date"), F.col("new")
+    held = new.isNotNull() & ~F.col("v.is_current") & (start <= day) & (F.col("v.effective_end_date") >= day)
+    per_key = Window.partitionBy("k")
+    met = versions.join(late, "k", "left").select(
+        "k", "v", "new", F.coalesce(held & (F.col("v.scd_record_hash") != F.col("new.scd_record_hash")), F.lit(False)).alias("cut"),
+        F.max(F.coalesce(held, F.lit(False))).over(per_key).alias("covered"),
+        F.min(F.when(start > day, start)).over(per_key).alias("next"))
+    # Part 1 is the row's own version, part 2 the late one; an open version only tells where an uncovered one goes.
+    parts = (
+        F.when(F.col("v.is_current"), F.when(new.isNotNull() & ~F.col("covered"), F.expr("array(2)")))
+        .when(F.col("cut") & (start == day), F.expr("array(2)"))
+        .when(F.col("cut"), F.expr("array(1, 2)"))
+        .otherwise(F.expr("array(1)"))
+    )
+    dealt = met.select("*", F.explode(parts).alias("part"))
+    two, open_row = F.col("part") == 2, F.col("v.is_current")
+    return dealt.select(
+        *(F.when(two, F.col(f"new.{c}")).otherwise(F.col(f"v.{c}")).alias(c) for c in rest),
+        F.when(two & open_row, F.date_sub("next", 1)).when(F.col("cut") & ~two, F.date_sub(day, 1))
+        .otherwise(F.col("v.effective_end_date")).alias("effective_end_date"),
+        F.lit(False).alias("is_current"),
+        F.when(two, F.col("new.scd_updated_at")).when(F.col("cut"), F.current_timestamp()).otherwise(F.col("v.scd_updated_at")).alias("scd_updated_at"),
+    ).select(*columns)
+
+
 def as_of_join(facts: DataFrame, scd: DataFrame, key: str, date_column: str, attributes: Sequence[str]) -> DataFrame:
     """Attach the attributes that were valid on each fact's date; unmatched facts stay, with nulls.
 

@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.exprs import stamp
 from ..operators import cleaning, marts, matching, quality, risk, scd
@@ -34,10 +35,15 @@ def union(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def ingest(lake: Lake, run_id: str, specs: Sequence[C.TableSpec] = C.SOURCE_TABLES) -> list[Published]:
-    """Raw to bronze: declared schema, source columns, event-date partitions."""
+    """Raw to bronze: every raw column, source columns, event-date partitions.
+
+    Columns that the contract does not declare are kept and fingerprinted; a declared column that is missing or has
+    another type stops the table by name.
+    """
 
     def one(spec: C.TableSpec) -> Published:
-        raw = lake.read("raw", spec.name, spec.schema)
+        raw = lake.read("raw", spec.name)
+        ensure_declared(raw, spec)
         return lake.publish(
             add_source_columns(raw, spec.name, run_id), "bronze", spec.name, C.BRONZE_METADATA, spec.partition
         )
@@ -45,10 +51,19 @@ def ingest(lake: Lake, run_id: str, specs: Sequence[C.TableSpec] = C.SOURCE_TABL
     return each(specs, one)
 
 
+def ensure_declared(raw: DataFrame, spec: C.TableSpec) -> None:
+    """Raise for a declared column that `raw` lacks or holds in another type. Reads the schema only."""
+    held = dict(raw.dtypes)
+    declared = {f.name: f.dataType.simpleString() for f in StructType.fromDDL(spec.schema).fields}
+    wrong = [f"{c}: {held.get(c, 'missing')} instead of {kind}" for c, kind in declared.items() if held.get(c) != kind]
+    if wrong:
+        raise ValueError(f"{spec.name} does not fit its contract: " + "; ".join(wrong))
+
+
 def check_ingest(lake: Lake, specs: Sequence[C.TableSpec] = C.SOURCE_TABLES) -> DataFrame:
     """Raw against bronze row counts per table."""
     names = [s.name for s in specs]
-    raw = {s.name: lake.read("raw", s.name, s.schema) for s in specs}
+    raw = lake.read_many("raw", names)
     return quality.row_counts_agree(raw, lake.read_many("bronze", names))
 
 
@@ -81,7 +96,8 @@ def check_silver(lake: Lake, specs: Sequence[C.TableSpec] = C.SOURCE_TABLES) ->
         for s in specs
         for k in (s.key, *s.unique)
     ]
-    related = [r for r in C.RELATIONS if r.child in clean and r.parent in clean]
+    everything = {s.name for s in C.SOURCE_TABLES} <= set(clean)
+    related = C.RELATIONS if everything else [r for r in C.RELATIONS if r.child in clean and r.parent in clean]
     return union([*keys, quality.check_relations(clean, related)]) if related else union(keys)
 
 

@@ -14,7 +14,7 @@ from ..operators import abuse, cleaning, eligibility, experiment, finance, linea
 from ..operators import incrementality as inc
 from ..operators import profiling, quality, risk, scd
 from ..sources import lake
-from ..sources.contracts import CELL, SCD_METADATA, ScdSpec, TableSpec
+from ..sources.contracts import CELL, RELATIONS, SCD_METADATA, ScdSpec, TableSpec
 from .bindings import Domain, with_views
 from .checksql import STEPS, checks, hashed, image, mavg, msum, pos
 
@@ -175,11 +175,6 @@ def table_rows(d):
     return lake.table_profile(tables).select("table_name", "row_count")
 
 
-@query(None)
-def table_profile(d):
-    return lake.table_profile({"orders": d.orders, "lineitem": d.lineitem, "events": d.events})
-
-
 @query("""SELECT 'lineitem' AS table_name, (SELECT count(*) FROM {lineitem}) AS source_rows,
        (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM {lineitem})) AS target_rows,
        'passed' AS status""")
@@ -1118,7 +1113,9 @@ def finance_tables(d: Domain) -> dict[str, DataFrame]:
 
 @query(RELATION_SQL)
 def checks_relations(d):
-    return quality.check_relations(finance_tables(d))
+    """The relations of the finance tables; risk events are not derived from transactions here."""
+    tables = finance_tables(d)
+    return quality.check_relations(tables, [r for r in RELATIONS if r.child in tables and r.parent in tables])
 
 
 @query("""SELECT table_name, check_name, failure_count, 'high' AS severity,

@@ -244,6 +244,7 @@ def test_scd_life(spark):
                            (3, "c", "2026-01-01", "None", True)]
     assert first.select("surrogate_scd_id").distinct().count() == 3
     second = scd.merge(first, state([(1, "a"), (2, "B"), (4, "d")]), SPEC, "2026-05-01", "r")
+    second = spark.createDataFrame(second.collect(), second.schema)  # as a published table would be
     assert view(second) == [
         (1, "a", "2026-01-01", "None", True), (2, "B", "2026-05-01", "None", True),
         (2, "b", "2026-01-01", "2026-04-30", False), (3, "c", "2026-01-01", "None", True),
@@ -260,6 +261,29 @@ def test_scd_life(spark):
     assert got == [(2, "2025-01-01", None), (2, "2026-04-30", "b"), (2, "2026-05-01", "B"), (9, "2026-03-01", None)]
 
 
+def test_scd_late_snapshots(spark):
+    def state(rows):
+        return spark.createDataFrame(rows, "k int, v string")
+
+    def view(df):
+        return sorted((r.k, r.v, str(r.effective_start_date), str(r.effective_end_date), r.is_current) for r in df.collect())
+
+    def held(df):
+        return spark.createDataFrame(df.collect(), df.schema)  # as a published table would be
+
+    first = held(scd.merge(scd.first_snapshot(state([(1, "x")]), SPEC, "r").limit(0), state([(1, "a")]), SPEC, "2026-01-01", "r"))
+    two = held(scd.merge(first, state([(1, "b")]), SPEC, "2026-06-01", "r"))
+    late = scd.merge(two, state([(1, "c")]), SPEC, "2026-03-01", "r")
+    assert view(late) == [
+        (1, "a", "2026-01-01", "2026-02-28", False), (1, "b", "2026-06-01", "None", True), (1, "c", "2026-03-01", "2026-05-31", False)]
+    assert view(scd.merge(two, state([(1, "a")]), SPEC, "2026-03-01", "r")) == view(two)
+    assert view(scd.merge(two, state([(1, "c")]), SPEC, "2026-01-01", "r"))[1] == (1, "c", "2026-01-01", "2026-05-31", False)
+    assert view(scd.merge(two, state([(1, "z")]), SPEC, "2025-12-01", "r"))[2] == (1, "z", "2025-12-01", "2025-12-31", False)
+    opened = held(scd.merge(first, state([(2, "n")]), SPEC, "2026-02-01", "r"))
+    gone = scd.merge(opened, state([(1, "a")]), SPEC, "2026-02-01", "r", close_missing=True)
+    assert [r for r in view(gone) if r[0] == 2] == []
+
+
 def test_calendar(spark):
     days = spark.createDataFrame([(dt.date(2026, 1, 1) + dt.timedelta(n),) for n in range(365)], "calendar_date date")
     for r in derive(days, R.calendar_columns()).collect():

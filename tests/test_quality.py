@@ -222,3 +222,13 @@ def test_missing_columns_raise_before_any_job(spark):
     with pytest.raises(ValueError, match="lacks required columns: merchant_id"):
         marts.merchant_daily_spend(spark.createDataFrame([("t", DAY, 1.0)],
                                    "transaction_id string, transaction_date date, transaction_amount double"))
+
+
+def test_absent_tables_and_unknown_severities_fail(spark):
+    df = spark.createDataFrame([(1,)], "k int")
+    relation = C.Relation("child_to_parent", "child", "k", "parent", "k")
+    assert failures(quality.check_relations({"child": df}, [relation])) == {"child_to_parent: table absent": 1}
+    rows = spark.createDataFrame(
+        [("a", "c", 1, "odd", "failed"), ("b", "c", 1, None, "failed"), ("c", "c", 0, "odd", "passed")],
+        "table_name string, check_name string, failure_count long, severity string, status string")
+    assert {r.table_name: r.may_promote for r in quality.promotion(rows).collect()} == {"a": False, "b": False, "c": True}
