@@ -199,8 +199,18 @@ def purchases_per_offer(tx: DataFrame, act: DataFrame, terms: Sequence[str]) ->
     )
 
 
-def _slices_between(df: DataFrame, first: str, last: str, seconds: int) -> Column:
-    return F.explode(F.sequence(time_slice(df, first, seconds), time_slice(df, last, seconds)))
+def in_busy_slices(act: DataFrame, tx: DataFrame, first: str, last: str, seconds: int) -> DataFrame:
+    """Activations once per time slice from `first` to `last` in which their card bought at their merchant.
+
+    The slices of a card and merchant are gathered first, with map-side combining: an array as long
+    as the purchases have slices. An open-ended activation therefore adds no row without a purchase.
+    """
+    pair = ["tokenized_cardmember_id", "merchant_id"]
+    busy = tx.groupBy(*pair).agg(F.collect_set(time_slice(tx, "transaction_timestamp", seconds)).alias("__busy"))
+    low, high = time_slice(act, first, seconds), time_slice(act, last, seconds)
+    bounded = act.withColumns({"__low": low, "__high": high}).join(busy, pair)
+    touched = F.filter("__busy", lambda s: (s >= F.col("__low")) & (s <= F.col("__high")))
+    return bounded.withColumn("__slice", F.explode(touched)).drop("__busy", "__low", "__high")
 
 
 def choose(tx: DataFrame, act: DataFrame, policy: str = "flat", slice_days: int = 7) -> DataFrame:
@@ -210,8 +220,8 @@ def choose(tx: DataFrame, act: DataFrame, policy: str = "flat", slice_days: int
        one row per offer, however many activations there are.
     2. For each of them the deciding activation is the first window that ends at or after the
        purchase, if it had begun by then. Purchases and windows are stacked and sorted by time;
-       a window is repeated in every time slice it touches, so that the slices of a (card, offer)
-       are independent and a busy one is spread over many tasks.
+       a window is repeated in every time slice it touches and the card bought in, so that the
+       slices of a (card, offer) are independent and a busy one is spread over many tasks.
     3. The best offer per transaction is ranked, after a map-side limit of one row each.
 
     Every step is linear in its rows apart from sorting; no step compares all transactions of a
@@ -224,6 +234,7 @@ def choose(tx: DataFrame, act: DataFrame, policy: str = "flat", slice_days: int
     asked = purchases_per_offer(tx, act, terms)
     windows = deciding_windows(act)
     windows = windows.withColumn("__from", F.greatest("activation_timestamp", "decides_after"))
+    windows = in_busy_slices(windows, tx, "__from", "offer_expiry_timestamp", seconds)
     window = F.struct("activation_id", "activation_timestamp", "offer_expiry_timestamp")
     purchase = [c for c in TX_NEEDED if c not in group] + terms
     stacked = asked.select(
@@ -231,8 +242,7 @@ def choose(tx: DataFrame, act: DataFrame, policy: str = "flat", slice_days: int
         F.col("transaction_timestamp").alias("__at"), F.struct(*purchase).alias("__tx"),
     ).unionByName(
         windows.select(
-            *group, _slices_between(windows, "__from", "offer_expiry_timestamp", seconds).alias("__slice"),
-            F.col("offer_expiry_timestamp").alias("__at"), window.alias("__window"),
+            *group, "__slice", F.col("offer_expiry_timestamp").alias("__at"), window.alias("__window"),
         ),
         allowMissingColumns=True,
     )
@@ -281,9 +291,8 @@ def first_redemption(
         *group, time_slice(asked, "transaction_timestamp", seconds).alias("__slice"),
         F.col("transaction_timestamp").alias("__at"), purchase.alias("__tx"),
     ).unionByName(
-        act.select(
-            *group, _slices_between(act, "activation_timestamp", "offer_expiry_timestamp", seconds).alias("__slice"),
-            F.col("activation_timestamp").alias("__at"), F.struct(*own).alias("__act"),
+        in_busy_slices(act, settled, "activation_timestamp", "offer_expiry_timestamp", seconds).select(
+            *group, "__slice", F.col("activation_timestamp").alias("__at"), F.struct(*own).alias("__act"),
         ),
         allowMissingColumns=True,
     )
@@ -328,9 +337,9 @@ def candidate_counts(tx: DataFrame, act: DataFrame, slice_days: int = 7) -> Data
         )
 
     none = F.lit(None).cast(tx.schema["transaction_id"].dataType)
-    touched = _slices_between(act, "activation_timestamp", "offer_expiry_timestamp", seconds)
+    live = in_busy_slices(act, tx, "activation_timestamp", "offer_expiry_timestamp", seconds)
     events = (
-        event(act, F.col("activation_timestamp"), touched, 0, 1, none)
+        event(live, F.col("activation_timestamp"), F.col("__slice"), 0, 1, none)
         .unionByName(event(asked, F.col("transaction_timestamp"), time_slice(asked, "transaction_timestamp", seconds), 1, 0,
                            F.col("transaction_id")))
         .unionByName(event(act, end, time_slice(act, "offer_expiry_timestamp", seconds), 2, -1, none))

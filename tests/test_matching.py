@@ -167,3 +167,11 @@ def test_unsupported_offer_type_raises(spark):
                          "max_reward_amount": F.lit(5.0)})
     with pytest.raises(Exception, match="unsupported offer_type"):
         matching.match_redemptions(t, a, odd, "r", policy="capped").collect()
+
+
+def test_an_open_ended_activation_adds_only_slices_with_purchases(spark):
+    tx, act, _ = frames(spark, [(1, 0, 0, 5, 9), (2, 0, 0, 6, 9), (3, 0, 0, 24 * 70, 9), (4, 1, 0, 5, 9)],
+                        [(1, 0, 0, 0, 24 * 365 * 5)], [(0, 0, 1, 1)])
+    placed = act.withColumn("merchant_id", F.lit(0).cast("long"))
+    slices = matching.in_busy_slices(placed, tx, "activation_timestamp", "offer_expiry_timestamp", 7 * 86400)
+    assert slices.count() == 2
