@@ -32,6 +32,7 @@ def _gated(text: Column, kind: str, search: Column, nothing: Column) -> Column:
 def cohort_lift(test: DataFrame, control: DataFrame, grain: Sequence[str], min_cohort: int = MIN_COHORT) -> DataFrame:
     """Lift per cohort in which a cohort of fewer than `min_cohort` cards shows no figures.
 
+    A figure of one arm is shown only if that arm reaches the limit too, a difference only if both do.
     Cards are first reduced to one row per (cohort, card), so distinct cards become a plain count
     and a hot cohort is combined before the final shuffle.
     """
@@ -63,16 +64,14 @@ def cohort_lift(test: DataFrame, control: DataFrame, grain: Sequence[str], min_c
         F.coalesce(money_sum("reward"), F.lit(0.0)).alias("reward"),
     )
     small = f"cohort_size < {min_cohort}"
-    incremental = (
-        "CASE WHEN test_cards > 0 AND control_cards > 0 "
-        "THEN (test_spend / test_cards - control_spend / control_cards) * test_cards END"
-    )
+    test_shown, control_shown = f"test_cards >= {min_cohort}", f"control_cards >= {min_cohort}"
+    incremental = "(test_spend / test_cards - control_spend / control_cards) * test_cards"
     shown = {
         "protected_cohort_size": f"CASE WHEN NOT ({small}) THEN cohort_size END",
-        "visible_test_spend": f"CASE WHEN NOT ({small}) THEN test_spend END",
-        "visible_control_spend": f"CASE WHEN NOT ({small}) THEN control_spend END",
-        "visible_incremental_spend": f"CASE WHEN NOT ({small}) THEN {incremental} END",
-        "visible_reward_cost": f"CASE WHEN NOT ({small}) THEN reward END",
+        "visible_test_spend": f"CASE WHEN {test_shown} THEN test_spend END",
+        "visible_control_spend": f"CASE WHEN {control_shown} THEN control_spend END",
+        "visible_incremental_spend": f"CASE WHEN {test_shown} AND {control_shown} THEN {incremental} END",
+        "visible_reward_cost": f"CASE WHEN {test_shown} THEN reward END",
         "is_suppressed": small,
         "suppression_reason": f"CASE WHEN {small} THEN 'cohort_below_{min_cohort}' END",
     }
@@ -138,9 +137,14 @@ def pii_quotes(df: DataFrame, key: str, column: str, patterns: dict[str, str] =
     return df.select(key, F.inline(F.concat(*found)))
 
 
-def masked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Identifiers replaced by their SHA-256: still joinable, no longer readable."""
-    return df.withColumns({c: F.sha2(F.col(c).cast("string"), 256) for c in columns})
+def masked(df: DataFrame, columns: Sequence[str], salt: str) -> DataFrame:
+    """Identifiers replaced by the SHA-256 of a secret salt and their text: still joinable, no longer readable.
+
+    Without the salt a small space of ids could be listed and every hash looked up.
+    """
+    if not salt:
+        raise ValueError("masking needs a salt")
+    return df.withColumns({c: F.sha2(F.concat(F.lit(salt), F.col(c).cast("string")), 256) for c in columns})
 
 
 def entitled_rows(df: DataFrame, entitlements: DataFrame, on: str = "merchant_id") -> DataFrame:

@@ -1312,10 +1312,10 @@ def abuse_summary(d):
 
 
 @query(f"""SELECT merchant_id, campaign_id,
-       CASE WHEN n >= 50 THEN n END AS protected_cohort_size, CASE WHEN n >= 50 THEN ts END AS visible_test_spend,
-       CASE WHEN n >= 50 THEN cs END AS visible_control_spend,
-       CASE WHEN n >= 50 AND tn > 0 AND cn > 0 THEN (ts / tn - cs / cn) * tn END AS visible_incremental_spend,
-       CASE WHEN n >= 50 THEN rw END AS visible_reward_cost, n < 50 AS is_suppressed,
+       CASE WHEN n >= 50 THEN n END AS protected_cohort_size, CASE WHEN tn >= 50 THEN ts END AS visible_test_spend,
+       CASE WHEN cn >= 50 THEN cs END AS visible_control_spend,
+       CASE WHEN tn >= 50 AND cn >= 50 THEN (ts / tn - cs / cn) * tn END AS visible_incremental_spend,
+       CASE WHEN tn >= 50 THEN rw END AS visible_reward_cost, n < 50 AS is_suppressed,
        CASE WHEN n < 50 THEN 'cohort_below_50' END AS suppression_reason
        FROM (SELECT merchant_id, campaign_id, count(DISTINCT tokenized_cardmember_id) AS n,
          count(DISTINCT tokenized_cardmember_id) FILTER (assignment_group = 'test') AS tn,
@@ -1353,11 +1353,15 @@ def pii_quotes(d):
     return privacy.pii_quotes(d.documents, "doc_id", "text")
 
 
-@query("""SELECT transaction_id, sha256(CAST(tokenized_cardmember_id AS VARCHAR)) AS tokenized_cardmember_id, merchant_id,
-       transaction_amount FROM {tx}""")
+#: Stands for the secret a deployment would pass.
+CATALOGUE_SALT = "catalogue"
+
+
+@query(f"""SELECT transaction_id, sha256('{CATALOGUE_SALT}' || CAST(tokenized_cardmember_id AS VARCHAR)) AS tokenized_cardmember_id,
+       merchant_id, transaction_amount FROM {{tx}}""")
 def masked_transactions(d):
     narrow = d.tx.select("transaction_id", "tokenized_cardmember_id", "merchant_id", "transaction_amount")
-    return privacy.masked(narrow, ["tokenized_cardmember_id"])
+    return privacy.masked(narrow, ["tokenized_cardmember_id"], CATALOGUE_SALT)
 
 
 ENTITLED = """SELECT 'desk_' || CAST(location_id % 4 AS VARCHAR) AS grantee, merchant_id FROM {merchant}"""

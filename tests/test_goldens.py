@@ -326,6 +326,8 @@ def test_suppression_and_its_gate(spark):
     test, control, _ = groups(spark, [10.0] * 30, [8.0] * 30)
     shown = privacy.cohort_lift(test, control, ["merchant_id"])
     assert one(shown)["protected_cohort_size"] == 60 and not one(shown)["is_suppressed"]
+    assert all(one(shown)[c] is None for c in privacy.VISIBLE)
+    shown = privacy.cohort_lift(test, control, ["merchant_id"], min_cohort=30)
     assert one(shown)["visible_incremental_spend"] == pytest.approx(60.0)
     hidden = privacy.cohort_lift(test, control, ["merchant_id"], min_cohort=61)
     row = one(hidden)
@@ -335,6 +337,22 @@ def test_suppression_and_its_gate(spark):
     assert privacy.exposed_small_cohorts(leaky).count() == 1
 
 
+def test_one_card_of_an_arm_is_not_shown(spark):
+    test, control, _ = groups(spark, [777.0], [8.0] * 60)
+    row = one(privacy.cohort_lift(test, control, ["merchant_id"]))
+    assert row["protected_cohort_size"] is not None and row["visible_control_spend"] == pytest.approx(480.0)
+    assert row["visible_test_spend"] is None and row["visible_incremental_spend"] is None
+    assert row["visible_reward_cost"] is None
+
+
+def test_masks_need_their_salt(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,), (None,)], "id int")
+    a, b = ([r.id for r in privacy.masked(df, ["id"], salt).collect()] for salt in ("a", "b"))
+    assert a[0] == a[1] != a[2] and a[3] is None and not set(a[:3]) & set(b[:3])
+    with pytest.raises(ValueError):
+        privacy.masked(df, ["id"], "")
+
+
 def test_pii_and_columns(spark):
     df = spark.createDataFrame([(1, "mail a.b@c.org or +1 (212) 555-0100", "4111 1111 1111 1111"), (2, None, "none")],
                                "id int, note string, email string")
