@@ -8,10 +8,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 
-def words(text: str) -> tuple[str, ...]:
-    return tuple(text.split())
-
-
 @dataclass(frozen=True)
 class TableSpec:
     """Contract of one source table."""
@@ -80,22 +76,22 @@ SOURCE_TABLES = (
         "dim_merchant", "merchant_id",
         "merchant_id string, merchant_name string, category_id string, location_id string, merchant_status string, "
         "merchant_margin_rate double, platform_fee_rate double, merchant_start_date date, created_at timestamp_ntz",
-        numerics=words("merchant_margin_rate platform_fee_rate"),
+        numerics=("merchant_margin_rate", "platform_fee_rate"),
     ),
     TableSpec(
         "dim_campaign", "campaign_id",
         "campaign_id string, campaign_name string, campaign_objective string, campaign_start_date date, "
         "campaign_end_date date, campaign_status string, target_segment_id string, budget_amount double, "
         "created_at timestamp_ntz",
-        dates=words("campaign_start_date campaign_end_date"),
+        dates=("campaign_start_date", "campaign_end_date"),
     ),
     TableSpec(
         "dim_offer", "offer_id",
         "offer_id string, campaign_id string, merchant_id string, offer_name string, offer_type string, "
         "minimum_spend_amount double, reward_amount double, reward_multiplier double, max_reward_amount double, "
         "offer_start_date date, offer_end_date date, offer_status string, created_at timestamp_ntz",
-        dates=words("offer_start_date offer_end_date"),
-        numerics=words("minimum_spend_amount reward_amount"),
+        dates=("offer_start_date", "offer_end_date"),
+        numerics=("minimum_spend_amount", "reward_amount"),
     ),
     TableSpec(
         "dim_cardmember_token", "tokenized_cardmember_id",
@@ -110,14 +106,14 @@ SOURCE_TABLES = (
         "consent_id string, tokenized_cardmember_id string, analytics_consent_flag boolean, "
         "merchant_reporting_consent_flag boolean, consent_effective_date date, consent_status string, "
         "created_at timestamp_ntz",
-        unique=words("tokenized_cardmember_id"),
+        unique=("tokenized_cardmember_id",),
     ),
     TableSpec(
         "dim_date", "date_id",
         "date_id string, calendar_date date, year bigint, quarter bigint, month bigint, month_name string, "
         "week_of_year bigint, day_of_week string, day_of_month bigint, is_weekend boolean, is_holiday boolean, "
         "holiday_name string, created_at timestamp_ntz",
-        dates=words("calendar_date"),
+        dates=("calendar_date",),
     ),
     TableSpec(
         "fact_transactions", "transaction_id",
@@ -126,9 +122,9 @@ SOURCE_TABLES = (
         "transaction_status string, shopper_behavior_type string, segment_id string, is_test_group boolean, "
         "is_control_group boolean, created_at timestamp_ntz",
         partition="transaction_date",
-        timestamps=words("transaction_timestamp"),
-        dates=words("transaction_date"),
-        numerics=words("transaction_amount"),
+        timestamps=("transaction_timestamp",),
+        dates=("transaction_date",),
+        numerics=("transaction_amount",),
     ),
     TableSpec(
         "fact_offer_customer_assignment", "assignment_id",
@@ -136,7 +132,7 @@ SOURCE_TABLES = (
         "merchant_id string, segment_id string, assignment_group string, assignment_status string, "
         "match_group_id string, assignment_date date, shopper_behavior_type string, "
         "merchant_reporting_consent_flag boolean, created_at timestamp_ntz",
-        dates=words("assignment_date"),
+        dates=("assignment_date",),
     ),
     TableSpec(
         "fact_offer_impressions", "impression_id",
@@ -144,8 +140,8 @@ SOURCE_TABLES = (
         "campaign_id string, merchant_id string, segment_id string, impression_timestamp timestamp_ntz, "
         "impression_date date, channel string, was_clicked boolean, created_at timestamp_ntz",
         partition="impression_date",
-        timestamps=words("impression_timestamp"),
-        dates=words("impression_date"),
+        timestamps=("impression_timestamp",),
+        dates=("impression_date",),
     ),
     TableSpec(
         "fact_offer_activations", "activation_id",
@@ -154,8 +150,8 @@ SOURCE_TABLES = (
         "activation_timestamp timestamp_ntz, activation_date date, offer_expiry_timestamp timestamp_ntz, "
         "activation_status string, created_at timestamp_ntz",
         partition="activation_date",
-        timestamps=words("activation_timestamp offer_expiry_timestamp"),
-        dates=words("activation_date"),
+        timestamps=("activation_timestamp", "offer_expiry_timestamp"),
+        dates=("activation_date",),
     ),
     TableSpec(
         "fact_offer_redemptions", "redemption_id",
@@ -164,9 +160,9 @@ SOURCE_TABLES = (
         "merchant_id string, redemption_timestamp timestamp_ntz, redemption_date date, transaction_amount double, "
         "calculated_reward_amount double, redemption_status string, created_at timestamp_ntz",
         partition="redemption_date",
-        timestamps=words("redemption_timestamp"),
-        dates=words("redemption_date"),
-        numerics=words("transaction_amount calculated_reward_amount"),
+        timestamps=("redemption_timestamp",),
+        dates=("redemption_date",),
+        numerics=("transaction_amount", "calculated_reward_amount"),
     ),
     TableSpec(
         "fact_control_group_transactions", "control_transaction_id",
@@ -175,9 +171,9 @@ SOURCE_TABLES = (
         "segment_id string, transaction_timestamp timestamp_ntz, transaction_date date, transaction_amount double, "
         "match_group_id string, match_quality_score double, shopper_behavior_type string, created_at timestamp_ntz",
         partition="transaction_date",
-        timestamps=words("transaction_timestamp"),
-        dates=words("transaction_date"),
-        numerics=words("transaction_amount match_quality_score"),
+        timestamps=("transaction_timestamp",),
+        dates=("transaction_date",),
+        numerics=("transaction_amount", "match_quality_score"),
     ),
     TableSpec(
         "fact_reward_liability", "reward_liability_id",
@@ -187,9 +183,9 @@ SOURCE_TABLES = (
         "merchant_funded_amount double, platform_funded_amount double, liability_status string, "
         "created_at timestamp_ntz",
         partition="liability_date",
-        timestamps=words("liability_timestamp"),
-        dates=words("liability_date"),
-        numerics=words("reward_amount merchant_funded_amount platform_funded_amount"),
+        timestamps=("liability_timestamp",),
+        dates=("liability_date",),
+        numerics=("reward_amount", "merchant_funded_amount", "platform_funded_amount"),
     ),
     TableSpec(
         "fact_merchant_settlements", "settlement_id",
@@ -199,9 +195,12 @@ SOURCE_TABLES = (
         "platform_funded_amount double, merchant_settlement_amount double, merchant_net_after_reward double, "
         "settlement_status string, created_at timestamp_ntz",
         partition="settlement_date",
-        dates=words("settlement_date"),
-        numerics=words(
-            "gross_transaction_amount platform_fee_amount merchant_settlement_amount merchant_net_after_reward"
+        dates=("settlement_date",),
+        numerics=(
+            "gross_transaction_amount",
+            "platform_fee_amount",
+            "merchant_settlement_amount",
+            "merchant_net_after_reward",
         ),
     ),
     TableSpec(
@@ -211,9 +210,9 @@ SOURCE_TABLES = (
         "risk_severity string, risk_score double, event_timestamp timestamp_ntz, event_date date, "
         "risk_event_status string, risk_event_description string, created_at timestamp_ntz",
         partition="event_date",
-        timestamps=words("event_timestamp"),
-        dates=words("event_date"),
-        numerics=words("risk_score"),
+        timestamps=("event_timestamp",),
+        dates=("event_date",),
+        numerics=("risk_score",),
     ),
     TableSpec(
         "fact_data_quality_reconciliation", "reconciliation_id",
@@ -223,8 +222,8 @@ SOURCE_TABLES = (
         "settlement_delta double, reconciliation_status string, reconciliation_reason string, "
         "created_at timestamp_ntz",
         partition="reconciliation_date",
-        dates=words("reconciliation_date"),
-        numerics=words("transaction_amount merchant_settlement_amount platform_fee_amount settlement_delta"),
+        dates=("reconciliation_date",),
+        numerics=("transaction_amount", "merchant_settlement_amount", "platform_fee_amount", "settlement_delta"),
     ),
 )
 
@@ -233,15 +232,15 @@ TABLE = {spec.name: spec for spec in SOURCE_TABLES}
 SCD_TABLES = (
     ScdSpec(
         "dim_merchant_clean", "dim_merchant_scd", "merchant_id",
-        words("merchant_name category_id location_id merchant_margin_rate platform_fee_rate"),
+        ("merchant_name", "category_id", "location_id", "merchant_margin_rate", "platform_fee_rate"),
     ),
     ScdSpec(
         "dim_offer_clean", "dim_offer_scd", "offer_id",
-        words("campaign_id merchant_id minimum_spend_amount reward_amount offer_start_date offer_end_date"),
+        ("campaign_id", "merchant_id", "minimum_spend_amount", "reward_amount", "offer_start_date", "offer_end_date"),
     ),
     ScdSpec(
         "dim_campaign_clean", "dim_campaign_scd", "campaign_id",
-        words("campaign_name campaign_start_date campaign_end_date"),
+        ("campaign_name", "campaign_start_date", "campaign_end_date"),
     ),
 )
 
@@ -262,11 +261,17 @@ RELATIONS = (
              "fact_data_quality_reconciliation", "transaction_id", "fact_transactions", "transaction_id"),
 )
 
-BRONZE_METADATA = words("ingestion_timestamp source_table_name source_file_path pipeline_run_id record_hash")
-SILVER_METADATA = words("silver_transformed_at silver_pipeline_run_id quality_status validation_rule_version")
-SCD_METADATA = words(
-    "effective_start_date effective_end_date is_current scd_record_hash scd_created_at scd_updated_at "
-    "scd_pipeline_run_id scd_rule_version"
+BRONZE_METADATA = ("ingestion_timestamp", "source_table_name", "source_file_path", "pipeline_run_id", "record_hash")
+SILVER_METADATA = ("silver_transformed_at", "silver_pipeline_run_id", "quality_status", "validation_rule_version")
+SCD_METADATA = (
+    "effective_start_date",
+    "effective_end_date",
+    "is_current",
+    "scd_record_hash",
+    "scd_created_at",
+    "scd_updated_at",
+    "scd_pipeline_run_id",
+    "scd_rule_version",
 )
 
 SILVER_RULES = "silver_rules_v1"
@@ -279,100 +284,263 @@ PROFITABILITY_RULES = "incrementality_profitability_rules_v1"
 CANNIBALIZATION_RULES = "cannibalization_rules_v1"
 
 MATCHED_TABLE = "fact_matched_offer_redemptions_clean"
-CELL = words("business_date offer_id campaign_id merchant_id")
-MERCHANT_DAY = words("business_date merchant_id")
+CELL = ("business_date", "offer_id", "campaign_id", "merchant_id")
+MERCHANT_DAY = ("business_date", "merchant_id")
 
-MATCHED_COLUMNS = words(
-    """matched_redemption_id transaction_id activation_id offer_id campaign_id merchant_id
-    tokenized_cardmember_id transaction_timestamp transaction_date transaction_amount activation_timestamp
-    offer_expiry_timestamp minimum_spend_amount reward_amount calculated_reward_amount
-    match_rule_version match_pipeline_run_id matched_at match_deduplication_reason"""
+MATCHED_COLUMNS = (
+    "matched_redemption_id",
+    "transaction_id",
+    "activation_id",
+    "offer_id",
+    "campaign_id",
+    "merchant_id",
+    "tokenized_cardmember_id",
+    "transaction_timestamp",
+    "transaction_date",
+    "transaction_amount",
+    "activation_timestamp",
+    "offer_expiry_timestamp",
+    "minimum_spend_amount",
+    "reward_amount",
+    "calculated_reward_amount",
+    "match_rule_version",
+    "match_pipeline_run_id",
+    "matched_at",
+    "match_deduplication_reason",
 )
-MERCHANT_DAILY_COLUMNS = words(
-    """business_date merchant_id transaction_count gross_spend_amount average_transaction_amount
-    matched_redemption_count redeemed_transaction_count redemption_rate reward_cost_amount average_reward_amount
-    merchant_margin_rate platform_fee_rate platform_fee_amount estimated_merchant_margin_amount
-    merchant_net_after_reward gold_pipeline_run_id gold_rule_version gold_created_at"""
+MERCHANT_DAILY_COLUMNS = (
+    "business_date",
+    "merchant_id",
+    "transaction_count",
+    "gross_spend_amount",
+    "average_transaction_amount",
+    "matched_redemption_count",
+    "redeemed_transaction_count",
+    "redemption_rate",
+    "reward_cost_amount",
+    "average_reward_amount",
+    "merchant_margin_rate",
+    "platform_fee_rate",
+    "platform_fee_amount",
+    "estimated_merchant_margin_amount",
+    "merchant_net_after_reward",
+    "gold_pipeline_run_id",
+    "gold_rule_version",
+    "gold_created_at",
 )
-OFFER_DAILY_COLUMNS = words(
-    """business_date offer_id campaign_id merchant_id campaign_name campaign_start_date campaign_end_date
-    minimum_spend_amount reward_amount matched_redemption_count redeemed_transaction_count
-    gross_redeemed_spend_amount reward_cost_amount average_redeemed_transaction_amount average_reward_amount
-    reward_to_redeemed_spend_ratio gold_pipeline_run_id gold_rule_version gold_created_at"""
+OFFER_DAILY_COLUMNS = (
+    "business_date",
+    "offer_id",
+    "campaign_id",
+    "merchant_id",
+    "campaign_name",
+    "campaign_start_date",
+    "campaign_end_date",
+    "minimum_spend_amount",
+    "reward_amount",
+    "matched_redemption_count",
+    "redeemed_transaction_count",
+    "gross_redeemed_spend_amount",
+    "reward_cost_amount",
+    "average_redeemed_transaction_amount",
+    "average_reward_amount",
+    "reward_to_redeemed_spend_ratio",
+    "gold_pipeline_run_id",
+    "gold_rule_version",
+    "gold_created_at",
 )
-INCREMENTALITY_COLUMNS = words(
-    """business_date offer_id campaign_id merchant_id minimum_spend_amount reward_amount merchant_margin_rate
-    platform_fee_rate test_cardmember_count test_transaction_count test_redemption_count total_test_spend_amount
-    total_test_reward_amount average_test_spend_per_cardmember average_test_reward_per_redemption
-    control_cardmember_count control_transaction_count total_control_spend_amount
-    average_control_spend_per_cardmember lift_per_cardmember lift_direction test_to_control_spend_ratio
-    lift_percentage incremental_revenue_amount absolute_incremental_revenue_amount incremental_revenue_direction
-    estimated_incremental_margin_amount estimated_incremental_platform_fee_amount
-    estimated_incremental_value_after_reward
-    incrementality_pipeline_run_id incrementality_rule_version incrementality_created_at"""
+INCREMENTALITY_COLUMNS = (
+    "business_date",
+    "offer_id",
+    "campaign_id",
+    "merchant_id",
+    "minimum_spend_amount",
+    "reward_amount",
+    "merchant_margin_rate",
+    "platform_fee_rate",
+    "test_cardmember_count",
+    "test_transaction_count",
+    "test_redemption_count",
+    "total_test_spend_amount",
+    "total_test_reward_amount",
+    "average_test_spend_per_cardmember",
+    "average_test_reward_per_redemption",
+    "control_cardmember_count",
+    "control_transaction_count",
+    "total_control_spend_amount",
+    "average_control_spend_per_cardmember",
+    "lift_per_cardmember",
+    "lift_direction",
+    "test_to_control_spend_ratio",
+    "lift_percentage",
+    "incremental_revenue_amount",
+    "absolute_incremental_revenue_amount",
+    "incremental_revenue_direction",
+    "estimated_incremental_margin_amount",
+    "estimated_incremental_platform_fee_amount",
+    "estimated_incremental_value_after_reward",
+    "incrementality_pipeline_run_id",
+    "incrementality_rule_version",
+    "incrementality_created_at",
 )
-FEATURE_COLUMNS = words(
-    """business_date offer_id campaign_id merchant_id minimum_spend_amount reward_amount merchant_margin_rate
-    platform_fee_rate normalized_merchant_margin_rate normalized_platform_fee_rate test_cardmember_count
-    test_transaction_count test_redemption_count total_test_spend_amount total_test_reward_amount
-    control_cardmember_count control_transaction_count total_control_spend_amount
-    average_test_spend_per_cardmember average_control_spend_per_cardmember lift_per_cardmember lift_direction
-    lift_percentage incremental_revenue_amount incremental_revenue_direction
-    estimated_incremental_margin_amount estimated_incremental_cogs_amount
-    estimated_incremental_platform_fee_amount platform_fee_revenue_base_amount funded_reward_cost_amount
-    net_merchant_profit_amount net_profit_per_test_cardmember net_profit_margin_on_incremental_revenue
-    profitability_status incremental_revenue_positive_flag net_profit_positive_flag
-    profitable_incremental_offer_flag spend_lift_but_profit_loss_flag negative_lift_and_unprofitable_flag
-    profitability_explanation total_offer_cost_amount reward_roas total_cost_roas margin_roas net_profit_roas
-    cost_per_incremental_revenue_dollar reward_cost_share_of_incremental_revenue
-    platform_fee_share_of_incremental_revenue efficiency_status
-    profitability_pipeline_run_id profitability_rule_version profitability_created_at"""
+FEATURE_COLUMNS = (
+    "business_date",
+    "offer_id",
+    "campaign_id",
+    "merchant_id",
+    "minimum_spend_amount",
+    "reward_amount",
+    "merchant_margin_rate",
+    "platform_fee_rate",
+    "normalized_merchant_margin_rate",
+    "normalized_platform_fee_rate",
+    "test_cardmember_count",
+    "test_transaction_count",
+    "test_redemption_count",
+    "total_test_spend_amount",
+    "total_test_reward_amount",
+    "control_cardmember_count",
+    "control_transaction_count",
+    "total_control_spend_amount",
+    "average_test_spend_per_cardmember",
+    "average_control_spend_per_cardmember",
+    "lift_per_cardmember",
+    "lift_direction",
+    "lift_percentage",
+    "incremental_revenue_amount",
+    "incremental_revenue_direction",
+    "estimated_incremental_margin_amount",
+    "estimated_incremental_cogs_amount",
+    "estimated_incremental_platform_fee_amount",
+    "platform_fee_revenue_base_amount",
+    "funded_reward_cost_amount",
+    "net_merchant_profit_amount",
+    "net_profit_per_test_cardmember",
+    "net_profit_margin_on_incremental_revenue",
+    "profitability_status",
+    "incremental_revenue_positive_flag",
+    "net_profit_positive_flag",
+    "profitable_incremental_offer_flag",
+    "spend_lift_but_profit_loss_flag",
+    "negative_lift_and_unprofitable_flag",
+    "profitability_explanation",
+    "total_offer_cost_amount",
+    "reward_roas",
+    "total_cost_roas",
+    "margin_roas",
+    "net_profit_roas",
+    "cost_per_incremental_revenue_dollar",
+    "reward_cost_share_of_incremental_revenue",
+    "platform_fee_share_of_incremental_revenue",
+    "efficiency_status",
+    "profitability_pipeline_run_id",
+    "profitability_rule_version",
+    "profitability_created_at",
 )
-RISK_FLAG_COLUMNS = words(
-    """weak_lift_flag negative_lift_flag negative_net_profit_flag low_total_cost_roas_flag
-    high_reward_cost_share_flag low_net_profit_margin_flag positive_spend_lift_but_profit_loss_flag
-    reward_cost_exceeds_incremental_margin_flag test_control_spend_similarity_ratio
-    test_control_spend_near_parity_flag"""
+RISK_FLAG_COLUMNS = (
+    "weak_lift_flag",
+    "negative_lift_flag",
+    "negative_net_profit_flag",
+    "low_total_cost_roas_flag",
+    "high_reward_cost_share_flag",
+    "low_net_profit_margin_flag",
+    "positive_spend_lift_but_profit_loss_flag",
+    "reward_cost_exceeds_incremental_margin_flag",
+    "test_control_spend_similarity_ratio",
+    "test_control_spend_near_parity_flag",
 )
-RISK_POINT_COLUMNS = words(
-    """negative_net_profit_risk_points negative_lift_risk_points weak_lift_risk_points
-    low_total_cost_roas_risk_points high_reward_cost_share_risk_points
-    positive_spend_lift_but_profit_loss_risk_points reward_cost_exceeds_incremental_margin_risk_points
-    test_control_spend_near_parity_risk_points"""
+RISK_POINT_COLUMNS = (
+    "negative_net_profit_risk_points",
+    "negative_lift_risk_points",
+    "weak_lift_risk_points",
+    "low_total_cost_roas_risk_points",
+    "high_reward_cost_share_risk_points",
+    "positive_spend_lift_but_profit_loss_risk_points",
+    "reward_cost_exceeds_incremental_margin_risk_points",
+    "test_control_spend_near_parity_risk_points",
 )
-RISK_DECISION_COLUMNS = words(
-    """cannibalization_risk_score cannibalization_risk_level cannibalization_action_recommendation
-    requires_merchant_review_flag requires_offer_redesign_flag safe_to_scale_flag
-    primary_cannibalization_risk_driver cannibalization_risk_reason cannibalization_risk_detail"""
+RISK_DECISION_COLUMNS = (
+    "cannibalization_risk_score",
+    "cannibalization_risk_level",
+    "cannibalization_action_recommendation",
+    "requires_merchant_review_flag",
+    "requires_offer_redesign_flag",
+    "safe_to_scale_flag",
+    "primary_cannibalization_risk_driver",
+    "cannibalization_risk_reason",
+    "cannibalization_risk_detail",
 )
-RISK_INPUT_COLUMNS = words(
-    """business_date offer_id campaign_id merchant_id minimum_spend_amount reward_amount merchant_margin_rate
-    platform_fee_rate test_cardmember_count test_transaction_count test_redemption_count total_test_spend_amount
-    total_test_reward_amount control_cardmember_count total_control_spend_amount
-    average_test_spend_per_cardmember average_control_spend_per_cardmember lift_per_cardmember lift_percentage
-    incremental_revenue_amount incremental_revenue_direction estimated_incremental_margin_amount
-    funded_reward_cost_amount estimated_incremental_platform_fee_amount net_merchant_profit_amount
-    net_profit_per_test_cardmember net_profit_margin_on_incremental_revenue profitability_status
-    profitable_incremental_offer_flag spend_lift_but_profit_loss_flag negative_lift_and_unprofitable_flag
-    total_offer_cost_amount reward_roas total_cost_roas margin_roas net_profit_roas
-    cost_per_incremental_revenue_dollar reward_cost_share_of_incremental_revenue
-    platform_fee_share_of_incremental_revenue efficiency_status"""
+RISK_INPUT_COLUMNS = (
+    "business_date",
+    "offer_id",
+    "campaign_id",
+    "merchant_id",
+    "minimum_spend_amount",
+    "reward_amount",
+    "merchant_margin_rate",
+    "platform_fee_rate",
+    "test_cardmember_count",
+    "test_transaction_count",
+    "test_redemption_count",
+    "total_test_spend_amount",
+    "total_test_reward_amount",
+    "control_cardmember_count",
+    "total_control_spend_amount",
+    "average_test_spend_per_cardmember",
+    "average_control_spend_per_cardmember",
+    "lift_per_cardmember",
+    "lift_percentage",
+    "incremental_revenue_amount",
+    "incremental_revenue_direction",
+    "estimated_incremental_margin_amount",
+    "funded_reward_cost_amount",
+    "estimated_incremental_platform_fee_amount",
+    "net_merchant_profit_amount",
+    "net_profit_per_test_cardmember",
+    "net_profit_margin_on_incremental_revenue",
+    "profitability_status",
+    "profitable_incremental_offer_flag",
+    "spend_lift_but_profit_loss_flag",
+    "negative_lift_and_unprofitable_flag",
+    "total_offer_cost_amount",
+    "reward_roas",
+    "total_cost_roas",
+    "margin_roas",
+    "net_profit_roas",
+    "cost_per_incremental_revenue_dollar",
+    "reward_cost_share_of_incremental_revenue",
+    "platform_fee_share_of_incremental_revenue",
+    "efficiency_status",
 )
 RISK_COLUMNS = (
     RISK_INPUT_COLUMNS
     + RISK_FLAG_COLUMNS
     + RISK_POINT_COLUMNS
     + RISK_DECISION_COLUMNS
-    + words("cannibalization_pipeline_run_id cannibalization_rule_version cannibalization_created_at")
+    + ("cannibalization_pipeline_run_id", "cannibalization_rule_version", "cannibalization_created_at")
 )
 
 # Columns a broadly shared mart must not carry.
-PROHIBITED_COLUMNS = words(
-    "card_number pan primary_account_number full_card_number account_number email phone_number real_name "
-    "street_address"
+PROHIBITED_COLUMNS = (
+    "card_number",
+    "pan",
+    "primary_account_number",
+    "full_card_number",
+    "account_number",
+    "email",
+    "phone_number",
+    "real_name",
+    "street_address",
 )
-SENSITIVE_COLUMNS = words(
-    "tokenized_cardmember_id consent_status privacy_eligibility_flag risk_score abuse_score risk_rule_id "
-    "transaction_id activation_id redemption_id"
+SENSITIVE_COLUMNS = (
+    "tokenized_cardmember_id",
+    "consent_status",
+    "privacy_eligibility_flag",
+    "risk_score",
+    "abuse_score",
+    "risk_rule_id",
+    "transaction_id",
+    "activation_id",
+    "redemption_id",
 )
 MIN_COHORT = 50
