@@ -1,8 +1,11 @@
 """Masked pseudo-likelihood of documents under a bidirectional window network.
 
-Tokens are runs of other characters than ASCII white space (A-Z lower-cased). The vocabulary is the corpus's most
-frequent tokens, counted over all documents; other tokens fall into hashed buckets. The network sees the SIDE tokens on
-either side of a masked position and predicts the token in two steps, its class and its place in the class. It is
+Tokens are runs of other characters than ASCII white space (A-Z lower-cased) and are counted over all documents. The
+network knows units: the corpus's most frequent tokens, and hashed buckets for the others; their number grows with the
+square root of that of the distinct tokens. It sees the SIDE units on either side of a masked position and predicts the
+unit in two steps, its class and its place in the class. A token of a bucket has the bucket's probability times its
+share of it, n / (total of the bucket + 1), from the table of all counts, which is joined and never gathered; what is
+left of a bucket goes to a token that the corpus does not hold. The network is
 trained in numpy: in each round every task starts from the same weights, takes gradient steps on the masked positions
 (a hash picks MASKED of them) of all its documents and gives its weights, which are averaged by the number of
 positions, in a tree, so that the driver adds up at most MERGED of them. Scores sum up the log-probabilities of all
@@ -15,6 +18,7 @@ one model; other columns and null ids are left alone; an empty table gives an em
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from math import isqrt
@@ -24,26 +28,43 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import lower_ascii, map_arrow
+from spendlens.llm.common import lower_ascii, map_arrow, stored
 
-SIDE, WIDTH, CLASSES, PLACES = 2, 16, 32, 32
-SIZE = CLASSES * PLACES
-BUCKETS, MASKED, ROUNDS, MERGED = 64, 0.15, 2, 32
+SIDE, WIDTH, LEAST_CLASSES = 2, 16, 32
+MASKED, ROUNDS, MERGED = 0.15, 2, 32
 PAD, BLOCK, BATCH, RATE = 0, 8192, 1024, 0.1
-SHAPES = {"window": (2 * SIDE, SIZE, WIDTH), "bias": (WIDTH,), "kind": (WIDTH, CLASSES), "kind_bias": (CLASSES,),
-          "place": (CLASSES, WIDTH, PLACES), "place_bias": (CLASSES, PLACES)}
-LENGTH = sum(int(np.prod(s)) for s in SHAPES.values())
 OFFSETS = np.array([k for k in range(-SIDE, SIDE + 1) if k])
+#: Log-counts are added up as whole numbers of this part, so that a sum doesn't depend on its order.
+STEP = 1e9
 
 
-def start_weights() -> np.ndarray:
+def classes_for(distinct: int) -> int:
+    """Classes of the network, and places in each, for so many distinct tokens: 2 * sqrt(distinct) units at least."""
+    return max(LEAST_CLASSES, 8 * -(-(isqrt(2 * isqrt(distinct)) + 1) // 8))
+
+
+def buckets_of(classes: int) -> int:
+    return classes * classes // 16
+
+
+def shapes(classes: int) -> dict[str, tuple[int, ...]]:
+    return {"window": (2 * SIDE, classes * classes, WIDTH), "bias": (WIDTH,), "kind": (WIDTH, classes), "kind_bias": (classes,),
+            "place": (classes, WIDTH, classes), "place_bias": (classes, classes)}
+
+
+def classes_in(flat: np.ndarray) -> int:
+    """The number of classes whose weights are as many as `flat` has."""
+    return isqrt(len(flat) // (2 * SIDE * WIDTH + WIDTH + 1))
+
+
+def start_weights(classes: int = LEAST_CLASSES) -> np.ndarray:
     draw = np.random.default_rng(11)
-    return (draw.normal(size=LENGTH) * 0.05).astype(np.float32)
+    return (draw.normal(size=sum(int(np.prod(s)) for s in shapes(classes).values())) * 0.05).astype(np.float32)
 
 
 def unpacked(flat: np.ndarray) -> dict[str, np.ndarray]:
     out, at = {}, 0
-    for name, shape in SHAPES.items():
+    for name, shape in shapes(classes_in(flat)).items():
         size = int(np.prod(shape))
         out[name] = flat[at:at + size].reshape(shape)
         at += size
@@ -56,20 +77,25 @@ def token_counts(docs: DataFrame) -> DataFrame:
     return docs.select(F.explode_outer(words).alias("token")).where("token <> ''").groupBy("token").agg(F.count("*").alias("n"))
 
 
-def vocabulary(docs: DataFrame) -> dict[bytes, int]:
-    """The most frequent tokens (ties in byte order) and their ids; frequency ranks are dealt over the classes."""
-    rows = token_counts(docs).orderBy(F.desc("n"), "token").limit(SIZE - 1 - BUCKETS).collect()
-    return {r["token"].encode(): 1 + BUCKETS + i for i, r in enumerate(rows)}
+def split_tokens(text: str | None) -> list[bytes]:
+    return (text or "").encode().lower().split()
 
 
 @dataclass
 class WindowModel:
-    ids: dict[bytes, int]
+    ids: dict[bytes, int] = field(default_factory=dict)
     flat: np.ndarray = field(default_factory=start_weights)
+    #: By unit: the logarithm of a bucket's total count and 1; 0 for tokens of the vocabulary.
+    totals: np.ndarray = field(default_factory=lambda: np.zeros(LEAST_CLASSES * LEAST_CLASSES))
+    #: token, n of the tokens in buckets.
+    counts: DataFrame | None = field(default=None, repr=False)
+
+    def __getstate__(self):
+        return {"ids": self.ids, "flat": self.flat, "totals": self.totals, "counts": None}
 
     def tokens(self, text: str | None) -> list[int]:
-        get = self.ids.get
-        return [get(t) or 1 + zlib.crc32(t) % BUCKETS for t in (text or "").encode().lower().split()]
+        get, buckets = self.ids.get, buckets_of(classes_in(self.flat))
+        return [get(t) or 1 + zlib.crc32(t) % buckets for t in split_tokens(text)]
 
     def stream(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Padded ids of several texts, the positions of their tokens, and the number of tokens of each."""
@@ -85,6 +111,21 @@ class WindowModel:
         return np.array(flat, np.int64), where, counts
 
 
+def counted_model(docs: DataFrame) -> WindowModel:
+    """Units and counts of a corpus, untrained. The most frequent tokens (ties in byte order) are units of their own, and
+    their frequency ranks are dealt over the classes; the counts of all other tokens stay a table."""
+    counts = stored(token_counts(docs), "tokens")
+    classes = classes_for(counts.count())
+    buckets = buckets_of(classes)
+    rows = counts.orderBy(F.desc("n"), "token").limit(classes * classes - 1 - buckets).collect()
+    ids = {r["token"].encode(): 1 + buckets + i for i, r in enumerate(rows)}
+    rest = counts.where((F.col("n") < rows[-1]["n"]) | ((F.col("n") == rows[-1]["n"]) & (F.col("token") > rows[-1]["token"]))) if rows else counts
+    totals = np.zeros(classes * classes)
+    for r in rest.groupBy((1 + F.crc32(F.col("token").cast("binary")) % buckets).alias("unit")).agg(F.sum("n").alias("n")).collect():
+        totals[r["unit"]] = np.log1p(r["n"])
+    return WindowModel(ids, start_weights(classes), totals, rest)
+
+
 def _softmax(logits: np.ndarray) -> np.ndarray:
     logits -= logits.max(1, keepdims=True)
     np.exp(logits, out=logits)
@@ -98,18 +139,18 @@ def _hidden(w, ids: np.ndarray, at: np.ndarray) -> tuple[list[np.ndarray], np.nd
 
 
 def log_probabilities(flat: np.ndarray, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Natural log-probability of the token at each position, given those around it."""
-    w = unpacked(flat)
+    """Natural log-probability of the unit at each position, given those around it."""
+    w, classes = unpacked(flat), classes_in(flat)
     out = np.empty(len(at))
     for start in range(0, len(at), BLOCK):
         here = at[start:start + BLOCK]
         _, hidden = _hidden(w, ids, here)
-        kind, place = np.divmod(ids[here], PLACES)
+        kind, place = np.divmod(ids[here], classes)
         rows = np.arange(len(here))
         p = _softmax(hidden @ w["kind"] + w["kind_bias"])[rows, kind]
         order = np.argsort(kind, kind="stable")
-        bounds = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
+        bounds = np.searchsorted(kind[order], np.arange(classes + 1))
+        for c in range(classes):
             of = order[bounds[c]:bounds[c + 1]]
             if len(of):
                 p[of] *= _softmax(hidden[of] @ w["place"][c] + w["place_bias"][c])[np.arange(len(of)), place[of]]
@@ -119,41 +160,45 @@ def log_probabilities(flat: np.ndarray, ids: np.ndarray, at: np.ndarray) -> np.n
 
 def train_on(flat: np.ndarray, ids: np.ndarray, at: np.ndarray, squares: np.ndarray) -> None:
     """One Adagrad step on `flat` (in place; `squares` holds the summed squares) for each BATCH of masked positions."""
-    w = unpacked(flat)
-    gradient = np.zeros(LENGTH, np.float32)
-    g = unpacked(gradient)
+    w, sums, classes = unpacked(flat), unpacked(squares), classes_in(flat)
+
+    def step(name: str, at, g: np.ndarray) -> None:
+        # Weights without a gradient don't move, so only the rows that were met are touched.
+        g /= n
+        sums[name][at] += g * g
+        w[name][at] -= RATE * g / np.sqrt(sums[name][at] + 1e-10)
+
     for start in range(0, len(at), BATCH):
         here = at[start:start + BATCH]
         n = len(here)
         context, hidden = _hidden(w, ids, here)
-        kind, place = np.divmod(ids[here], PLACES)
+        kind, place = np.divmod(ids[here], classes)
         wrong = _softmax(hidden @ w["kind"] + w["kind_bias"])
         wrong[np.arange(n), kind] -= 1
         back = wrong @ w["kind"].T
-        gradient[:] = 0
-        g["kind"][:] = hidden.T @ wrong
-        g["kind_bias"][:] = wrong.sum(0)
+        step("kind", ..., hidden.T @ wrong)
+        step("kind_bias", ..., wrong.sum(0))
         order = np.argsort(kind, kind="stable")
-        bounds = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
+        bounds = np.searchsorted(kind[order], np.arange(classes + 1))
+        for c in range(classes):
             of = order[bounds[c]:bounds[c + 1]]
             if len(of):
                 wrong = _softmax(hidden[of] @ w["place"][c] + w["place_bias"][c])
                 wrong[np.arange(len(of)), place[of]] -= 1
                 back[of] += wrong @ w["place"][c].T
-                g["place"][c] = hidden[of].T @ wrong
-                g["place_bias"][c] = wrong.sum(0)
+                step("place", c, hidden[of].T @ wrong)
+                step("place_bias", c, wrong.sum(0))
         back *= 1 - hidden * hidden
-        g["bias"][:] = back.sum(0)
+        step("bias", ..., back.sum(0))
         for k, c in enumerate(context):
-            np.add.at(g["window"][k], c, back)
-        gradient /= n
-        squares += gradient * gradient
-        flat -= RATE * gradient / np.sqrt(squares + 1e-10)
+            met, row = np.unique(c, return_inverse=True)
+            g = np.zeros((len(met), WIDTH), np.float32)
+            np.add.at(g, row, back)
+            step("window", (k, met), g)
 
 
 def _trained(batches: Iterator[pa.RecordBatch], ids: dict[bytes, int], flat: np.ndarray) -> Iterator[pa.RecordBatch]:
-    model, weights, squares, seen = WindowModel(ids), flat.copy(), np.zeros(LENGTH, np.float32), 0
+    model, weights, squares, seen = WindowModel(ids, flat), flat.copy(), np.zeros(len(flat), np.float32), 0
     for whole in batches:
         for start in range(0, whole.num_rows, 500):
             tokens, at, _ = model.stream(whole.slice(start, 500).column("text").to_pylist())
@@ -165,17 +210,17 @@ def _trained(batches: Iterator[pa.RecordBatch], ids: dict[bytes, int], flat: np.
 
 
 def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total, seen = np.zeros(LENGTH), 0
+    total, seen = 0.0, 0
     for batch in batches:
         for n, raw in zip(batch.column("seen").to_pylist(), batch.column("weights").to_pylist()):
-            total += n * np.frombuffer(raw, np.float32)
+            total = total + n * np.frombuffer(raw, np.float32).astype(float)
             seen += n
     if seen:
         yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([(total / seen).astype(np.float32).tobytes()], pa.binary())], ["seen", "weights"])
 
 
 def train(docs: DataFrame, rounds: int = ROUNDS) -> WindowModel:
-    model = WindowModel(vocabulary(docs))
+    model = counted_model(docs)
     texts = docs.select("text").where("text is not null")
     schema = "seen bigint, weights binary"
     for _ in range(rounds):
@@ -190,6 +235,15 @@ def train(docs: DataFrame, rounds: int = ROUNDS) -> WindowModel:
     return model
 
 
+def _rare(words: list[list[bytes]], ids: dict[bytes, int]) -> pa.ListArray:
+    """The tokens of each text that stand in buckets, and how often."""
+    found = [Counter(t for t in row if t not in ids) for row in words]
+    pairs = pa.StructArray.from_arrays([
+        pa.array([t for row in found for t in row], pa.binary()).cast(pa.string()), pa.array([n for row in found for n in row.values()], pa.int64())],
+        ["token", "times"])
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(row) for row in found])], pa.int32()), pairs)
+
+
 def score_documents(docs: DataFrame, model: WindowModel) -> DataFrame:
     """doc_id, n_tokens, log_likelihood (sum, natural log), mean_log_likelihood, pseudo_perplexity."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -198,13 +252,23 @@ def score_documents(docs: DataFrame, model: WindowModel) -> DataFrame:
         for whole in batches:
             for start in range(0, whole.num_rows, 500):
                 batch = whole.slice(start, 500)
-                tokens, at, counts = model.stream(batch.column("text").to_pylist())
-                logs = np.r_[0.0, np.cumsum(log_probabilities(model.flat, tokens, at))]
+                texts = batch.column("text").to_pylist()
+                tokens, at, counts = model.stream(texts)
+                logs = np.r_[0.0, np.cumsum(log_probabilities(model.flat, tokens, at) - model.totals[tokens[at]])]
                 ends = np.cumsum(counts)
                 sums = logs[ends] - logs[ends - counts]
-                means = [s / n if n else None for s, n in zip(sums, counts)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(counts), pa.array(sums), pa.array(means, pa.float64())], ["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"])
-
-    scored = map_arrow(docs.select("doc_id", "text"), run, f"doc_id {kind}, n_tokens bigint, log_likelihood double, mean_log_likelihood double")
-    return scored.withColumn("pseudo_perplexity", F.exp(-F.col("mean_log_likelihood")))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts), pa.array(sums), _rare([split_tokens(t) for t in texts], model.ids)],
+                                                 ["doc_id", "n_tokens", "units", "rare"])
+
+    scored = map_arrow(docs.select("doc_id", "text"), run, f"doc_id {kind}, n_tokens bigint, units double, rare array<struct<token:string,times:bigint>>")
+    log_likelihood = F.col("units")
+    if model.counts is not None:
+        # What a bucket's tokens have of it: their counts; a count of 1 adds nothing, nor does a token that was never seen.
+        scored = stored(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
+        often = model.counts.where("n > 1").select("token", F.round(F.log("n") * STEP).cast("long").alias("steps"))
+        added = scored.select("row", F.inline("rare")).join(often, "token").groupBy("row").agg(F.sum(F.col("times") * F.col("steps")).alias("steps"))
+        scored = scored.drop("rare").join(added, "row", "left")
+        log_likelihood = F.col("units") + F.coalesce("steps", F.lit(0)) / F.lit(STEP)
+    summed = scored.select("doc_id", "n_tokens", log_likelihood.alias("log_likelihood"))
+    mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
+    return summed.withColumn("mean_log_likelihood", mean).withColumn("pseudo_perplexity", F.exp(-F.col("mean_log_likelihood")))

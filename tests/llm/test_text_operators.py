@@ -329,3 +329,24 @@ def test_pipeline_takes_odd_rows(spark, small, odd):
         at = stage(spark, at, small)
     assert at.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     at.collect()
+
+
+def test_each_rare_token_has_a_probability_of_its_own(spark):
+    classes = pseudolm.LEAST_CLASSES
+    buckets = pseudolm.buckets_of(classes)
+    common = [f"c{i}" for i in range(classes * classes - 1 - buckets)]
+    same = [w for w in (f"r{i}" for i in range(2000)) if zlib.crc32(w.encode()) % buckets == 5]
+    corpus = spark.createDataFrame([(1, " ".join(common * 9)), (2, " ".join([same[0]] * 6 + [same[1]] * 2 + [same[2]]))], "doc_id int, text string")
+    model = pseudolm.train(corpus)
+    texts = [f"c1 c2 {w} c3 c4" for w in same[:4]]
+    got = [r.log_likelihood for r in pseudolm.score_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), model).orderBy("doc_id").collect()]
+    assert len(model.ids) == len(common) and np.allclose(np.array(got) - got[2], np.log([6, 2, 1, 1]), atol=1e-6)
+    ids, at, _ = model.stream(texts[:1])
+    assert np.isclose(got[0], pseudolm.log_probabilities(model.flat, ids, at).sum() + np.log(6 / 10), atol=1e-6)
+
+
+def test_units_grow_with_the_corpus():
+    sizes = [pseudolm.classes_for(n) for n in (0, 10_000, 400_000, 40_000_000, 4_000_000_000)]
+    assert sizes == sorted(sizes) and sizes[0] < sizes[2] < sizes[3] < sizes[4]
+    assert all(c * c >= 2 * n ** 0.5 for c, n in zip(sizes, (0, 10_000, 400_000, 40_000_000, 4_000_000_000)))
+    assert all(pseudolm.classes_in(pseudolm.start_weights(c)) == c for c in (32, 40, 88))
