@@ -12,7 +12,7 @@ meets, adds up links per vector, and gives the pairs' components as stars.
 Defined results: null, empty and zero vectors and vectors with a null or non-finite component link with nothing;
 vectors of different lengths link with nothing; a null vec_id links with nothing, has no component and is kept; rows
 with one vec_id are one vector; other columns are left alone; an empty table gives an empty table. A pair at the
-threshold 0.9 is found with probability 0.92, at 0.95 with 0.997 and above (measured in the tests).
+threshold 0.9 is found with probability 0.969, at 0.95 with 0.9996 (20,000 made pairs each).
 """
 
 from __future__ import annotations
@@ -145,7 +145,7 @@ def _links(rows: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray, np
     pairs = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
     if not pairs.shape[1]:
         return (np.empty(0, np.int64),) * 3
-    # A pair counts in the first table in which one of the two stands where the other stands or looks, and there once.
+    # A pair counts in the first table in which the two share any of their four cells, and there in the first of those.
     own = np.zeros((len(node), TABLES, 4), np.int64)
     used = np.unique(pairs)
     for d in np.unique(size[used]):
@@ -155,11 +155,8 @@ def _links(rows: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray, np
     for start in range(0, pairs.shape[1], 50_000):
         x, y = pairs[:, start:start + 50_000]
         x, y = np.where(node[x] < node[y], x, y), np.where(node[x] < node[y], y, x)
-        x_in_y, y_in_x = (own[x][:, :, :1] == own[y]).any(2), (own[y][:, :, :1] == own[x]).any(2)
-        at = np.arange(len(x))
-        table = (x_in_y | y_in_x).argmax(1)
-        place_of = np.where(x_in_y[at, table], own[x, table, 0], own[y, table, 0])
-        keep.append(place_of == cell[x])
+        shared = (own[x][:, :, :, None] == own[y][:, :, None, :]).any(3).reshape(len(x), -1)
+        keep.append(own[x].reshape(len(x), -1)[np.arange(len(x)), shared.argmax(1)] == cell[x])
     x, y = pairs[:, np.concatenate(keep)]
     names, back, index = np.unique(node, return_index=True, return_inverse=True)
     a, b, weight = index[x], index[y], copies[back]

@@ -350,3 +350,20 @@ def test_units_grow_with_the_corpus():
     assert sizes == sorted(sizes) and sizes[0] < sizes[2] < sizes[3] < sizes[4]
     assert all(c * c >= 2 * n ** 0.5 for c, n in zip(sizes, (0, 10_000, 400_000, 40_000_000, 4_000_000_000)))
     assert all(pseudolm.classes_in(pseudolm.start_weights(c)) == c for c in (32, 40, 88))
+
+
+def test_pairs_that_meet_only_where_both_look_are_linked(spark):
+    draw = np.random.default_rng(9)
+    a = lattice.units(draw.normal(size=(1500, 64)))
+    b = draw.normal(size=a.shape)
+    b = lattice.units(b - (b * a).sum(1, keepdims=True) * a)
+    b = lattice.units(0.9001 * a + np.sqrt(1 - 0.9001**2) * b)
+    x, y = lattice.cells(a), lattice.cells(b)
+    meet = (x[:, :, :, None] == y[:, :, None, :]).any((1, 2, 3))
+    narrow = ((x[:, :, :1] == y).any(2) | (y[:, :, :1] == x).any(2)).any(1)
+    assert (meet & ~narrow).sum() > 20
+    rows = [(2 * i, v.tolist()) for i, v in enumerate(a)] + [(2 * i + 1, v.tolist()) for i, v in enumerate(b)]
+    got = {r.vec_id: r for r in lattice.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    linked = np.array([got[2 * i].n_links >= 1 and got[2 * i + 1].component_id == got[2 * i].component_id for i in range(len(a))])
+    assert (linked == meet).all()
+    print("recall", linked.mean(), "narrow", narrow.mean())
