@@ -43,7 +43,14 @@ BLOCKS = frozenset((
 LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption hgroup".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr param".split())
 SIDE = frozenset("nav aside footer header form menu dialog search fieldset address".split())
-RAW = "script|style|noscript|template|svg|math|iframe|object|canvas|select|textarea|button|title|head"
+#: Elements whose text is no markup and, unclosed, goes on to the end of the page.
+RAW = "script|style|title"
+#: Elements whose content is dropped: up to their closing tag, or else to the end of the element that holds them.
+DROPPED = frozenset("noscript template svg math iframe object canvas select textarea button head foreignobject".split())
+#: Of these, those that a block element ends, those that are closed by `/>`, and those that another of their kind ends.
+NO_BLOCKS, SELF_CLOSED, NOT_NESTED = frozenset(("svg", "math", "select")), frozenset(("svg", "math", "foreignobject")), frozenset(("button", "select"))
+IN_HEAD = frozenset("base basefont bgsound link meta noscript template".split())
+PAGE = frozenset("html body main article".split())
 MARKS = frozenset((
     "ad ads adv advert advertisement adverts banner promo promotion promoted sponsor sponsored menu nav navbar navigation breadcrumb breadcrumbs "
     "sidebar side aside footer header masthead cookie cookies consent notice gdpr alert popup modal overlay newsletter subscribe subscription signup "
@@ -67,7 +74,7 @@ def _is_side(name: str, attributes: str, inside_article: bool) -> bool:
         return True
     if not attributes:
         return False
-    for found in MARK.finditer(attributes):
+    for found in MARK.finditer(attributes) if name not in PAGE else ():
         value = next(g for g in found.groups() if g is not None)
         if not MARKS.isdisjoint(CUT.split(re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower())):
             return True
@@ -81,6 +88,7 @@ def blocks(page: str | None) -> list[tuple[str, str, int, bool]]:
     text: list[str] = []
     linked = 0
     in_link = False
+    dropped = 0  # the place of the outermost dropped element
 
     def flush() -> None:
         nonlocal linked
@@ -95,12 +103,48 @@ def blocks(page: str | None) -> list[tuple[str, str, int, bool]]:
         name = found.group(3)
         if name is None:
             plain = found.group(5)
-            if plain is not None:
+            if plain is not None and stack[-1][0] == "head" and plain.strip():
+                del stack[-1]
+                dropped = 0
+            if plain is not None and not dropped:
                 plain = html.unescape(plain)
                 text.append(plain)
                 linked += len(plain.strip()) * in_link
             continue
         name, closing = name.lower(), bool(found.group(2))
+        if not closing and dropped:
+            at = 0
+            if name == "body" or (stack[-1][0] == "head" and name not in IN_HEAD):
+                at = next((i for i in range(dropped, len(stack)) if stack[i][0] == "head"), 0)
+            elif name in NOT_NESTED:
+                at = next((i for i in range(dropped, len(stack)) if stack[i][0] == name), 0)
+            elif name in BLOCKS and name not in VOID:
+                at = next((i for i in range(len(stack) - 1, dropped - 1, -1) if stack[i][0] not in NO_BLOCKS), dropped - 1) + 1
+            if at and at < len(stack):
+                del stack[at:]
+                dropped = dropped if dropped < len(stack) else 0
+        if name in DROPPED:
+            at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0) if closing else 0
+            if at:
+                del stack[at:]
+                dropped = dropped if dropped < len(stack) else 0
+            elif not closing and not (name in SELF_CLOSED and (found.group(4) or "").endswith("/")) and (name != "foreignobject" or dropped):
+                dropped = dropped or len(stack)
+                stack.append((name, *stack[-1][1:]))
+            continue
+        if dropped:
+            # Inside, elements are only counted, up to the end of the one that holds the dropped element.
+            if name in BLOCKS and name not in VOID:
+                at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0) if closing else 0
+                if at > dropped:
+                    del stack[at:]
+                elif at:
+                    flush()
+                    del stack[at:]
+                    dropped, in_link = 0, False
+                elif not closing:
+                    stack.append((name, *stack[-1][1:]))
+            continue
         if name == "a":
             in_link = not closing
         if name not in BLOCKS:

@@ -367,3 +367,27 @@ def test_pairs_that_meet_only_where_both_look_are_linked(spark):
     linked = np.array([got[2 * i].n_links >= 1 and got[2 * i + 1].component_id == got[2 * i].component_id for i in range(len(a))])
     assert (linked == meet).all()
     print("recall", linked.mean(), "narrow", narrow.mean())
+
+
+@pytest.mark.parametrize("page,text", [
+    ("<html><head><meta charset=x><body><p>all</p>", ["all"]),
+    ("<html><head><title>t</title><script>s()</script><noscript><img src=x></noscript><p>all</p>", ["all"]),
+    ('<article><p>a<svg class="i"/></p><p>kept</p></article>', ["a", "kept"]),
+    ("<article><p>a<math/>b</p><p>kept</p><svg><text>no</text></svg></article>", ["ab", "kept"]),
+    ("<div><p>a<svg><path d=x></p><p>kept</p></div>", ["a", "kept"]),
+    ("<article><div>a<button>no</div><p>kept</p><button>no</button></article><p>end</p>", ["a", "kept", "end"]),
+    ("<div>a<select><option>no<p>kept</p></div><p>end</p>", ["a", "kept", "end"]),
+    ("<div>a<noscript>no<div>no</div></div><p>kept</p>", ["a", "kept"]),
+    ("<div>a<iframe src=x></div><div>b<object>no</div><p>kept</p>", ["a", "b", "kept"]),
+    ("<p>a<noscript><div>no</div></noscript>b<svg><foreignObject><div>no</div></foreignObject></svg>c</p>", ["abc"]),
+    ("<p>a<button><svg/>no</button>b</p><p>c", ["ab", "c"]),
+    ("<p>a</p><script>no<p>no", ["a"]),
+])
+def test_unclosed_elements_drop_no_further_text(page, text):
+    assert [b[1] for b in templates.blocks(page)] == text
+
+
+def test_pages_own_elements_are_never_side():
+    page = '<html class="no-js cookie"><body class="right-sidebar"><main id="main-share"><article class="comment-open"><p>text</p></article></main><div class="comments"><p>no</p></div></body></html>'
+    assert [(b[1], b[3]) for b in templates.blocks(page)] == [("text", False), ("no", True)]
+    assert templates.main_text(page, None, frozenset()) == "text"
