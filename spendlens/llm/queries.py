@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlens.llm import cotraining, decontaminate, lattice, licences, neardup, pieces, pseudolm, sharding, templates, toxicity
+from spendlens.llm import cotraining, decontaminate, infill, lattice, licences, neardup, negatives, pieces, pseudolm, sharding, templates, toxicity
 from spendlens.llm.common import ASCII_LOWER, ASCII_UPPER, table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -77,9 +77,22 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Anchors are ids divisible by 100; where 7 divides an id, its label moves on by one, to make labels disagree with vectors."""
+    vectors, label = table(spark, folder, "embeddings"), F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.hard_negatives(vectors.select("vec_id", moved.alias("label"), "embedding"), F.col("vec_id") % 100 == 0)
+
+
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    done = infill.restore(infill.fill_in_middle(table(spark, folder, "documents").select("doc_id", "text")))
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                       F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_licences, op2_near_duplicates, op3_quality, op4_main_text, op5_pseudo_likelihood, op6_near_vectors, op7_toxicity,
-    op8_pieces, op9_shards, op10_decontaminate)}
+    op8_pieces, op9_shards, op10_decontaminate, op11_hard_negatives, op13_fill_in_middle)}
 
 
 def _quoted(text: str) -> str:
@@ -151,4 +164,29 @@ items AS (
 SELECT d.doc_id, len(d.w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
   sha256(coalesce(items.ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id""",
+    "op11_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, id, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id, (row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id))::INTEGER AS rank,
+  s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+QUALIFY rank <= 5""",
+    "op13_fill_in_middle": """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+drawn AS (
+  SELECT doc_id, t, n, ('0x' || h[1:8])::UBIGINT % (n + 1) AS x, ('0x' || h[9:16])::UBIGINT % (n + 1) AS y,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || h[17:24])::UBIGINT % 100 >= 90 THEN 'plain'
+      WHEN ('0x' || h[25:32])::UBIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+cut AS (
+  SELECT doc_id, t, n, form, least(x, y)::BIGINT AS a, (greatest(x, y) - least(x, y))::BIGINT AS b,
+    substring(t, 1, a) AS prefix, substring(t, a + 1, b) AS middle, substring(t, a + b + 1) AS suffix FROM drawn)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256 FROM cut""",
 }
