@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlens.llm import cotraining, decontaminate, infill, lattice, licences, neardup, negatives, pieces, pseudolm, sharding, templates, toxicity
+from spendlens.llm import cotraining, decontaminate, infill, langid, lattice, licences, neardup, negatives, pieces, pseudolm, sharding, templates, toxicity
 from spendlens.llm.common import ASCII_LOWER, ASCII_UPPER, table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -84,6 +84,13 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return negatives.hard_negatives(vectors.select("vec_id", moved.alias("label"), "embedding"), F.col("vec_id") % 100 == 0)
 
 
+def op12_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    apart = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(True))
+    model = langid.learn_languages(docs, ~apart, public_tokenizers.path(PIECE_MODEL))
+    return langid.with_language(docs, model).select("doc_id", apart.alias("held_out"), "lang_pred", "score")
+
+
 def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     done = infill.restore(infill.fill_in_middle(table(spark, folder, "documents").select("doc_id", "text")))
     return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
@@ -92,7 +99,7 @@ def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_licences, op2_near_duplicates, op3_quality, op4_main_text, op5_pseudo_likelihood, op6_near_vectors, op7_toxicity,
-    op8_pieces, op9_shards, op10_decontaminate, op11_hard_negatives, op13_fill_in_middle)}
+    op8_pieces, op9_shards, op10_decontaminate, op11_hard_negatives, op12_language, op13_fill_in_middle)}
 
 
 def _quoted(text: str) -> str:
