@@ -53,7 +53,7 @@ def planes_for(numbers: np.ndarray) -> int:
     """Bits that hold the numbers in two's complement."""
     if not numbers.size:
         return 1
-    return 1 + max(int(numbers.max()).bit_length(), int(-numbers.min() - 1).bit_length() if numbers.min() < 0 else 0)
+    return 1 + max(max(int(numbers.max()), 0).bit_length(), max(-int(numbers.min()) - 1, 0).bit_length())
 
 
 def pack(numbers: np.ndarray, planes: int) -> np.ndarray:

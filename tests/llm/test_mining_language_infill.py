@@ -59,7 +59,7 @@ def test_hard_negatives_against_brute_force(spark):
     hot = [0.3, -0.2, 0.5, 0.1, 0.0, 0.7, -0.1, 0.2, 0.4]
     rows = []
     for i in range(-300, 900):
-        vector = hot if i % 3 == 0 else [draw.choice([-1, -0.5, 0, 0.25, 1]) if i % 5 else draw.gauss(0, 1) for _ in range(9)]
+        vector = hot if i % 3 == 0 else [draw.choice([-1.0, -0.5, 0.0, 0.25, 1.0]) if i % 5 else draw.gauss(0, 1) for _ in range(9)]
         rows.append((i, 1 if i % 4 == 0 else draw.randrange(3), vector, "x", "y", "z", "w"))
     expected = brute_negatives(rows)
     assert len(expected) > 100
