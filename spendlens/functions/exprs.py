@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
-# Sums of money are taken over whole ten-thousandths held in a bigint: exact, independent of the
-# order in which partitions are merged, and cheaper than a 28-digit decimal aggregation buffer.
+# Ordinary amounts are whole ten-thousandths below PLAIN_BELOW; they are summed as integers in two halves, so that no
+# number of rows overflows. Other amounts are summed as decimals, up to FINITE_BELOW; beyond it they count as infinite.
 MONEY_UNITS = 10_000
+PLAIN_BELOW = 1e10
+FINITE_BELOW = 1e17
+HALF_BITS = 24
 
 
 def ratio_pos(numerator: str, denominator: str) -> str:
@@ -52,9 +55,28 @@ def sign_label(value: str, positive: str, negative: str, zero: str) -> str:
 
 
 def money_sum(amount: str | Column) -> Column:
-    """Exact, order-independent sum of a money column, as double."""
-    col = F.col(amount) if isinstance(amount, str) else amount
-    return F.sum(F.rint(col * MONEY_UNITS).cast("bigint")) / F.lit(float(MONEY_UNITS))
+    """Sum of a money column as double: exact, whatever the order in which partitions are merged.
+
+    An amount stands for its shortest decimal text. Amounts of whole ten-thousandths take two integer sums; the rest,
+    with up to 18 decimals, two decimal sums of their whole and broken parts, which stay empty for ordinary tables. Only
+    the end result is rounded. A NaN, or both infinities, give NaN; an infinity, or an amount of FINITE_BELOW or
+    more, an infinity; no amount at all gives null.
+    """
+    col = (F.col(amount) if isinstance(amount, str) else amount).cast("double")
+    units = F.rint(col * MONEY_UNITS)
+    plain = (F.abs(col) < PLAIN_BELOW) & (units / float(MONEY_UNITS) == col)
+    whole_units = F.when(plain, units.cast("bigint"))
+    finite = ~F.isnan(col) & (F.abs(col) < FINITE_BELOW)
+    odd = F.when(~plain & finite, col)
+    whole = F.floor(odd).cast("decimal(18,0)")
+    broken = (odd.cast("decimal(37,18)") - whole).cast("decimal(19,18)")
+    extreme = F.when(~finite, F.when(F.isnan(col), col).otherwise(F.signum(col) * float("inf")))
+    plain_total = (
+        F.sum(F.shiftright(whole_units, HALF_BITS)) * float(1 << HALF_BITS)
+        + F.sum(whole_units.bitwiseAND((1 << HALF_BITS) - 1))
+    ) / float(MONEY_UNITS)
+    odd_total = F.sum(whole).cast("double") + F.sum(broken).cast("double")
+    return F.coalesce(F.sum(extreme), plain_total + odd_total, plain_total, odd_total)
 
 
 def money_mean(amount: str | Column) -> Column:
@@ -64,13 +86,13 @@ def money_mean(amount: str | Column) -> Column:
 
 
 def cents(sql: str) -> str:
-    """SQL text: an amount as an exact two-digit decimal."""
-    return f"CAST({sql} AS DECIMAL(18,2))"
+    """SQL text: an amount as an exact two-digit decimal; null if it is no number below 1e18."""
+    return f"TRY_CAST({sql} AS DECIMAL(20,2))"
 
 
 def rate(sql: str) -> str:
-    """SQL text: a rate as an exact four-digit decimal."""
-    return f"CAST({sql} AS DECIMAL(9,4))"
+    """SQL text: a rate as an exact decimal with all its digits; null if it is no number below 100."""
+    return f"TRY_CAST({sql} AS DECIMAL(17,15))"
 
 
 def round_money(sql: str) -> str:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import case, derive, money_sum, present, ratio_nz, ratio_pos, require, sign_label
 from ..sources.contracts import CELL, FEATURE_COLUMNS, INCREMENTALITY_COLUMNS
-from .marts import how_many, merchant_rates, metrics, offer_terms
+from .marts import Unique, how_many, known_unique, merchant_rates, metrics, offer_terms, with_first_mark
 from .matching import small_side
 
 TEST_AVERAGES = {
@@ -19,17 +19,26 @@ CONTROL_AVERAGES = {
 }
 
 
-def test_group_spend(matches: DataFrame, unique_ids: bool = False) -> DataFrame:
-    """Cards, transactions, redemptions, spend and reward of the test group per offer cell and day."""
+def test_group_spend(matches: DataFrame, unique_ids: Unique = False) -> DataFrame:
+    """Cards, transactions, redemptions, spend and reward of the test group per offer cell and day.
+
+    With unique redemption ids two distinct counts are left. Transactions are then counted in two levels: one row of
+    each is marked within its cell, and the marks are added up beside the distinct cards, so no row is multiplied.
+    """
     needed = (
         "matched_redemption_id", "transaction_id", "offer_id", "campaign_id", "merchant_id",
         "tokenized_cardmember_id", "transaction_date", "transaction_amount", "calculated_reward_amount",
     )
     amounts_ok = (F.col("transaction_amount") >= 0) & (F.col("calculated_reward_amount") >= 0)
     usable = require(matches, needed, "matches").filter(present(*needed) & amounts_ok)
+    cell = ("transaction_date", *CELL[1:])
+    transactions = how_many("transaction_id", unique_ids)
+    if known_unique("matched_redemption_id", unique_ids) and not known_unique("transaction_id", unique_ids):
+        usable = with_first_mark(usable.select(*needed), cell, "transaction_id", "__first")
+        transactions = F.count_if("__first")
     grouped = usable.groupBy(F.col("transaction_date").alias("business_date"), *CELL[1:]).agg(
         F.countDistinct("tokenized_cardmember_id").alias("test_cardmember_count"),
-        how_many("transaction_id", unique_ids).alias("test_transaction_count"),
+        transactions.alias("test_transaction_count"),
         how_many("matched_redemption_id", unique_ids).alias("test_redemption_count"),
         money_sum("transaction_amount").alias("total_test_spend_amount"),
         money_sum("calculated_reward_amount").alias("total_test_reward_amount"),
@@ -37,7 +46,7 @@ def test_group_spend(matches: DataFrame, unique_ids: bool = False) -> DataFrame:
     return derive(grouped, TEST_AVERAGES)
 
 
-def control_group_spend(control: DataFrame, unique_ids: bool = False) -> DataFrame:
+def control_group_spend(control: DataFrame, unique_ids: Unique = False) -> DataFrame:
     """Cards, transactions and spend of the control group per offer cell and day."""
     needed = (
         "control_transaction_id", "offer_id", "campaign_id", "merchant_id", "tokenized_cardmember_id",
@@ -104,7 +113,7 @@ def with_context(scaled: DataFrame, offers: DataFrame, merchants: DataFrame) ->
 
 
 def incrementality(
-    matches: DataFrame, control: DataFrame, offers: DataFrame, merchants: DataFrame, unique_ids: bool = False
+    matches: DataFrame, control: DataFrame, offers: DataFrame, merchants: DataFrame, unique_ids: Unique = False
 ) -> DataFrame:
     """The incrementality mart as one lazy plan."""
     lifted = lift(test_group_spend(matches, unique_ids), control_group_spend(control, unique_ids))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import derive, money_mean, money_sum, present, ratio_pos, require
@@ -13,13 +13,31 @@ from .cleaning import first_per_key
 from .matching import small_side
 
 
-def how_many(column: str, unique: bool) -> Column:
+#: Id columns that the caller knows to be unique: all of them, none, or those named.
+Unique = bool | Sequence[str]
+
+
+def known_unique(column: str, unique: Unique) -> bool:
+    return unique if isinstance(unique, bool) else column in unique
+
+
+def how_many(column: str, unique: Unique) -> Column:
     """Distinct count, or a plain count where the caller knows the ids to be unique.
 
     Several distinct counts in one aggregate multiply every row before the shuffle. Clean tables
     have unique ids, so the pipeline passes `unique=True` and keeps at most one distinct count.
     """
-    return F.count(column) if unique else F.countDistinct(column)
+    return F.count(column) if known_unique(column, unique) else F.countDistinct(column)
+
+
+def with_first_mark(df: DataFrame, by: Sequence[str], column: str, mark: str) -> DataFrame:
+    """Add `mark`: true on one row of each value of `column` within the groups `by`.
+
+    The first of two levels of counting: the number of marked rows is the distinct count, without a distinct
+    aggregate. Rows are spread by group and value, so a hot group is as many tasks' work as it has values.
+    """
+    one = Window.partitionBy(*by, column).orderBy(column)
+    return df.withColumn(mark, F.row_number().over(one) == 1)
 
 
 def metrics(name_columns: Sequence[str], prefix: str) -> list[str]:
@@ -27,7 +45,7 @@ def metrics(name_columns: Sequence[str], prefix: str) -> list[str]:
     return [c for c in name_columns if not c.startswith((f"{prefix}_pipeline", f"{prefix}_rule", f"{prefix}_created"))]
 
 
-def merchant_daily_spend(tx: DataFrame, unique_ids: bool = False, statuses: Sequence[str] | None = None) -> DataFrame:
+def merchant_daily_spend(tx: DataFrame, unique_ids: Unique = False, statuses: Sequence[str] | None = None) -> DataFrame:
     """Transactions, spend and average ticket per merchant and day (all statuses by default)."""
     needed = ("transaction_id", "merchant_id", "transaction_date", "transaction_amount")
     usable = require(tx, needed, "transactions").filter(present(*needed) & (F.col("transaction_amount") >= 0))
@@ -40,7 +58,7 @@ def merchant_daily_spend(tx: DataFrame, unique_ids: bool = False, statuses: Sequ
     )
 
 
-def merchant_daily_rewards(matches: DataFrame, unique_ids: bool = False) -> DataFrame:
+def merchant_daily_rewards(matches: DataFrame, unique_ids: Unique = False) -> DataFrame:
     """Redemptions and reward cost per merchant and day."""
     needed = (
         "matched_redemption_id", "transaction_id", "merchant_id", "transaction_date", "calculated_reward_amount",
@@ -92,7 +110,7 @@ def merchant_daily_economics(spend: DataFrame, rewards: DataFrame, merchants: Da
     return derive(joined, MERCHANT_DAILY).select(*metrics(MERCHANT_DAILY_COLUMNS, "gold"))
 
 
-def offer_daily_spend(matches: DataFrame, unique_ids: bool = False) -> DataFrame:
+def offer_daily_spend(matches: DataFrame, unique_ids: Unique = False) -> DataFrame:
     """Redemptions, redeemed spend and reward cost per offer cell and day."""
     needed = (
         "matched_redemption_id", "transaction_id", "offer_id", "campaign_id", "merchant_id", "transaction_date",

@@ -666,9 +666,13 @@ def category_performance(d):
 # ============================================================== incrementality, profitability, risk
 
 
+#: Both are line numbers of the source tables; one transaction may have several lines in a cell.
+LINE_IDS = ("matched_redemption_id", "control_transaction_id")
+
+
 @once
 def lifted(d: Domain) -> DataFrame:
-    return inc.lift(inc.test_group_spend(d.test), inc.control_group_spend(d.control))
+    return inc.lift(inc.test_group_spend(d.test, LINE_IDS), inc.control_group_spend(d.control, LINE_IDS))
 
 
 @once
@@ -688,12 +692,12 @@ def risks(d: Domain) -> DataFrame:
 
 @query("SELECT * FROM {test_cells}")
 def test_group_spend(d):
-    return inc.test_group_spend(d.test)
+    return inc.test_group_spend(d.test, LINE_IDS)
 
 
 @query("SELECT * FROM {control_cells}")
 def control_group_spend(d):
-    return inc.control_group_spend(d.control)
+    return inc.control_group_spend(d.control, LINE_IDS)
 
 
 @query("SELECT * FROM {lifted}")

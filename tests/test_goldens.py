@@ -403,3 +403,39 @@ def test_significance_matches_the_textbook(spark):
     se = (stats.variance(a) / len(a) + stats.variance(b) / len(b)) ** 0.5
     assert row["mean_difference"] == pytest.approx(stats.mean(a) - stats.mean(b))
     assert row["standard_error"] == pytest.approx(se) and row["is_significant"]
+
+
+def test_money_sums_of_uncommon_amounts(spark):
+    """Every group's amounts, in two orders and two numbers of partitions, against exact decimal arithmetic."""
+    from decimal import Decimal, getcontext
+    import math
+
+    getcontext().prec = 60
+    big, nan = float("inf"), float("nan")
+    groups = {
+        "cents": [0.1, 0.2, 0.3, 1e9 + 0.01], "broken": [1 / 3, 2 / 3, 1e-7, -0.00012345, 123456.7891234], "large": [1e16, 0.1, -1e16, 9.9e16, 12345678901234.25],
+        "tiny": [1e-18] * 9, "edge": [1e10, 9999999999.9999, -1e10, 0.0, -0.0], "one": [None, 5.5], "none": [None, None],
+        "nan": [1.0, nan], "infinite": [1.0, big], "too_large": [1.0, 1e17], "below": [-big, 3.0], "both": [big, -big],
+    }
+    rows = [(k, x) for k, xs in groups.items() for x in xs]
+    seen = set()
+    for order, parts in ((rows, 1), (rows[::-1], 4)):
+        df = spark.createDataFrame(order, "k string, x double").repartition(parts)
+        got = {r.k: (r.s, r.m) for r in df.groupBy("k").agg(money_sum("x").alias("s"), money_mean("x").alias("m")).collect()}
+        seen.add(str(sorted(got.items())))
+        for k in ("cents", "broken", "large", "tiny", "edge", "one"):
+            exact = float(sum(Decimal(repr(x)) for x in groups[k] if x is not None))
+            assert abs(got[k][0] - exact) <= math.ulp(exact), k
+        assert got["none"] == (None, None) and math.isnan(got["nan"][0]) and math.isnan(got["both"][0])
+        assert got["infinite"][0] == got["too_large"][0] == big and got["below"][0] == -big
+    assert len(seen) == 1
+    many = spark.range(200_000).select(F.lit(9.9e9).alias("x")).agg(money_sum("x").alias("s")).first()
+    assert many.s == 9.9e9 * 200_000
+
+
+def test_rates_keep_their_digits(spark):
+    from spendlens.functions.exprs import cents, rate, round_money
+
+    df = spark.createDataFrame([(1000000.0, 0.123456789), (1e16, 0.5), (10.0, float("nan")), (float("inf"), 0.1)], "a double, r double")
+    got = [r.v for r in df.selectExpr(f"{round_money(cents('a') + ' * ' + rate('r'))} AS v").collect()]
+    assert got == [123456.79, 5e15, None, None]

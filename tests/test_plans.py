@@ -97,3 +97,19 @@ def test_rules_are_broadcast_when_small(domain):
 
 def test_top_rows_are_a_distributed_top_k(spark, small):
     assert "TakeOrderedAndProject" in plan(QUERIES["top_risk_rows"](spark, small))
+
+
+@pytest.mark.parametrize("name", ["test_group_spend", "control_group_spend", "incrementality_enriched", "roas_efficiency", "risk_reasons"])
+def test_flagship_multiplies_no_rows(spark, small, name):
+    assert "Expand" not in plan(QUERIES[name](spark, small))
+
+
+def test_two_level_counts_equal_distinct_counts(spark):
+    """Transactions with several lines, several cards and several cells."""
+    cells = spark.range(3000).selectExpr(
+        "id AS matched_redemption_id", "id % 97 AS transaction_id", "id % 5 AS offer_id", "id % 2 AS campaign_id", "id % 3 AS merchant_id",
+        "id % 11 * (id % 97) AS tokenized_cardmember_id", "date_add(DATE '2024-01-01', CAST(id % 4 AS INT)) AS transaction_date",
+        "CAST(id AS DOUBLE) / 8 AS transaction_amount", "1D AS calculated_reward_amount")
+    plain, staged = (incrementality.test_group_spend(cells, unique) for unique in (False, ("matched_redemption_id",)))
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, staged.select(*plain.columns).collect()))
+    assert "Expand" in plan(plain) and "Expand" not in plan(staged)
