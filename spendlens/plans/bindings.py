@@ -109,6 +109,12 @@ VIEWS = {
                CASE WHEN o.o_custkey % 10 < 7 THEN 'test' WHEN o.o_custkey % 10 < 9 THEN 'control'
                     ELSE 'holdout' END AS assignment_group
         FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey JOIN {part} p ON l.l_partkey = p.p_partkey""",
+    "history": """
+        SELECT l.l_orderkey AS transaction_id, o.o_custkey AS tokenized_cardmember_id, l.l_suppkey AS merchant_id,
+               m.category_id, CAST(o.o_orderdate AS DATE) AS transaction_date, l.l_extendedprice AS transaction_amount,
+               CAST(o.o_orderdate AS DATE) >= DATE '2001-01-01' AND CAST(o.o_orderdate AS DATE) < DATE '2001-04-01' AS recent
+        FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey
+             LEFT JOIN {merchant} m ON l.l_suppkey = m.merchant_id""",
     "test": """
         SELECT line_id AS matched_redemption_id, transaction_id, tokenized_cardmember_id, merchant_id, offer_id,
                campaign_id, transaction_date, transaction_amount, calculated_reward_amount

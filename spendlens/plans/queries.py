@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import wraps
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.exprs import derive, fingerprint, money_sum
-from ..operators import abuse, cleaning, eligibility, experiment, finance, lineage, marts, matching, privacy
+from ..operators import abuse, assignment, cleaning, eligibility, experiment, finance, lineage, marts, matching, privacy
 from ..operators import incrementality as inc
 from ..operators import profiling, quality, risk, scd
 from ..sources import lake
@@ -1489,3 +1490,57 @@ def positioned(where: str) -> str:
 def control_matching(d):
     test, control = d.card.filter("assignment_group = 'test'"), d.card.filter("assignment_group = 'control'")
     return experiment.match_controls(test, control, ["segment_id"], TOLERANCES)
+
+
+#: The day before which history counts, and what one unit of distance is for each numeric feature.
+HISTORY_UNTIL = dt.date(2001, 4, 1)
+HISTORY_TOLERANCES = {
+    "customer_tenure_months": 12.0, "historical_spend_90d": 150_000.0, "historical_transaction_count_90d": 2.0,
+    "average_ticket_size": 100_000.0, "merchant_affinity_score": 0.5, "category_affinity_score": 0.5,
+}
+HISTORY_SQL = f"""SELECT c.tokenized_cardmember_id, c.segment_id, c.location_id, c.assignment_group,
+       coalesce(s.spend, 0.0) AS historical_spend_90d, coalesce(s.n, 0) AS historical_transaction_count_90d,
+       CASE WHEN s.n > 0 THEN s.spend / s.n ELSE 0.0 END AS average_ticket_size,
+       coalesce(m.share, 0.0) AS merchant_affinity_score, coalesce(g.share, 0.0) AS category_affinity_score,
+       coalesce(12 * (year(DATE '{HISTORY_UNTIL}') - year(f.first)) + month(DATE '{HISTORY_UNTIL}') - month(f.first), 0)
+         AS customer_tenure_months
+       FROM {{card}} c
+       LEFT JOIN (SELECT tokenized_cardmember_id, count(DISTINCT transaction_id) AS n,
+                  CAST(sum(CAST(transaction_amount AS DECIMAL(18,2))) AS DOUBLE) AS spend FROM {{history}}
+                  WHERE recent GROUP BY 1) s USING (tokenized_cardmember_id)
+       LEFT JOIN (SELECT tokenized_cardmember_id, CAST(max(n) AS DOUBLE) / sum(n) AS share FROM (
+                  SELECT tokenized_cardmember_id, merchant_id, count(*) AS n FROM {{history}} WHERE recent GROUP BY 1, 2)
+                  GROUP BY 1) m USING (tokenized_cardmember_id)
+       LEFT JOIN (SELECT tokenized_cardmember_id, CAST(max(n) AS DOUBLE) / sum(n) AS share FROM (
+                  SELECT tokenized_cardmember_id, category_id, count(*) AS n FROM {{history}} WHERE recent GROUP BY 1, 2)
+                  GROUP BY 1) g USING (tokenized_cardmember_id)
+       LEFT JOIN (SELECT tokenized_cardmember_id, min(transaction_date) AS first FROM {{history}}
+                  WHERE transaction_date < DATE '{HISTORY_UNTIL}' GROUP BY 1) f USING (tokenized_cardmember_id)"""
+
+
+def history(d: Domain) -> DataFrame:
+    cards = d.card.select("tokenized_cardmember_id", "segment_id", "location_id", "assignment_group")
+    return assignment.history_features(d.history, cards, HISTORY_UNTIL)
+
+
+@query(HISTORY_SQL)
+def card_history(d):
+    return history(d)
+
+
+@query(f"""WITH f AS ({HISTORY_SQL}),
+       pairs AS (SELECT t.segment_id, t.tokenized_cardmember_id AS t, c.tokenized_cardmember_id AS c,
+         {" + ".join(f"abs(t.{f} - c.{f}) / {w!r}" for f, w in HISTORY_TOLERANCES.items())}
+           + CASE WHEN t.location_id = c.location_id THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS distance
+         FROM f t JOIN f c USING (segment_id) WHERE t.assignment_group = 'test' AND c.assignment_group = 'control'),
+       chosen AS (SELECT list_reduce(list({{'t': [t], 'c': [c], 'd': [distance]}} ORDER BY distance, t % 64, t, c % 64, c), lambda a, b:
+         CASE WHEN list_contains(a.t, b.t[1]) OR list_contains(a.c, b.c[1]) THEN a ELSE
+           {{'t': list_concat(a.t, b.t), 'c': list_concat(a.c, b.c), 'd': list_concat(a.d, b.d)}} END) AS x
+         FROM pairs WHERE 1.0 - distance / 8 >= 0.75 GROUP BY segment_id)
+       SELECT unnest(x.t) AS test_tokenized_cardmember_id, unnest(x.c) AS control_tokenized_cardmember_id,
+         unnest(x.d) AS distance, 1.0 - unnest(x.d) / 8 AS match_quality_score FROM chosen""")
+def control_assignment(d):
+    """All pairs, closest first, in the SQL; growing radii in Spark."""
+    cards = history(d)
+    test, control = cards.filter("assignment_group = 'test'"), cards.filter("assignment_group = 'control'")
+    return assignment.assign_controls(test, control, ["segment_id"], ["location_id"], HISTORY_TOLERANCES)
