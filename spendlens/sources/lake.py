@@ -2,28 +2,47 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import uuid
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import fingerprint, require
 
+COMMITS = "_commits"
+
 
 @dataclass(frozen=True)
 class Published:
-    """What a publish did: rows that went in, rows found on reading back."""
+    """What a publish did: rows that went in, rows found on reading back, results of its checks."""
 
     table: str
     rows: int
     rows_read_back: int
+    checks: tuple[Row, ...] = ()
+
+
+class FailedChecks(ValueError):
+    """Checks of rows that were therefore not published; `rows` are all results."""
+
+    def __init__(self, rows: Sequence[Row]):
+        failed = [r for r in rows if r.status == "failed"]
+        super().__init__("failed checks: " + "; ".join(f"{r.table_name}.{r.check_name}={r.failure_count}" for r in failed))
+        self.rows = tuple(rows)
 
 
 class Lake:
     """A root folder with one folder per layer and table.
 
     `fmt` is any Spark source name; "delta" works where its jars are on the class path.
+
+    A table that this class wrote holds one folder per version, and commits: empty files whose names are a rising number
+    and a version. Readers take the version of the last commit. A version is written whole, counted
+    and checked before its commit file is made, which is one step of the file system: a writer that dies, or rows that
+    fail their checks, leave the table as it was, and readers that have begun keep the version they began with. One
+    writer per table at a time. Tables without commits, such as delivered raw folders, are read as they are.
     """
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
@@ -31,21 +50,71 @@ class Lake:
         self.root = root.rstrip("/")
         self.fmt = fmt
 
-    def path(self, layer: str, table: str) -> str:
+    def folder(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
+    def path(self, layer: str, table: str) -> str:
+        """Where the current rows of a table lie."""
+        done = self.versions(layer, table)
+        return f"{self.folder(layer, table)}/{done[-1]}" if done else self.folder(layer, table)
+
+    def _files(self, path: str):
+        """The file system of a path, and the path, as Hadoop objects."""
+        jvm = self.spark._jvm
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
+
+    def exists(self, layer: str, table: str) -> bool:
+        files, place = self._files(self.folder(layer, table))
+        return bool(files.exists(place))
+
+    def versions(self, layer: str, table: str) -> list[str]:
+        """Versions of a table in the order of their commits; the last one is current."""
+        if self.fmt == "delta":
+            return []
+        files, place = self._files(f"{self.folder(layer, table)}/{COMMITS}")
+        if not files.exists(place):
+            return []
+        return [name.split(".", 1)[1] for name in sorted(s.getPath().getName() for s in files.listStatus(place)) if "." in name]
+
+    def commit(self, layer: str, table: str, version: str) -> None:
+        """Make a written version the current one. Also brings an earlier version back."""
+        if self.fmt == "delta":
+            return
+        number = len(self.versions(layer, table)) + 1
+        files, place = self._files(f"{self.folder(layer, table)}/{COMMITS}/{number:010d}.{version}")
+        files.create(place, False).close()
+
+    def drop_old_versions(self, layer: str, table: str, keep: int = 2) -> int:
+        """Delete the folders of all but the last `keep` versions; their commits stay as a record."""
+        done = self.versions(layer, table)
+        recent, gone = set(done[-keep:]), 0
+        for version in dict.fromkeys(v for v in done if v not in recent):
+            files, place = self._files(f"{self.folder(layer, table)}/{version}")
+            gone += bool(files.delete(place, True))
+        return gone
+
     def read(self, layer: str, table: str, schema: str | None = None) -> DataFrame:
         """A lazy scan. With a schema no footer is opened for inference."""
+        return self._read(self.path(layer, table), schema)
+
+    def _read(self, path: str, schema: str | None = None) -> DataFrame:
         reader = self.spark.read.format(self.fmt)
         if schema is not None:
             reader = reader.schema(schema)
-        return reader.load(self.path(layer, table))
+        return reader.load(path)
 
     def read_many(self, layer: str, tables: Iterable[str]) -> dict[str, DataFrame]:
         return {name: self.read(layer, name) for name in tables}
 
     def write(self, df: DataFrame, layer: str, table: str, partition: str | None = None) -> int:
-        """Overwrite a table and return the row count, taken from the same job as the write.
+        """Replace a table and return the row count, taken from the same job as the write."""
+        rows, version = self._stage(df, layer, table, partition)
+        self.commit(layer, table, version)
+        return rows
+
+    def _stage(self, df: DataFrame, layer: str, table: str, partition: str | None) -> tuple[int, str]:
+        """Write a version that no reader sees yet: (rows, version).
 
         Partitioned tables are rebalanced by the partition column: small dates share a task and
         a date that holds a large part of the rows is split over several tasks and files, which
@@ -56,35 +125,57 @@ class Lake:
         if partitioned:
             df = df.hint("rebalance", partition)
         seen = Observation()
-        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(self.fmt).mode("overwrite")
+        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(self.fmt)
+        version = f"v-{uuid.uuid4().hex}"
         if self.fmt == "delta":
-            writer = writer.option("overwriteSchema", "true")
+            writer = writer.mode("overwrite").option("overwriteSchema", "true")
         if partitioned:
             writer = writer.partitionBy(partition)
-        writer.save(self.path(layer, table))
-        return int(seen.get["rows"])
+        writer.save(self._version_path(layer, table, version))
+        return int(seen.get["rows"]), version
+
+    def _version_path(self, layer: str, table: str, version: str) -> str:
+        return self.folder(layer, table) if self.fmt == "delta" else f"{self.folder(layer, table)}/{version}"
 
     def publish(
-        self, df: DataFrame, layer: str, table: str, columns: Iterable[str] = (), partition: str | None = None
+        self, df: DataFrame, layer: str, table: str, columns: Iterable[str] = (), partition: str | None = None,
+        checks: Callable[[DataFrame], DataFrame] | None = None,
     ) -> Published:
-        """Contract check, write, read-back count (answered from file footers)."""
+        """Contract check, write beside the current rows, read-back count, checks of the written rows, then the swap.
+
+        `df` may read the table that it replaces. `checks` gives check rows for the written rows; if one
+        failed, `FailedChecks` is raised and the table stays as it was.
+        """
         require(df, columns, table)
-        rows = self.write(df, layer, table, partition)
-        back = self.read(layer, table).count()
+        rows, version = self._stage(df, layer, table, partition)
+        written = self._read(self._version_path(layer, table, version))
+        back = written.count()
         if back != rows:
             raise ValueError(f"{table}: wrote {rows} rows but read back {back}")
-        return Published(table, rows, back)
+        results = tuple(checks(written).collect()) if checks is not None else ()  # a row for each check
+        if any(r.status == "failed" for r in results):
+            raise FailedChecks(results)
+        self.commit(layer, table, version)
+        return Published(table, rows, back, results)
 
     def replace(
         self, df: DataFrame, layer: str, table: str, columns: Iterable[str] = (), partition: str | None = None
     ) -> Published:
-        """Publish a result that was computed from the very table it replaces.
+        """Publish a result that was computed from the very table it replaces."""
+        return self.publish(df, layer, table, columns, partition)
+
+    def overwrite_partitions(self, df: DataFrame, layer: str, table: str, partition: str) -> int:
+        """Replace only the partitions that `df` has rows for, in the current version; all others stay untouched.
 
-        The new rows are first written next to it, which cuts the dependency on the old files.
+        `df` must not read the table: hand it over first. Running it again gives the same table.
         """
-        staging = f"{table}__next"
-        self.publish(df, layer, staging, columns, partition)
-        return self.publish(self.read(layer, staging), layer, table, columns, partition)
+        if not self.exists(layer, table):
+            return self.write(df, layer, table, partition)
+        seen = Observation()
+        counted = df.hint("rebalance", partition).observe(seen, F.count(F.lit(1)).alias("rows"))
+        counted.write.format(self.fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).save(
+            self.path(layer, table))
+        return int(seen.get["rows"])
 
 
 def add_source_columns(df: DataFrame, table: str, run_id: str, source_path: str | None = None) -> DataFrame:

@@ -62,3 +62,51 @@ def test_profile(lake, spark):
     lake.publish(spark.range(10).repartition(2), "raw", "t")
     row = L.table_profile({"t": lake.read("raw", "t")}).first()
     assert (row.row_count, row.file_count) == (10, 2) and row.file_bytes > 0
+
+
+def passing(df):
+    return df.selectExpr("'t' AS table_name", "'rows' AS check_name", "0L AS failure_count", "'high' AS severity", "'passed' AS status").limit(1)
+
+
+def test_failing_checks_leave_the_old_rows(lake, spark):
+    lake.publish(spark.range(5), "gold", "t", checks=passing)
+    began = lake.read("gold", "t")
+    with pytest.raises(L.FailedChecks, match="t.rows=3") as failure:
+        lake.publish(spark.range(9), "gold", "t", checks=lambda df: passing(df).withColumns({"status": F.lit("failed"), "failure_count": F.lit(3)}))
+    assert [r.status for r in failure.value.rows] == ["failed"]
+    assert lake.read("gold", "t").count() == 5 and len(lake.versions("gold", "t")) == 1
+    done = lake.publish(spark.range(9), "gold", "t", checks=passing)
+    assert [r.status for r in done.checks] == ["passed"] and lake.read("gold", "t").count() == 9
+    assert began.count() == 5  # a reader that had begun keeps its version
+
+
+def test_killed_write_leaves_the_old_rows(lake, spark):
+    lake.publish(spark.range(5), "silver", "t")
+    broken = spark.range(100).select(F.when(F.col("id") == 99, F.raise_error(F.lit("killed"))).otherwise(F.col("id")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="killed"):
+        lake.publish(broken, "silver", "t")
+    os.makedirs(f"{lake.folder('silver', 't')}/v-half-written")  # what a dead writer may leave
+    assert lake.read("silver", "t").count() == 5
+    lake.publish(lake.read("silver", "t").filter("id < 2"), "silver", "t")
+    assert lake.read("silver", "t").count() == 2
+
+
+def test_versions_come_back_and_go(lake, spark):
+    for n in (1, 2, 3, 4):
+        lake.publish(spark.range(n), "gold", "t")
+    first = lake.versions("gold", "t")[0]
+    lake.commit("gold", "t", first)
+    assert lake.read("gold", "t").count() == 1
+    assert lake.drop_old_versions("gold", "t", keep=2) == 2 and lake.read("gold", "t").count() == 1
+    assert sorted(n for n in os.listdir(lake.folder("gold", "t")) if n.startswith("v-")) == sorted(lake.versions("gold", "t")[-2:])
+
+
+def test_only_given_partitions_are_overwritten(lake, spark):
+    df = spark.range(30).withColumn("day", (F.col("id") % 3).cast("string"))
+    lake.write(df, "bronze", "t", "day")
+    before = {n: sorted(os.listdir(f"{lake.path('bronze', 't')}/day={n}")) for n in range(3)}
+    assert lake.overwrite_partitions(spark.range(100, 104).withColumn("day", F.lit("1")), "bronze", "t", "day") == 4
+    after = {n: sorted(os.listdir(f"{lake.path('bronze', 't')}/day={n}")) for n in range(3)}
+    assert before[0] == after[0] and before[2] == after[2] and before[1] != after[1]
+    assert lake.read("bronze", "t").count() == 24
+    assert lake.overwrite_partitions(df, "bronze", "new", "day") == 30
