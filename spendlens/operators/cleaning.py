@@ -101,6 +101,71 @@ def quarantined(df: DataFrame, rules: Sequence[RowRule], table: str, run_id: str
     )
 
 
+# Columns of rows that were sorted by outcome, beside the table's own.
+OUTCOME, VIOLATIONS, PAYLOAD = "_outcome", "_violations", "_record_payload"
+ACCEPTED, REJECTED = "accepted", "rejected"
+
+
+def contract_rules(spec: TableSpec, columns: Sequence[str]) -> list[RowRule]:
+    """What the contract asks of every row: a key, and values that parse. A missing value breaks only the key rule."""
+    rules = [RowRule("E01", f"{spec.key} is missing", f"{spec.key} IS NULL")] if spec.key in columns else []
+    for code, what, kind, names in (
+        ("E02", "number", "DOUBLE", spec.numerics), ("E03", "timestamp", "TIMESTAMP", spec.timestamps), ("E04", "date", "DATE", spec.dates),
+    ):
+        rules += [
+            RowRule(code, f"{c} is not a {what}", f"{c} IS NOT NULL AND try_cast({c} AS {kind}) IS NULL") for c in names if c in columns]
+    return rules
+
+
+def sorted_out(
+    df: DataFrame, spec: TableSpec, rules: Sequence[RowRule], order: Sequence[Column | str] = (), place: Sequence[str] = (),
+) -> DataFrame:
+    """Accepted rows, one per key and in their types, and every rejected row, told apart by OUTCOME: one scan, one shuffle.
+
+    A rejected row keeps its broken rules and its record as JSON. `place` names columns that tell rows apart, such as
+    file and row number; with them a rejected row is its own group, so it takes part in no dedupe and the group limit
+    before the shuffle stays. Without them equal rejected rows count once.
+    """
+    marked = with_violations(df, rules).withColumnRenamed("violations", VIOLATIONS)
+    bad = F.size(VIOLATIONS) > 0
+    business = [c for c in df.columns if c not in place]
+    alone = F.struct(*(place or business))
+    marked = marked.withColumns({
+        OUTCOME: F.when(bad, REJECTED).otherwise(ACCEPTED),
+        PAYLOAD: F.when(bad, F.to_json(F.struct(*business))),
+        "__alone": F.when(bad, alone),
+    })
+    keys = [spec.key, "__alone"] if spec.key in df.columns else ["__alone", *business]
+    one = first_per_key(marked, keys, list(order) or [c for c in business if c != spec.key]).drop("__alone", *place)
+    casts = dict.fromkeys(spec.numerics, "double") | dict.fromkeys(spec.timestamps, "timestamp") | dict.fromkeys(spec.dates, "date")
+    return cast_present(one, casts)
+
+
+def quarantine_records(rejected: DataFrame, table: str, run_id: str, path: Column | str = "") -> DataFrame:
+    """One row per broken rule of every rejected row of `sorted_out`, in the layout of the quarantine."""
+    return rejected.select(
+        F.lit(table).alias("source_table_name"),
+        (F.lit(path) if isinstance(path, str) else path).alias("source_file_path"),
+        F.lit(run_id).alias("pipeline_run_id"),
+        F.col(PAYLOAD).alias("record_payload"),
+        F.current_timestamp().alias("quarantined_at"),
+        F.inline(VIOLATIONS).alias("validation_error_code", "validation_error_message"),
+    )
+
+
+def surplus_rows(df: DataFrame, key: str, rules: Sequence[RowRule]) -> DataFrame:
+    """One row: rows in, rows that break a rule, and surplus rows of repeated keys among the others.
+
+    Counted without deduping: rows per key, added up.
+    """
+    bad = F.size("violations") > 0
+    per_key = with_violations(df, rules).groupBy(key).agg(F.count("*").alias("n"), F.count_if(bad).alias("bad"))
+    good = F.col("n") - F.col("bad")
+    return per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.coalesce(F.sum("bad"), F.lit(0)).alias("rejected_count"),
+        F.coalesce(F.sum(F.greatest(good - 1, F.lit(0))), F.lit(0)).alias("duplicate_count"))
+
+
 def append_rows(existing: DataFrame, extra: DataFrame, defaults: dict[str, Column] | None = None) -> DataFrame:
     """UNION ALL by name; columns the extra rows lack get a default or a typed null."""
     filled = extra.withColumns({c: v for c, v in (defaults or {}).items() if c not in extra.columns})

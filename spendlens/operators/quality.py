@@ -306,7 +306,7 @@ def key_quality(df: DataFrame, table: str, key: str) -> DataFrame:
 def check_release(df: DataFrame | None, spec: TableSpec) -> DataFrame | None:
     """Raw release checks of one table: present, not empty, complete, key unique and not null.
 
-    Returns None only for a table that is absent; `missing_tables` reports those.
+    Returns None only for a table that is absent; `file_rows` reports those.
     """
     if df is None:
         return None
@@ -329,6 +329,20 @@ def check_release(df: DataFrame | None, spec: TableSpec) -> DataFrame | None:
     ])
 
 
+def file_rows(spark, present: Mapping[str, bool]) -> DataFrame:
+    """A check row for each table: whether it exists."""
+    lost = spark.createDataFrame([tuple(int(not there) for there in present.values())], [f"t{i}" for i in range(len(present))])
+    return result_rows(lost, [(f"t{i}", name, "file_exists", "critical") for i, name in enumerate(present)])
+
+
+def count_rows(counts: DataFrame, check: str, at_most: bool = False) -> DataFrame:
+    """Check rows from `row_counts_agree`: how many rows the layers differ by, or the second has too many."""
+    surplus = F.col("target_rows") - F.col("source_rows")
+    off = F.greatest(surplus, F.lit(0)) if at_most else F.abs(surplus)
+    rows = counts.select("table_name", F.lit(check).alias("check_name"), off.cast("bigint").alias("failure_count"), F.lit("critical").alias("severity"))
+    return rows.withColumn("status", F.when(F.col("failure_count") == 0, "passed").otherwise("failed"))
+
+
 # The money identities of the finance tables.
 MONEY_FORMULAS = (
     ("fact_reward_liability", "reward_funding_split",

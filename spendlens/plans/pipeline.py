@@ -1,8 +1,8 @@
 """The batch jobs: raw to bronze, silver, versioned dimensions, matching and the gold marts.
 
-Each job reads published tables, builds one lazy plan per output, publishes it in one write and
-validates what was written. Published tables are the only hand-over between jobs, so a job that
-lost executors or was stopped can simply be run again.
+Each job reads published tables, builds one lazy plan per output, writes it once beside the current
+rows and validates what was written before readers see it. Published tables are the only hand-over
+between jobs, so a job that lost executors or was stopped can simply be run again.
 """
 
 from __future__ import annotations
@@ -19,7 +19,10 @@ from ..functions.exprs import stamp
 from ..operators import cleaning, marts, matching, quality, risk, scd
 from ..operators import incrementality as inc
 from ..sources import contracts as C
-from ..sources.lake import Lake, Published, add_source_columns
+from ..sources.lake import (
+    LEDGER, LEDGER_SCHEMA, Lake, Published, add_source_columns, delivered_files, judged_files, without_copies,
+)
+from ..sources.scratch import handed_over
 
 PARALLEL_TABLES = 4
 
@@ -51,6 +54,52 @@ def ingest(lake: Lake, run_id: str, specs: Sequence[C.TableSpec] = C.SOURCE_TABL
     return each(specs, one)
 
 
+def load_new_files(lake: Lake, run_id: str, specs: Sequence[C.TableSpec] = C.SOURCE_TABLES) -> DataFrame:
+    """Raw to bronze, new files only; returns the ledger rows of this run (files taken and files refused).
+
+    The ledger knows every file that was taken in. New files are read alone, and of a partitioned table only the partitions
+    with rows from them are written again, from their rows of other files and the new ones. Running it
+    again after a stop gives the same tables: rows of files that the ledger does not know are replaced, not added.
+    A file that was taken before, under its own or another path, is refused and listed. A table that has new
+    columns or other types in a new file stops, as in `ingest`.
+    """
+    spark = lake.spark
+    ledger = lake.read("bronze", LEDGER) if lake.exists("bronze", LEDGER) else spark.createDataFrame([], LEDGER_SCHEMA)
+
+    def one(spec: C.TableSpec) -> DataFrame:
+        judged = handed_over(without_copies(judged_files(delivered_files(lake, spec.name), ledger)), "judged-files")
+        paths = [r.source_file_path for r in judged.filter("status = 'taken'").select("source_file_path").collect()]  # new files
+        if paths:
+            take_in(lake, spec, run_id, paths)
+        return judged
+
+    found = union(each(specs, one)).withColumn("pipeline_run_id", F.lit(run_id)).select(*ledger.columns)
+    lake.publish(ledger.unionByName(found), "bronze", LEDGER)
+    return lake.read("bronze", LEDGER).filter(F.col("pipeline_run_id") == run_id)
+
+
+def take_in(lake: Lake, spec: C.TableSpec, run_id: str, paths: Sequence[str]) -> None:
+    """Add the rows of the given raw files to a bronze table."""
+    raw = lake.spark.read.format(lake.fmt).load(list(paths))
+    ensure_declared(raw, spec)
+    fresh = handed_over(add_source_columns(raw, spec.name, run_id), "new-rows")
+    if not lake.exists("bronze", spec.name):
+        lake.publish(fresh, "bronze", spec.name, C.BRONZE_METADATA, spec.partition)
+        return
+    others = lake.read("bronze", spec.name)
+    same_file = fresh.select("source_file_path").distinct()
+    if spec.partition is None or spec.partition not in fresh.columns:
+        rest = others.join(F.broadcast(same_file), "source_file_path", "left_anti").select(*others.columns)
+        lake.publish(rest.unionByName(fresh, allowMissingColumns=True), "bronze", spec.name, C.BRONZE_METADATA)
+        return
+    dates = [r[0] for r in fresh.select(spec.partition).distinct().collect()]  # a table has one partition a day
+    known = F.col(spec.partition).isin([d for d in dates if d is not None])
+    touched = others.filter(known | F.col(spec.partition).isNull() if None in dates else known)
+    rest = touched.join(F.broadcast(same_file), "source_file_path", "left_anti").select(*others.columns)
+    lake.overwrite_partitions(
+        handed_over(rest.unionByName(fresh, allowMissingColumns=True), "touched-partitions"), "bronze", spec.name, spec.partition)
+
+
 def ensure_declared(raw: DataFrame, spec: C.TableSpec) -> None:
     """Raise for a declared column that `raw` lacks or holds in another type. Reads the schema only."""
     held = dict(raw.dtypes)
@@ -67,35 +116,71 @@ def check_ingest(lake: Lake, specs: Sequence[C.TableSpec] = C.SOURCE_TABLES) ->
     return quality.row_counts_agree(raw, lake.read_many("bronze", names))
 
 
+def rules_of(spec: C.TableSpec, columns: Sequence[str]) -> list[cleaning.RowRule]:
+    return cleaning.contract_rules(spec, columns)
+
+
 def refine(lake: Lake, run_id: str, specs: Sequence[C.TableSpec] = C.SOURCE_TABLES) -> list[Published]:
-    """Bronze to silver: clean, stamp, partition by the first date column, then check relations."""
+    """Bronze to silver: sort out, clean, stamp, partition by the first date column, then check.
+
+    Rows that break their contract are written in the same pass, with their codes; `quarantine` lists them.
+    """
 
     def one(spec: C.TableSpec) -> Published:
         bronze = lake.read("bronze", spec.name)
         order = [c for c in bronze.columns if c not in (spec.key, *C.BRONZE_METADATA)]
-        tidy = cleaning.stamp_silver(cleaning.clean(bronze, spec, order), run_id)
+        placed = bronze.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+        tidy = cleaning.sorted_out(placed, spec, rules_of(spec, bronze.columns), order, ("__file", "__row"))
         needed = [c for c in (spec.key, *spec.timestamps, *spec.dates, *spec.numerics, *C.SILVER_METADATA)]
-        return lake.publish(tidy, "silver", spec.clean_name, needed, spec.clean_partition)
+        return lake.publish(cleaning.stamp_silver(tidy, run_id), "silver", spec.clean_name, needed, spec.clean_partition)
 
     done = each(specs, one)
-    quality.ensure_passed(check_silver(lake, specs))
+    quality.ensure_passed(union([check_silver(lake, specs), check_rows_add_up(lake, specs)]))
     return done
 
 
+def quarantine(lake: Lake, run_id: str, specs: Sequence[C.TableSpec] = C.SOURCE_TABLES) -> DataFrame:
+    """The rows that the last `refine` rejected, one row per broken rule, over all tables."""
+    parts = [(s.name, lake.rejected("silver", s.clean_name)) for s in specs]
+    return union([
+        cleaning.quarantine_records(rows, name, run_id, F.get_json_object(cleaning.PAYLOAD, "$.source_file_path")) for name, rows in parts])
+
+
+def check_rows_add_up(lake: Lake, specs: Sequence[C.TableSpec] = C.SOURCE_TABLES) -> DataFrame:
+    """Per table: bronze rows = clean + rejected rows + surplus copies, and no more clean rows than bronze rows."""
+
+    def one(spec: C.TableSpec) -> DataFrame:
+        bronze = lake.read("bronze", spec.name)
+        none = F.lit(0).cast("bigint")
+        rows = union([
+            cleaning.surplus_rows(bronze, spec.key, rules_of(spec, bronze.columns)).select(
+                "row_count", "rejected_count", "duplicate_count", none.alias("clean"), none.alias("held")),
+            *(df.agg(F.count("*").alias("n")).select(
+                *(none.alias(c) for c in ("row_count", "rejected_count", "duplicate_count")),
+                *(F.col("n").alias(c) if c == name else none.alias(c) for c in ("clean", "held")))
+              for name, df in (("clean", lake.read("silver", spec.clean_name)), ("held", lake.rejected("silver", spec.clean_name)))),
+        ])
+        both = rows.agg(*(F.sum(c).alias(c) for c in rows.columns))
+        off = both.select(
+            F.abs(F.col("row_count") - F.col("clean") - F.col("held") - F.col("duplicate_count")).alias("lost"),
+            F.abs(F.col("rejected_count") - F.col("held")).alias("unlisted"),
+            F.greatest(F.col("clean") - F.col("row_count"), F.lit(0)).alias("more"))
+        return quality.as_rows(off, spec.clean_name, [
+            ("lost", "rows_add_up", "critical"), ("unlisted", "rejected_rows_listed", "critical"), ("more", "no_more_rows_than_bronze", "critical")])
+
+    return union([one(s) for s in specs])
+
+
+def unique_rows(df: DataFrame, table: str, key: str) -> DataFrame:
+    """A check row: null and surplus values of a key."""
+    counted = quality.key_quality(df, table, key).select((F.col("null_count") + F.col("duplicate_count")).alias("n"))
+    return quality.as_rows(counted, table, [("n", f"{key}_unique", "critical")])
+
+
 def check_silver(lake: Lake, specs: Sequence[C.TableSpec] = C.SOURCE_TABLES) -> DataFrame:
     """Key quality of every clean table and all relations between the tables at hand."""
     clean = {s.name: lake.read("silver", s.clean_name) for s in specs}
-    keys = [
-        quality.as_rows(
-            quality.key_quality(clean[s.name], s.clean_name, k).select(
-                (F.col("null_count") + F.col("duplicate_count")).alias("n")
-            ),
-            s.clean_name,
-            [("n", f"{k}_unique", "critical")],
-        )
-        for s in specs
-        for k in (s.key, *s.unique)
-    ]
+    keys = [unique_rows(clean[s.name], s.clean_name, k) for s in specs for k in (s.key, *s.unique)]
     everything = {s.name for s in C.SOURCE_TABLES} <= set(clean)
     related = C.RELATIONS if everything else [r for r in C.RELATIONS if r.child in clean and r.parent in clean]
     return union([*keys, quality.check_relations(clean, related)]) if related else union(keys)
@@ -118,7 +203,7 @@ def version(lake: Lake, run_id: str, as_of: str | None = None, specs: Sequence[C
 
 
 def match(lake: Lake, run_id: str, policy: str = "flat") -> Published:
-    """Matched redemptions, partitioned by transaction date."""
+    """Matched redemptions, partitioned by transaction date. Their ids are unique, on which the marts rely."""
     rows = matching.match_redemptions(
         lake.read("silver", "fact_transactions_clean"),
         lake.read("silver", "fact_offer_activations_clean"),
@@ -126,7 +211,8 @@ def match(lake: Lake, run_id: str, policy: str = "flat") -> Published:
         run_id,
         policy,
     )
-    return lake.publish(rows, "silver", C.MATCHED_TABLE, C.MATCHED_COLUMNS, "transaction_date")
+    return lake.publish(rows, "silver", C.MATCHED_TABLE, C.MATCHED_COLUMNS, "transaction_date", lambda written: union([
+        unique_rows(written, C.MATCHED_TABLE, k) for k in ("matched_redemption_id", "transaction_id")]))
 
 
 def current(lake: Lake, table: str) -> DataFrame:
@@ -137,11 +223,10 @@ def publish_mart(
     lake: Lake, df: DataFrame, table: str, columns: Sequence[str], prefix: str, version_name: str, run_id: str,
     check: Callable[..., DataFrame], checks: Sequence[quality.Check],
 ) -> Published:
-    """Stamp, publish, and validate the written rows; a failed check stops the job."""
+    """Stamp, write beside the current mart, validate, then swap; a failed check leaves the current mart as it is."""
     stamped = stamp(df, prefix, version_name, run_id).select(*columns)
-    done = lake.publish(stamped, "gold", table, columns, "business_date")
-    quality.ensure_passed(check(lake.read("gold", table), quality.with_metadata(checks, prefix, version_name)))
-    return done
+    every = quality.with_metadata(checks, prefix, version_name)
+    return lake.publish(stamped, "gold", table, columns, "business_date", lambda written: check(written, every))
 
 
 def economics(lake: Lake, run_id: str) -> list[Published]:
@@ -197,37 +282,53 @@ MART_CHECKS = (
 
 
 def check_release(lake: Lake, specs: Sequence[C.TableSpec] = C.SOURCE_TABLES) -> DataFrame:
-    """Raw release: row counts, columns, keys, relations and money identities, as one table."""
-    raw = {s.name: lake.read("raw", s.name) for s in specs}
-    parts = [quality.check_release(raw[s.name], s) for s in specs]
-    related = [r for r in C.RELATIONS if r.child in raw and r.parent in raw]
-    if related:
+    """Raw release: files, row counts, columns, keys, relations and money identities, as one table.
+
+    An absent table is a failed row of its own, and fails the relations that need it.
+    """
+    present = {s.name: lake.exists("raw", s.name) for s in specs}
+    raw = {name: lake.read("raw", name) for name, there in present.items() if there}
+    parts = [quality.file_rows(lake.spark, present), *(quality.check_release(raw[s.name], s) for s in specs if s.name in raw)]
+    related = [r for r in C.RELATIONS if r.child in present and r.parent in present]
+    if related and raw:
         parts.append(quality.check_relations(raw, related))
     if any(t in raw for t, _, _ in quality.MONEY_FORMULAS):
         parts.append(quality.check_money(raw))
     return union(parts)
 
 
-def report(lake: Lake, run_id: str, specs: Sequence[C.TableSpec] = C.SOURCE_TABLES) -> Published:
-    """All check results of a run as a table of its own."""
-    results = union([
-        check_release(lake, specs),
-        check_silver(lake, specs),
-        *(check(lake.read("gold", table)) for table, check in MART_CHECKS),
-    ])
-    return lake.publish(
-        results.withColumns({"pipeline_run_id": F.lit(run_id), "checked_at": F.current_timestamp()}),
-        "gold", "check_results")
+CHECK_COLUMNS = ("table_name", "check_name", "failure_count", "severity", "status")
+CHECK_ROWS = "table_name string, check_name string, failure_count bigint, severity string, status string"
+
 
+def report(lake: Lake, run_id: str, specs: Sequence[C.TableSpec] = C.SOURCE_TABLES, done: Sequence[Published] = ()) -> Published:
+    """All check results of a run, beside those of earlier runs, as a table of its own.
 
-def run_all(lake: Lake, run_id: str, specs: Sequence[C.TableSpec] = C.SOURCE_TABLES) -> Published:
-    """Raw to risk, end to end."""
+    Rows of marts that this run has published are taken from `done`; other marts are checked here.
+    """
+    names = [s.name for s in specs]
+    layers = quality.row_counts_agree(lake.read_many("raw", names), lake.read_many("bronze", names))
+    kept = [tuple(row[c] for c in CHECK_COLUMNS) for p in done for row in p.checks]
+    published = {p.table for p in done if p.checks}
+    parts = [
+        check_release(lake, specs), quality.count_rows(layers, "raw_equals_bronze"), check_silver(lake, specs), check_rows_add_up(lake, specs),
+        *(quality.check_scd(lake.read("silver", s.output), s) for s in C.SCD_TABLES if lake.exists("silver", s.output)),
+        *(check(lake.read("gold", table)) for table, check in MART_CHECKS if table not in published),
+    ]
+    if kept:
+        parts.append(lake.spark.createDataFrame(kept, CHECK_ROWS))
+    results = union([p.select(*CHECK_COLUMNS) for p in parts])
+    stamped = results.withColumns({"pipeline_run_id": F.lit(run_id), "checked_at": F.current_timestamp()})
+    if lake.exists("gold", "check_results"):
+        earlier = lake.read("gold", "check_results").filter(F.col("pipeline_run_id") != run_id)
+        stamped = earlier.unionByName(stamped)
+    return lake.publish(stamped, "gold", "check_results")
+
+
+def run_all(lake: Lake, run_id: str, specs: Sequence[C.TableSpec] = C.SOURCE_TABLES, as_of: str | None = None) -> Published:
+    """Raw to risk, end to end. With `as_of` the dimensions are merged into their published versions."""
     ingest(lake, run_id, specs)
     refine(lake, run_id, specs)
-    version(lake, run_id)
-    match(lake, run_id)
-    economics(lake, run_id)
-    incrementality(lake, run_id)
-    profitability(lake, run_id)
-    cannibalization(lake, run_id)
-    return report(lake, run_id, specs)
+    version(lake, run_id, as_of)
+    done = [match(lake, run_id), *economics(lake, run_id), incrementality(lake, run_id), profitability(lake, run_id), cannibalization(lake, run_id)]
+    return report(lake, run_id, specs, done)

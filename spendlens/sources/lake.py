@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from ..functions.exprs import fingerprint, require
 
 COMMITS = "_commits"
+#: Tables that hold accepted and rejected rows are partitioned by OUTCOME first; HELD are columns of rejected rows only.
+OUTCOME, ACCEPTED, REJECTED = "_outcome", "accepted", "rejected"
+HELD = ("_violations", "_record_payload")
 
 
 @dataclass(frozen=True)
@@ -98,11 +101,21 @@ class Lake:
         """A lazy scan. With a schema no footer is opened for inference."""
         return self._read(self.path(layer, table), schema)
 
-    def _read(self, path: str, schema: str | None = None) -> DataFrame:
+    def _read(self, path: str, schema: str | None = None, outcome: str = ACCEPTED) -> DataFrame:
         reader = self.spark.read.format(self.fmt)
         if schema is not None:
             reader = reader.schema(schema)
-        return reader.load(path)
+        df = reader.load(path)
+        if OUTCOME not in df.columns:
+            return df
+        kept = df.filter(F.col(OUTCOME) == outcome).drop(OUTCOME)  # other folders are not read
+        return kept.drop(*HELD) if outcome == ACCEPTED else kept
+
+    def rejected(self, layer: str, table: str) -> DataFrame | None:
+        """The rows that were rejected when the table was written; None if it was written without sorting out."""
+        path = self.path(layer, table)
+        sorted_out = OUTCOME in self.spark.read.format(self.fmt).load(path).columns
+        return self._read(path, outcome=REJECTED) if sorted_out else None
 
     def read_many(self, layer: str, tables: Iterable[str]) -> dict[str, DataFrame]:
         return {name: self.read(layer, name) for name in tables}
@@ -121,16 +134,17 @@ class Lake:
         a plain repartition by date would send to a single one. The count is observed after that
         shuffle, in the final stage, where a task re-run after a lost executor counts once.
         """
-        partitioned = partition is not None and partition in df.columns
+        partitioned = [c for c in (OUTCOME, partition) if c is not None and c in df.columns]
         if partitioned:
-            df = df.hint("rebalance", partition)
+            df = df.hint("rebalance", *partitioned)
         seen = Observation()
-        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(self.fmt)
+        accepted = F.count_if(F.col(OUTCOME) == ACCEPTED) if OUTCOME in df.columns else F.count(F.lit(1))
+        writer = df.observe(seen, accepted.alias("rows")).write.format(self.fmt)
         version = f"v-{uuid.uuid4().hex}"
         if self.fmt == "delta":
             writer = writer.mode("overwrite").option("overwriteSchema", "true")
         if partitioned:
-            writer = writer.partitionBy(partition)
+            writer = writer.partitionBy(*partitioned)
         writer.save(self._version_path(layer, table, version))
         return int(seen.get["rows"]), version
 
@@ -210,6 +224,61 @@ def repeated_files(ingested: DataFrame) -> DataFrame:
     )
 
 
+LEDGER = "file_ledger"
+LEDGER_SCHEMA = (
+    "source_table_name string, source_file_path string, file_bytes bigint, modified_at timestamp, pipeline_run_id string, status string, reason string")
+
+
+def delivered_files(lake: Lake, table: str, pattern: str = "*.parquet") -> DataFrame:
+    """path, bytes and time of every file of a raw table: a listing, no file is opened."""
+    listing = lake.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+    return listing.load(lake.path("raw", table)).select(
+        F.lit(table).alias("source_table_name"), F.col("path").alias("source_file_path"),
+        F.col("length").alias("file_bytes"), F.col("modificationTime").alias("modified_at"))
+
+
+def judged_files(listed: DataFrame, ledger: DataFrame) -> DataFrame:
+    """The listed files the ledger has not settled: `taken`, or `refused` with the reason.
+
+    A known path is settled if its size and time are the same; if not, it was changed after it was taken in. A new path
+    with the name and size of a file of that table that was taken in from elsewhere, or that stands in the same listing
+    under a smaller path, may be a repeated delivery: its `twin` is that path. `without_copies` settles those.
+    """
+    taken = ledger.filter("status = 'taken'").select(
+        "source_table_name", "source_file_path", F.col("file_bytes").alias("known_bytes"), F.col("modified_at").alias("known_at"))
+    seen = ledger.filter("status = 'refused'").select("source_table_name", "source_file_path", "file_bytes", "modified_at")
+    fresh = listed.join(seen, ["source_table_name", "source_file_path", "file_bytes", "modified_at"], "left_anti")
+    name = F.element_at(F.split("source_file_path", "/"), -1)
+    same = ["source_table_name", "file_name", "file_bytes"]
+    known = taken.select("source_table_name", name.alias("file_name"), F.col("known_bytes").alias("file_bytes"), F.col("source_file_path").alias("first_path"))
+    listed_first = listed.select("source_table_name", name.alias("file_name"), "file_bytes", F.col("source_file_path").alias("first_path"))
+    first = known.withColumn("rank", F.lit(0)).unionByName(listed_first.withColumn("rank", F.lit(1))).groupBy(*same).agg(
+        F.min_by("first_path", F.struct("rank", "first_path")).alias("first_path"))
+    joined = fresh.withColumn("file_name", name).join(taken, ["source_table_name", "source_file_path"], "left").join(first, same, "left")
+    changed = (F.col("known_bytes") != F.col("file_bytes")) | (F.col("known_at") != F.col("modified_at"))
+    reason = F.when(F.col("known_bytes").isNotNull(), F.when(changed, "changed after it was taken in").otherwise("known"))
+    twin = F.when(F.col("known_bytes").isNull() & (F.col("first_path") != F.col("source_file_path")), F.col("first_path"))
+    return joined.withColumn("reason", reason).filter("reason IS NULL OR reason <> 'known'").select(
+        "source_table_name", "source_file_path", "file_bytes", "modified_at",
+        F.when(F.col("reason").isNull(), "taken").otherwise("refused").alias("status"), "reason", twin.alias("twin"))
+
+
+def without_copies(files: DataFrame) -> DataFrame:
+    """Judged files; those whose content is that of their twin are refused. Only files with a twin are read."""
+    twins = files.filter("twin IS NOT NULL").select("source_file_path", "twin")
+    paths = sorted({p for row in twins.collect() for p in row})  # new files whose name and size repeat
+    if not paths:
+        return files.drop("twin")
+    content = files.sparkSession.read.format("binaryFile").load(paths).select("path", F.sha2("content", 256).alias("digest"))
+    digests = [content.withColumnsRenamed({"path": p, "digest": d}) for p, d in (("source_file_path", "own"), ("twin", "other"))]
+    copies = twins.join(digests[0], "source_file_path").join(digests[1], "twin").filter("own = other").select(
+        "source_file_path", F.concat(F.lit("delivered before as "), "twin").alias("copied"))
+    joined = files.join(copies, "source_file_path", "left")
+    return joined.select(
+        "source_table_name", "source_file_path", "file_bytes", "modified_at",
+        F.when(F.col("copied").isNotNull(), "refused").otherwise(F.col("status")).alias("status"), F.coalesce("copied", "reason").alias("reason"))
+
+
 def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows, files and bytes of file-backed tables, one row per table."""
     out = None
