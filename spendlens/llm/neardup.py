@@ -9,8 +9,10 @@ registers, corrected for chance collisions, within `SIGMAS` standard errors of t
 For banding, an empty bucket borrows the register of a full one that a fixed permutation names, so that small sets meet
 no more often than their similarity allows. Pairs inside a band's bucket are not written out. First every member
 meets the bucket's least node, and verified links give components. Only then are members of different components that
-share a bucket compared by their registers, inside the task and in pairs of blocks of BLOCK members; members of
-one component need no further link. Only pairs that may reach the threshold leave the task.
+share a bucket compared, in pairs of blocks of BLOCK members; members of one component need no further link. A first
+pass judges by registers and keeps the members that have a promising pair in the first band the two share; these
+fetch their full sets, and a second pass verifies inside the task. A link that joins nothing new is not looked at, so
+at most members - 1 links of a pair of blocks leave the task. Sets are compared as 64-bit hashes of their shingles.
 
 Defined results: a null, empty or blank text has an empty set and links with nothing; a null doc_id links with nothing,
 has no component and is kept; rows with one doc_id are one document; equal rows give equal rows; an empty table gives
@@ -37,7 +39,7 @@ REGISTERS = ROWS * BANDS
 EMPTY = 0xFFFF
 SIGMAS = 4.5
 BLOCK = 512
-WORD_MEMORY = 500_000
+WORD_MEMORY = 100_000
 
 _WORDS: dict[bytes, int] = {}
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -49,7 +51,7 @@ def _scrambled(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def shingles(text: str | None, words: int = 4) -> np.ndarray:
+def shingles(text: str | None, words: int = 5) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles."""
     tokens = (text or "").encode().lower().split()
     if not tokens:
@@ -129,9 +131,10 @@ def _sketch(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Record
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(key, pa.binary()), pa.array(regs, pa.binary())],
                 ["doc_id", "n_shingles", "digest", "text_md5", "registers"])
+    _WORDS.clear()  # the worker is used again by other stages
 
 
-def sketches(docs: DataFrame, words: int = 4) -> DataFrame:
+def sketches(docs: DataFrame, words: int = 5) -> DataFrame:
     """doc_id, n_shingles, digest (of the set), text_md5, registers (binary) of every row."""
     return map_arrow(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), lambda batches: _sketch(batches, words), "doc_id bigint, n_shingles bigint, digest binary, text_md5 binary, registers binary")
@@ -153,35 +156,123 @@ def _close(reg_a, reg_b, n_a, n_b, threshold: float) -> np.ndarray:
     return (value >= threshold - SIGMAS * error) & (np.minimum(n_a, n_b) >= threshold * np.maximum(n_a, n_b))
 
 
-def _across(members: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of nodes with different labels that share a key and may be as similar as the threshold."""
+def _band_rows(reg: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """(len(reg), BANDS) keys, filled in for `rows` only."""
+    out = np.zeros((len(reg), BANDS), np.int64)
+    for i in rows:
+        out[i] = bands(reg[i])
+    return out
+
+
+def _promising_rows(table: pa.Table, threshold: float) -> np.ndarray:
+    """Pairs of rows of different labels that may reach the threshold, in the group of the first band they share.
+
+    `table` holds whole groups (key, first, second); rows of a pair stand in one group, in the two blocks of it.
+    """
+    key, first, second, block, label, size = (table.column(c).to_numpy() for c in ("key", "first", "second", "block", "label", "n_shingles"))
+    group = np.r_[0, np.cumsum((key[1:] != key[:-1]) | (first[1:] != first[:-1]) | (second[1:] != second[:-1]))]
+    reg = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint16).reshape(len(key), REGISTERS)
+    size = size.astype(float)
+    live, shift, found = np.arange(len(key) - 1), 1, [np.empty((2, 0), np.int64)]
+    while len(live):
+        live = live[live + shift < len(key)]
+        live = live[group[live] == group[live + shift]]
+        other = live + shift
+        ok = (label[live] != label[other]) & ((first[live] == second[live]) | (block[live] != block[other]))
+        a, b = live[ok], other[ok]
+        near = np.minimum(size[a], size[b]) >= threshold * np.maximum(size[a], size[b])
+        a, b = a[near], b[near]
+        if len(a):
+            close = _close(reg[a], reg[b], size[a], size[b], threshold)
+            found.append(np.stack([a[close], b[close]]))
+        shift += 1
+    pairs = np.concatenate(found, axis=1)
+    if not pairs.shape[1]:
+        return pairs
+    band = _band_rows(reg, np.unique(pairs))
+    keep = [np.empty(0, bool)]
+    for start in range(0, pairs.shape[1], 100_000):
+        a, b = pairs[:, start:start + 100_000]
+        keep.append(band[a, (band[a] == band[b]).argmax(1)] == key[a])
+    return pairs[:, np.concatenate(keep)]
+
+
+def _spanning_links(table: pa.Table, threshold: float, percent: int) -> np.ndarray:
+    """(2, links) nodes: verified pairs that join what the labels, and the links before, have not joined."""
+    pairs = _promising_rows(table, threshold)
+    node, label = (table.column(c).to_numpy() for c in ("node", "label"))
+    sets = table.column("hashes")
+    unpacked: dict[int, np.ndarray] = {}
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = x = parent.get(parent[x], parent[x])
+        return x
+
+    def hashes(i: int) -> np.ndarray:
+        if i not in unpacked:
+            if len(unpacked) >= 2 * BLOCK:
+                unpacked.clear()
+            unpacked[i] = np.frombuffer(sets[i].as_buffer(), np.uint64)
+        return unpacked[i]
+
+    out = []
+    for a, b in pairs.T.tolist():
+        x, y = root(label[a]), root(label[b])
+        if x != y:
+            s, t = hashes(a), hashes(b)
+            common = len(np.intersect1d(s, t, assume_unique=True))
+            if 100 * common >= percent * (len(s) + len(t) - common):
+                parent[max(x, y)] = min(x, y)
+                out.append((node[a], node[b]))
+    return np.array(out, np.int64).reshape(-1, 2).T
+
+
+def _across(members: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) that join all nodes of different labels which share a key and have similar full sets."""
+    threshold = percent / 100
     counts = members.groupBy("key").agg(F.count("*").alias("members"))
-    rows = members.join(counts, "key").join(classes.select("node", "n_shingles", "registers"), "node")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, ("key", "first", "second"), 4 * BLOCK):
-            key, first, second, block, node, label, size = (table.column(c).to_numpy() for c in ("key", "first", "second", "block", "node", "label", "n_shingles"))
-            group = np.r_[0, np.cumsum((key[1:] != key[:-1]) | (first[1:] != first[:-1]) | (second[1:] != second[:-1]))]
-            reg = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint16).reshape(len(key), REGISTERS)
-            size = size.astype(float)
-            live, shift, found = np.arange(len(key) - 1), 1, []
-            while len(live):
-                live = live[live + shift < len(key)]
-                live = live[group[live] == group[live + shift]]
-                other = live + shift
-                ok = (label[live] != label[other]) & ((first[live] == second[live]) | (block[live] != block[other]))
-                a, b = live[ok], other[ok]
-                near = np.minimum(size[a], size[b]) >= threshold * np.maximum(size[a], size[b])
-                a, b = a[near], b[near]
-                if len(a):
-                    close = _close(reg[a], reg[b], size[a], size[b], threshold)
-                    found.append(np.sort(np.stack([node[a[close]], node[b[close]]]), axis=0))
-                shift += 1
-            if found:
-                pairs = np.unique(np.concatenate(found, axis=1), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
-
-    return map_arrow(dealt_in_blocks(rows, "key", "node", "members", BLOCK), compare, "a bigint, b bigint").distinct()
+    side = classes.select("node", "n_shingles", "registers")
+    dealt = dealt_in_blocks(members.join(counts, "key").join(side, "node"), "key", "node", "members", BLOCK)
+    place = ["key", "first", "second"]
+
+    def involved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, tuple(place), 4 * BLOCK):
+            rows = np.unique(_promising_rows(table, threshold))
+            if len(rows):
+                yield from table.take(rows).select([*place, "block", "node", "label"]).to_batches()
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, tuple(place), BLOCK):
+            a, b = _spanning_links(table, threshold, percent)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    kept = stored(map_arrow(dealt, involved, "key bigint, first int, second int, block int, node bigint, label bigint"), "involved")
+    sets = _full_sets(kept.select("node").distinct(), classes, docs, words)
+    again = kept.join(side, "node").join(sets, "node").repartition(*place).sortWithinPartitions(*place)
+    return map_arrow(again, link, "a bigint, b bigint").distinct()
+
+
+def _texts_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """node, text of the given nodes: the text whose set stands for the node's class."""
+    wanted = nodes.join(classes, "node").select("node", "text_md5")
+    keyed = docs.select(F.col("doc_id").cast("long").alias("node"), F.unhex(F.md5(F.col("text").cast("binary"))).alias("text_md5"), "text")
+    return keyed.join(wanted, ["node", "text_md5"], "left_semi").groupBy("node", "text_md5").agg(F.min("text").alias("text")).drop("text_md5")
+
+
+def _full_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """node, hashes (sorted 64-bit hashes of the full set, as binary); stored."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 500):
+                batch = whole.slice(start, 500)
+                sets = [shingles(t, words).tobytes() for t in batch.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "hashes"])
+        _WORDS.clear()
+
+    return stored(map_arrow(_texts_of(nodes, classes, docs), run, "node bigint, hashes binary"), "sets")
 
 
 def _promising(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
@@ -201,25 +292,27 @@ def _promising(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFr
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs whose full sets have 100 * intersection >= percent * union."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(classes, "node").select("node", "text_md5")
-    keyed = docs.select(F.col("doc_id").cast("long").alias("node"), F.unhex(F.md5(F.col("text").cast("binary"))).alias("text_md5"), "text")
-    texts = stored(keyed.join(nodes, ["node", "text_md5"], "left_semi").groupBy("node", "text_md5").agg(F.min("text").alias("text")), "texts")
+    nodes = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
+    texts = stored(_texts_of(nodes, classes, docs), "texts")
     joined = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
-                s, t = shingles(x, words), shingles(y, words)
-                common = len(np.intersect1d(s, t, assume_unique=True))
-                keep.append(100 * common >= percent * (len(s) + len(t) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        for whole in batches:
+            for start in range(0, whole.num_rows, 100):  # two whole texts a row
+                batch = whole.slice(start, 100)
+                keep = []
+                for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
+                    s, t = shingles(x, words), shingles(y, words)
+                    common = len(np.intersect1d(s, t, assume_unique=True))
+                    keep.append(100 * common >= percent * (len(s) + len(t) - common))
+                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        _WORDS.clear()
 
     return map_arrow(joined, judge, "a bigint, b bigint").distinct()
 
 
-def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row."""
     light = stored(sketches(docs, words), "sketches")
     linkable = light.where("doc_id is not null and n_shingles > 0")
@@ -239,8 +332,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80) -> DataF
 
     labelled = shared.select("key", "node").join(first, "node", "left").select("key", "node", F.coalesce("component", "node").alias("label"))
     mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
-    tried = stored(_across(stored(labelled.join(mixed, "key"), "mixed"), classes, percent / 100), "pairs")
-    more = stored(_verified(tried, classes, docs, words, percent), "links")
+    more = stored(_across(stored(labelled.join(mixed, "key"), "mixed"), classes, docs, words, percent), "links")
     final = components(links.unionAll(more))
 
     by_node = classes.select("digest", "node").join(final, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
@@ -249,7 +341,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80) -> DataF
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def one_of_each(docs: DataFrame, words: int = 4, percent: int = 80) -> DataFrame:
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of `docs` that stay: one for each component, with all columns; rows with a null doc_id all stay.
 
     Of rows with one doc_id, which are one document, the one with the least hash of its text stays.

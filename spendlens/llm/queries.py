@@ -26,7 +26,7 @@ def op1_licences(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, folder, "documents"))
+    return neardup.near_duplicates(table(spark, folder, "documents"), words=4)
 
 
 def op3_quality(spark: SparkSession, folder: str) -> DataFrame:

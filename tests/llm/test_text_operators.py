@@ -10,6 +10,7 @@ from collections import defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -391,3 +392,70 @@ def test_pages_own_elements_are_never_side():
     page = '<html class="no-js cookie"><body class="right-sidebar"><main id="main-share"><article class="comment-open"><p>text</p></article></main><div class="comments"><p>no</p></div></body></html>'
     assert [(b[1], b[3]) for b in templates.blocks(page)] == [("text", False), ("no", True)]
     assert templates.main_text(page, None, frozenset()) == "text"
+
+
+def test_near_duplicate_query_against_sets_of_words(spark):
+    """op2 by four-word tuples, without any helper of the operator; blocks of many near copies that miss their least member."""
+    folder = "/root/testdata/sf0.001"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+
+    def word_sets(rows):
+        out = {}
+        for i, text in rows:
+            words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+            words = [w for w in re.split(r"[\x20\x09-\x0D]+", words) if w]
+            out[i] = {tuple(words[k:k + 4]) for k in range(len(words) - 3)} if len(words) >= 4 else {tuple(words)} if words else set()
+        return out
+
+    def least_reachable(sets):
+        of = {i: i for i in sets}
+        for a, b in combinations(sorted(sets), 2):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and of[a] != of[b]:
+                low, high = sorted((of[a], of[b]))
+                of = {i: low if c == high else c for i, c in of.items()}
+        return of
+
+    sets = word_sets(rows)
+    got = queries.op2_near_duplicates(spark, folder).collect()
+    assert {r.doc_id: r.component_id for r in got} == least_reachable(sets) and {r.doc_id: r.n_shingles for r in got} == {i: len(s) for i, s in sets.items()}
+
+    draw = random.Random(11)
+    base = [f"w{k}" for k in range(120)]
+    chain = []
+    for i in range(700):  # near copies with up to eight changed words: many pairs lie on either side of the threshold
+        words = list(base)
+        for _ in range(draw.randint(0, 8)):
+            words[draw.randrange(len(words))] = f"x{draw.randrange(6)}"
+        chain.append((i, " ".join(words)))
+    found = neardup.near_duplicates(spark.createDataFrame(chain, "doc_id long, text string"), words=4).collect()
+    assert {r.doc_id: r.component_id for r in found} == least_reachable(word_sets(chain))
+
+
+def test_links_across_components_are_a_forest():
+    draw = np.random.default_rng(3)
+    base = np.unique(draw.integers(0, 2**63, 300).astype(np.uint64))
+    sets = [np.unique(np.r_[base[draw.random(len(base)) > 0.04], draw.integers(0, 2**63, 6).astype(np.uint64)]) for _ in range(60)]
+    regs = [neardup.registers(s) for s in sets]
+    keys = [neardup.bands(r) for r in regs]
+    linked = []
+    for key in sorted({int(k) for row in keys for k in row}):
+        rows = [i for i in range(60) if key in keys[i]]
+        n = len(rows)
+        block = pa.table({"key": pa.array([key] * n), "first": pa.array([0] * n, pa.int32()), "second": pa.array([0] * n, pa.int32()), "block": pa.array([0] * n, pa.int32()),
+                          "node": pa.array(rows), "label": pa.array(rows), "n_shingles": pa.array([len(sets[i]) for i in rows]),
+                          "registers": pa.array([regs[i].tobytes() for i in rows]), "hashes": pa.array([sets[i].tobytes() for i in rows])})
+        links = neardup._spanning_links(block, 0.8, 80)
+        assert links.shape[1] <= max(n - 1, 0)
+        linked += links.T.tolist()
+    true = {(a, b) for a, b in combinations(range(60), 2)
+            if 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))}
+    assert linked and set(map(tuple, np.sort(linked).tolist())) <= true
+
+    def parts(edges):
+        of = list(range(60))
+        for a, b in edges:
+            low, high = sorted((of[a], of[b]))
+            of = [low if c == high else c for c in of]
+        return of
+
+    assert parts(linked) == parts(true)
