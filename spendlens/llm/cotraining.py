@@ -32,7 +32,7 @@ from spendlens.llm.common import labelled_sample, map_arrow
 from spendlens.llm.toxicity import logistic
 
 LABELLED, POOL, ROUNDS, GIVEN = 2000, 2000, 4, 60
-DIMENSIONS, MEMORY = 1024, 400_000
+DIMENSIONS, MEMORY = 1024, 150_000
 #: Values of lang and source share this many columns.
 PLACES = 32
 LAYOUT = 12
@@ -189,6 +189,7 @@ def learn_quality(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED,
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("label"), pa.array([r.astype("<f4").tobytes() for r in x], pa.binary()), pa.array([r.tobytes() for r in m], pa.binary())],
                 ["doc_id", "label", "x", "m"])
+        _TOKENS.clear()
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     got = map_arrow(rows, run, f"doc_id {kind}, label int, x binary, m binary").collect()  # fixed size for each row
@@ -209,5 +210,6 @@ def with_quality(docs: DataFrame, model: QualityModel, column: str = "quality")
                 batch = whole.slice(start, 1000)
                 score = model.score(*_views(batch, names))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score, pa.float64())], [*batch.schema.names, column])
+        _TOKENS.clear()  # the worker is used again by other stages
 
     return map_arrow(docs, run, T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))

@@ -10,7 +10,7 @@ encoded by itself:
   is taken back,
 * two neighbours are compatible if merging their characters anew gives just these two; answers are remembered.
 
-Characters that no piece covers become their UTF-8 bytes. Parts are remembered per Python worker up to a bound.
+Characters that no piece covers become their UTF-8 bytes. Parts are remembered up to a bound within a partition.
 
 Defined results: a null text counts as empty; an empty text has no ids and decodes to the empty text; other columns
 are left alone; equal rows give equal rows; an empty table gives an empty table.
@@ -31,7 +31,7 @@ from spendlens.llm.common import map_arrow
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
-MEMORY = 400_000
+MEMORY = 200_000
 
 
 class PieceModel:
@@ -193,5 +193,7 @@ def encode_documents(docs: DataFrame, model_file: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(counts, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), flat), pa.array(decoded, pa.string())],
                     ["doc_id", "n_tokens", "ids", "decoded"])
+        _MODELS[key].memory.clear()  # the worker is used again by other stages
+        _MODELS[key].pairs.clear()
 
     return map_arrow(docs.select("doc_id", F.col("text")), run, f"doc_id {id_type}, n_tokens bigint, ids array<int>, decoded string")
