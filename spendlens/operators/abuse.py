@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import derive, prefixed_hash, ratio_pos, time_slice
+from ..functions.exprs import derive, prefixed_hash, present, ratio_pos, time_slice
 from ..functions.rules import risk_event_status
 from .cleaning import first_per_key
 from .matching import small_side
@@ -32,26 +35,28 @@ def refunds_after_reward(tx: DataFrame, liability: DataFrame) -> DataFrame:
 
 def redemption_velocity(
     events: DataFrame, time: str, window_seconds: int, threshold: int, card: str = "tokenized_cardmember_id",
-    key: str = "transaction_id",
+    key: str = "transaction_id", parts: int = 24,
 ) -> DataFrame:
     """Events that are at least the `threshold`-th of their card within the trailing window.
 
-    Rows are laid over time slices as long as the window: each belongs to its own slice and is
-    also context for the next one. Counting then runs per (card, slice), so even a card with a
-    large part of all rows is spread over as many tasks as it has slices; context rows are
-    dropped afterwards.
+    An event adds one to its card's count when it happens and takes one away just after the window has passed. The
+    running sum of these steps is taken in time slices, `parts` to a window, and each slice starts from what
+    the slices before it add up to. So a burst of one card is spread over as many tasks as it fills slices, even
+    within one window. Events without a card or time have no window.
     """
-    own = time_slice(events, time, window_seconds)
-    sliced = events.select(card, key, time, own.alias("__own")).withColumn(
-        "__slice", F.explode(F.array(F.col("__own"), F.col("__own") + 1))
-    )
-    trailing = F.expr(
-        f"count(1) OVER (PARTITION BY {card}, __slice ORDER BY {time} "
-        f"RANGE BETWEEN INTERVAL '{window_seconds}' SECOND PRECEDING AND CURRENT ROW)"
-    )
-    counted = sliced.withColumn("events_in_window", trailing)
-    hits = (F.col("__slice") == F.col("__own")) & (F.col("events_in_window") >= threshold)
-    return counted.filter(hits).select(card, key, time, "events_in_window")
+    rows = events.select(card, key, time).filter(present(card, time))
+    seconds = max(1, window_seconds // parts)
+    steps = rows.withColumn("__step", F.lit(1)).unionByName(
+        rows.select(card, F.lit(None).cast(rows.schema[key].dataType).alias(key),
+                    (F.col(time) + F.expr(f"INTERVAL '{window_seconds}.000001' SECOND")).alias(time), F.lit(-1).alias("__step")))
+    sliced = steps.withColumn("__slice", time_slice(steps, time, seconds))
+    within = F.sum("__step").over(Window.partitionBy(card, "__slice").orderBy(time))  # events of one time count together
+    sizes = sliced.groupBy(card, "__slice").agg(F.sum("__step").alias("__n"))
+    before = Window.partitionBy(card).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = sizes.select(card, "__slice", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__carried"))
+    counted = sliced.withColumn("__within", within).filter("__step > 0").join(carried, [card, "__slice"])
+    out = counted.select(card, key, time, (F.col("__within") + F.col("__carried")).alias("events_in_window"))
+    return out.filter(F.col("events_in_window") >= threshold)
 
 
 def location_anomalies(tx: DataFrame, merchants: DataFrame, max_locations: int) -> DataFrame:
@@ -93,3 +98,56 @@ def risk_events(hits: DataFrame, rules: DataFrame, redemptions: DataFrame) -> Da
         F.col("transaction_timestamp").alias("event_timestamp"), F.col("transaction_date").alias("event_date"),
         "risk_event_status", "risk_event_description",
     )
+
+
+# From how much evidence on a rule speaks. Velocity counts events a day, a location anomaly places a day.
+LIMITS = {
+    "duplicate_redemption": 1, "high_redemption_velocity": 5, "merchant_location_anomaly": 2, "reward_gaming_pattern": 2,
+}
+DAY_SECONDS, GAMING_SHARE = 86_400, 0.1
+
+
+def detected_hits(
+    tx: DataFrame, redemptions: DataFrame, liability: DataFrame, merchants: DataFrame, limits: Mapping[str, int] = LIMITS,
+    gaming_share: float = GAMING_SHARE,
+) -> DataFrame:
+    """transaction_id, risk_rule_name, evidence, risk_score: every transaction that one of the five rules points at.
+
+    Duplicates: redemptions of an offer by one card after its first. Refunds: refunded or reversed transactions with a
+    reward. Velocity: redemptions that are the limit-th of their card within a day, or a later one. Location: transactions of a card's
+    day in more places than the limit. Gaming: redemptions of cards that buy for rewards. A transaction has one
+    row for each rule, with its strongest evidence; the score is 0.6 at the limit and 0.1 more for each step beyond, up to 1.
+    `redemptions` have transaction_id, tokenized_cardmember_id, offer_id and transaction_timestamp.
+    """
+    card = "tokenized_cardmember_id"
+
+    def hits(df: DataFrame, rule: str, evidence: Column) -> DataFrame:
+        return df.select("transaction_id", F.lit(rule).alias("risk_rule_name"), evidence.cast("double").alias("evidence"))
+
+    repeated = redemptions.groupBy(card, "offer_id").agg(
+        F.count("*").alias("n"), F.min(F.struct("transaction_timestamp", "transaction_id")).alias("first"),
+    ).filter(F.col("n") > limits["duplicate_redemption"])
+    again = redemptions.join(repeated, [card, "offer_id"]).filter(F.col("transaction_id") != F.col("first.transaction_id"))
+    places = location_anomalies(tx, merchants, limits["merchant_location_anomaly"])
+    gaming = reward_gaming(tx, redemptions, limits["reward_gaming_pattern"], gaming_share)
+    speed = redemption_velocity(redemptions, "transaction_timestamp", DAY_SECONDS, limits["high_redemption_velocity"])
+    stream = reduce(DataFrame.unionByName, [
+        hits(again, "duplicate_redemption", F.col("n") - limits["duplicate_redemption"]),
+        hits(refunds_after_reward(tx, liability), "refund_after_reward", F.lit(4)),
+        hits(speed, "high_redemption_velocity", F.col("events_in_window") - limits["high_redemption_velocity"] + 1),
+        hits(tx.join(places.select(card, "transaction_date", "location_count"), [card, "transaction_date"]),
+             "merchant_location_anomaly", F.col("location_count") - limits["merchant_location_anomaly"]),
+        hits(redemptions.join(gaming.select(card, "redemption_count"), card),
+             "reward_gaming_pattern", F.col("redemption_count") - limits["reward_gaming_pattern"] + 1),
+    ])
+    one = stream.groupBy("transaction_id", "risk_rule_name").agg(F.max("evidence").alias("evidence"))
+    return one.withColumn("risk_score", F.round(F.least(0.5 + 0.1 * F.col("evidence"), F.lit(1.0)), 4))
+
+
+def detected_events(
+    tx: DataFrame, redemptions: DataFrame, liability: DataFrame, merchants: DataFrame, rules: DataFrame, redeemed: DataFrame,
+) -> DataFrame:
+    """Risk events from detection: one for each transaction and active rule."""
+    found = detected_hits(tx, redemptions, liability, merchants)
+    about = tx.select("transaction_id", "tokenized_cardmember_id", "merchant_id", "transaction_timestamp", "transaction_date")
+    return risk_events(found.join(about, "transaction_id"), rules, redeemed)

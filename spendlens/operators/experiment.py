@@ -85,6 +85,34 @@ def outliers(df: DataFrame, by: Sequence[str], sigmas: float = 3.0) -> DataFrame
     return joined.filter(far).select(*by, "tokenized_cardmember_id", "spend", "group_mean", "group_var")
 
 
+# How far from the quartiles, in quartile ranges, a spend is an outlier; ranks of a sketch are exact to 1 / ACCURACY.
+FENCE, ACCURACY = 1.5, 10_000
+
+
+def spend_quantiles(df: DataFrame, by: Sequence[str], accuracy: int = ACCURACY) -> DataFrame:
+    """Quartiles of the cards' spend per group and the fences around them, from mergeable sketches.
+
+    No group is sorted or gathered: partial sketches are merged, so a hot group costs no more than others. A quantile
+    is a spend whose rank is off by at most one in `accuracy`; in groups of fewer cards it is exact.
+    """
+    cards = spend_per_card(df, by)
+    sketch = F.percentile_approx("spend", [0.25, 0.5, 0.75], accuracy)
+    grouped = cards.groupBy(*by).agg(F.count("spend").alias("card_count"), sketch.alias("q"))
+    return derive(grouped, {
+        "first_quartile": "q[0]", "median_spend": "q[1]", "third_quartile": "q[2]",
+        "lower_fence": f"first_quartile - {FENCE}D * (third_quartile - first_quartile)",
+        "upper_fence": f"third_quartile + {FENCE}D * (third_quartile - first_quartile)",
+    }).drop("q")
+
+
+def quantile_outliers(df: DataFrame, by: Sequence[str], accuracy: int = ACCURACY) -> DataFrame:
+    """Cards whose spend lies outside their group's fences, which a few huge spends do not move as they move a mean."""
+    fences = spend_quantiles(df, by, accuracy)
+    joined = spend_per_card(df, by).join(fences, list(by))
+    far = (F.col("spend") < F.col("lower_fence")) | (F.col("spend") > F.col("upper_fence"))
+    return joined.filter(far).select(*by, "tokenized_cardmember_id", "spend", "median_spend", "lower_fence", "upper_fence")
+
+
 def match_controls(
     test: DataFrame, control: DataFrame, exact: Sequence[str], tolerances: Mapping[str, float],
     key: str = "tokenized_cardmember_id", threshold: float = MATCH_THRESHOLD,

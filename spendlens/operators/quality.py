@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -14,6 +15,7 @@ from ..functions.exprs import sql_text
 from ..sources.contracts import CELL, MERCHANT_DAY, RELATIONS, Relation, ScdSpec, TableSpec
 from . import incrementality as inc
 from . import marts, risk
+from .scd import interval_faults
 
 MONEY_TOLERANCE = "0.01D"
 RATIO_TOLERANCE = "0.0001D"
@@ -246,6 +248,13 @@ def check_scd(scd: DataFrame, spec: ScdSpec) -> DataFrame:
     return rows.unionByName(as_rows(repeated, spec.output, [("duplicate_surrogate", "duplicate_surrogate", "critical")]))
 
 
+def check_intervals(scd: DataFrame, spec: ScdSpec) -> DataFrame:
+    """Version table checks: versions of a key follow each other without overlap and without a gap."""
+    counted = interval_faults(scd, spec.key).agg(
+        F.count_if(F.col("fault") == "overlap").alias("overlaps"), F.count_if(F.col("fault") == "gap").alias("gaps"))
+    return as_rows(counted, spec.output, [("overlaps", "overlapping_versions", "critical"), ("gaps", "gaps_between_versions", "high")])
+
+
 # --------------------------------------------------------------- keys, relations, money formulas
 
 
@@ -423,6 +432,30 @@ def schema_drift(df: DataFrame, expected: str) -> DataFrame:
     return counts.select(F.inline(F.array(*cells)))
 
 
+FOOTER_READERS = 16
+
+
+def drift_of_files(spark, paths: Sequence[str], expected: str, fmt: str = "parquet") -> DataFrame:
+    """Expected against actual columns of single files: only their footers are read, no rows and no merged schema.
+
+    One row for each column and state it has in some files: column_name, expected_type, actual_type, drift (as in
+    `schema_drift`), file_count and first_path. Files whose types differ from each other are no error here. Meant for the
+    new files of a load: each is looked at on its own, several at a time.
+    """
+    wanted = {f.name: f.dataType.simpleString() for f in StructType.fromDDL(expected).fields}
+    with ThreadPoolExecutor(FOOTER_READERS) as pool:
+        schemas = list(pool.map(lambda p: {f.name: f.dataType.simpleString() for f in spark.read.format(fmt).load(p).schema.fields}, sorted(paths)))
+    states: dict[tuple, list[str]] = {}
+    for path, actual in zip(sorted(paths), schemas):
+        for name in dict.fromkeys([*wanted, *actual]):
+            have, want = actual.get(name), wanted.get(name)
+            verdict = "missing" if have is None else "unexpected" if want is None else "matched" if have == want else "type_changed"
+            states.setdefault((name, want, have, verdict), []).append(path)
+    rows = [(*state, len(found), found[0]) for state, found in states.items()]
+    return spark.createDataFrame(
+        rows, "column_name string, expected_type string, actual_type string, drift string, file_count bigint, first_path string")
+
+
 # What a failure of each severity leads to.
 ACTIONS = (("critical", "fail"), ("high", "quarantine"), ("medium", "flag"), ("low", "warn"))
 

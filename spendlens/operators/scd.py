@@ -131,3 +131,30 @@ def as_of_join(facts: DataFrame, scd: DataFrame, key: str, date_column: str, att
     day = F.col(date_column)
     on = (F.col(key) == F.col("__key")) & (day >= F.col("__from")) & (day <= F.col("__to"))
     return facts.join(versions, on, "left").drop("__key", "__from", "__to")
+
+
+FOREVER = "DATE '9999-12-31'"
+
+
+def interval_faults(
+    versions: DataFrame, key: str, start: str = "effective_start_date", end: str = "effective_end_date", slice_days: int = 366,
+) -> DataFrame:
+    """Every version that does not begin the day after the versions of its key before it end.
+
+    key, start, end, covered_until (the latest end of all versions that begin before, or on the same day and end no later)
+    and `fault`: `overlap` if the version begins on that day or earlier, `gap` if a day lies between. The end day
+    belongs to a version; a null end is open. Versions of a key are laid into slices of `slice_days` by their start, and each
+    slice carries on the latest end of the slices before it, so a key with a large part of all versions is many
+    tasks. Rows without a key or start are no versions.
+    """
+    day = F.unix_date(F.col(start))
+    rows = versions.select(key, start, end, F.coalesce(F.col(end), F.expr(FOREVER)).alias("__end"), F.floor(day / slice_days).alias("__slice")).filter(
+        F.col(key).isNotNull() & F.col(start).isNotNull())
+    within = Window.partitionBy(key, "__slice").orderBy(start, "__end").rowsBetween(Window.unboundedPreceding, -1)
+    latest = rows.groupBy(key, "__slice").agg(F.max("__end").alias("__last"))
+    earlier = Window.partitionBy(key).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = latest.select(key, "__slice", F.max("__last").over(earlier).alias("__carried"))
+    joined = rows.withColumn("__within", F.max("__end").over(within)).join(carried, [key, "__slice"])
+    until = joined.withColumn("covered_until", F.greatest("__within", "__carried"))
+    fault = F.when(F.col(start) <= F.col("covered_until"), "overlap").when(F.col(start) > F.date_add("covered_until", 1), "gap")
+    return until.select(key, start, end, "covered_until", fault.alias("fault")).filter("fault IS NOT NULL")

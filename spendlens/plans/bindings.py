@@ -136,6 +136,25 @@ VIEWS = {
                     ELSE CAST(CAST(value AS DECIMAL(18,2)) AS STRING) END AS transaction_amount,
                event_type AS transaction_status
         FROM {event}""",
+    # ---- a feed with lost keys and copies, a feed of redemptions, and terms that overlap and leave gaps
+    "raw_feed": """
+        SELECT concat(CAST(event_id AS STRING), '/', CAST(copy AS STRING)) AS line,
+               concat(CAST(event_id AS STRING), '/', CAST(copy AS STRING)) AS source_line,
+               CASE WHEN event_id % 50 = 7 THEN NULL ELSE event_id END AS transaction_id, user_id AS tokenized_cardmember_id,
+               CASE WHEN event_type = 'signup' THEN 'unknown' ELSE CAST(ts AS STRING) END AS transaction_timestamp,
+               CAST(event_day AS STRING) AS transaction_date,
+               CASE WHEN event_type = 'error' THEN 'n/a' WHEN event_type = 'view' THEN NULL
+                    ELSE CAST(CAST(value AS DECIMAL(18,2)) AS STRING) END AS transaction_amount
+        FROM (SELECT *, 1 AS copy FROM {event} UNION ALL SELECT *, 2 AS copy FROM {event} WHERE event_id % 3 = 0)""",
+    "redemption_feed": """
+        SELECT event_id AS transaction_id, user_id AS tokenized_cardmember_id, k AS offer_id, ts AS transaction_timestamp,
+               event_day AS transaction_date
+        FROM {event} WHERE event_type IN ('purchase', 'click')""",
+    "lease": """
+        SELECT o_custkey AS member_id, CAST(o_orderdate AS DATE) AS effective_start_date,
+               CASE WHEN o_orderkey % 211 = 0 THEN NULL
+                    ELSE CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 500 AS INTEGER) AS DATE) END AS effective_end_date
+        FROM {orders}""",
     # ---- two states of the merchant dimension and of the customer dimension
     "merchant_v2": """
         SELECT merchant_id, merchant_name, category_id, location_id,

@@ -1544,3 +1544,133 @@ def control_assignment(d):
     cards = history(d)
     test, control = cards.filter("assignment_group = 'test'"), cards.filter("assignment_group = 'control'")
     return assignment.assign_controls(test, control, ["segment_id"], ["location_id"], HISTORY_TOLERANCES)
+
+
+# ============================================================== interval law, quantiles, detection, quarantine
+
+
+@query("""SELECT member_id, effective_start_date, effective_end_date, covered_until,
+       CASE WHEN effective_start_date <= covered_until THEN 'overlap' ELSE 'gap' END AS fault FROM (
+       SELECT *, max(coalesce(effective_end_date, DATE '9999-12-31')) OVER (PARTITION BY member_id
+         ORDER BY effective_start_date, coalesce(effective_end_date, DATE '9999-12-31') ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+         AS covered_until FROM {lease})
+       WHERE effective_start_date <= covered_until OR effective_start_date > covered_until + 1""")
+def interval_faults(d):
+    return scd.interval_faults(d.lease, "member_id")
+
+
+@query("""WITH v AS (SELECT *, max(coalesce(effective_end_date, DATE '9999-12-31')) OVER (PARTITION BY member_id
+         ORDER BY effective_start_date, coalesce(effective_end_date, DATE '9999-12-31') ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+         AS until FROM {lease})
+       SELECT 'member' AS table_name, check_name, failure_count, severity, 'failed' AS status FROM (
+       SELECT 'overlapping_versions' AS check_name, count(*) AS failure_count, 'critical' AS severity FROM v WHERE effective_start_date <= until
+       UNION ALL SELECT 'gaps_between_versions', count(*), 'high' FROM v WHERE effective_start_date > until + 1)""")
+def checks_intervals(d):
+    """Planted overlaps and gaps: terms of members that begin when an order was made."""
+    return quality.check_intervals(d.lease, ScdSpec("customer", "member", "member_id", ("effective_end_date",)))
+
+
+QUARTILES = """SELECT campaign_id, count(*) AS card_count, quantile_disc(spend, 0.25) AS first_quartile,
+       quantile_disc(spend, 0.5) AS median_spend, quantile_disc(spend, 0.75) AS third_quartile FROM (
+       SELECT campaign_id, tokenized_cardmember_id, CAST(sum(CAST(transaction_amount AS DECIMAL(18,2))) AS DOUBLE) AS spend
+       FROM {li} GROUP BY 1, 2) GROUP BY 1"""
+
+
+@query(f"""SELECT *, first_quartile - 1.5 * (third_quartile - first_quartile) AS lower_fence,
+       third_quartile + 1.5 * (third_quartile - first_quartile) AS upper_fence FROM ({QUARTILES})""")
+def spend_quantiles(d):
+    return experiment.spend_quantiles(d.li, ["campaign_id"])
+
+
+@query(f"""SELECT campaign_id, tokenized_cardmember_id, spend, median_spend, lower_fence, upper_fence FROM (
+       SELECT campaign_id, tokenized_cardmember_id, CAST(sum(CAST(transaction_amount AS DECIMAL(18,2))) AS DOUBLE) AS spend
+       FROM {{li}} GROUP BY 1, 2) JOIN (SELECT campaign_id, median_spend, first_quartile - 1.5 * (third_quartile - first_quartile)
+       AS lower_fence, third_quartile + 1.5 * (third_quartile - first_quartile) AS upper_fence FROM ({QUARTILES})) USING (campaign_id)
+       WHERE spend < lower_fence OR spend > upper_fence""")
+def quantile_outliers(d):
+    return experiment.quantile_outliers(d.li, ["campaign_id"])
+
+
+DETECTED = f"""WITH t AS (SELECT transaction_id, tokenized_cardmember_id, merchant_id, transaction_timestamp, transaction_date,
+         {REFUNDABLE} AS transaction_status FROM {{tx}}),
+       x AS (SELECT * FROM {{redemption_feed}}),
+       hits AS (
+         SELECT transaction_id, 'duplicate_redemption' AS risk_rule_name, n - 1 AS evidence FROM (SELECT *, count(*) OVER w AS n,
+           row_number() OVER (w ORDER BY transaction_timestamp, transaction_id) AS place FROM x
+           WINDOW w AS (PARTITION BY tokenized_cardmember_id, offer_id)) WHERE place > 1
+         UNION ALL SELECT l.transaction_id, 'refund_after_reward', 4 FROM {{liability}} l JOIN t USING (transaction_id)
+           WHERE t.transaction_status IN ('refunded', 'reversed')
+         UNION ALL SELECT transaction_id, 'high_redemption_velocity', n - 4 FROM (SELECT transaction_id, count(*) OVER (
+           PARTITION BY tokenized_cardmember_id ORDER BY transaction_timestamp RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND CURRENT ROW) AS n
+           FROM x) WHERE n >= 5
+         UNION ALL SELECT t.transaction_id, 'merchant_location_anomaly', n - 2 FROM t JOIN (SELECT tokenized_cardmember_id, transaction_date,
+           count(DISTINCT location_id) AS n FROM t JOIN {{merchant}} USING (merchant_id) GROUP BY 1, 2) USING (tokenized_cardmember_id, transaction_date)
+           WHERE n > 2
+         UNION ALL SELECT x.transaction_id, 'reward_gaming_pattern', m - 1 FROM x JOIN (SELECT tokenized_cardmember_id, m FROM
+           (SELECT tokenized_cardmember_id, count(*) AS m FROM x GROUP BY 1) JOIN (SELECT tokenized_cardmember_id, count(*) AS n FROM t GROUP BY 1)
+           USING (tokenized_cardmember_id) WHERE m >= 2 AND CAST(m AS DOUBLE) / n >= 0.1) USING (tokenized_cardmember_id))
+       SELECT transaction_id, risk_rule_name, CAST(max(evidence) AS DOUBLE) AS evidence,
+         round(least(0.5::DOUBLE + 0.1::DOUBLE * CAST(max(evidence) AS DOUBLE), 1.0::DOUBLE), 4) AS risk_score FROM hits GROUP BY 1, 2"""
+
+
+def detection_inputs(d: Domain) -> tuple[DataFrame, ...]:
+    return d.tx.withColumn("transaction_status", F.expr(REFUNDABLE)), d.redemption_feed, liability(d), d.merchant
+
+
+@query(DETECTED)
+def detected_hits(d):
+    return abuse.detected_hits(*detection_inputs(d))
+
+
+@query(f"""SELECT risk_rule_name, risk_event_status, count(*) AS event_count, count(DISTINCT transaction_id) AS transaction_count,
+       {msum('risk_score')} AS total_score FROM (SELECT e.*, CASE WHEN risk_score >= 0.90 THEN 'open' WHEN risk_score >= 0.75
+       THEN 'reviewed' ELSE 'confirmed_false_positive' END AS risk_event_status FROM ({DETECTED}) e
+       JOIN {{risk_rule}} k USING (risk_rule_name) JOIN {{tx}} USING (transaction_id) WHERE k.is_active) GROUP BY 1, 2""")
+def detected_events(d):
+    """Events of the active rules that detection has found, by rule and status."""
+    events = abuse.detected_events(*detection_inputs(d), d.risk_rule, redeemed(d))
+    return events.groupBy("risk_rule_name", "risk_event_status").agg(
+        F.count("*").alias("event_count"), F.countDistinct("transaction_id").alias("transaction_count"), money_sum("risk_score").alias("total_score"))
+
+
+FEED_RULES = cleaning.contract_rules(
+    TableSpec("feed", "transaction_id", "", timestamps=("transaction_timestamp",), dates=("transaction_date",), numerics=("transaction_amount",)),
+    ("transaction_id", "transaction_timestamp", "transaction_date", "transaction_amount"))
+FEED = TableSpec("feed", "transaction_id", "", timestamps=("transaction_timestamp",), dates=("transaction_date",), numerics=("transaction_amount",))
+FEED_JUDGED = """SELECT *, (CASE WHEN transaction_id IS NULL THEN 1 ELSE 0 END)
+       + (CASE WHEN transaction_amount IS NOT NULL AND TRY_CAST(transaction_amount AS DOUBLE) IS NULL THEN 1 ELSE 0 END)
+       + (CASE WHEN transaction_timestamp IS NOT NULL AND TRY_CAST(transaction_timestamp AS TIMESTAMP) IS NULL THEN 1 ELSE 0 END) AS broken
+       FROM {raw_feed}"""
+
+
+def fed(d: Domain) -> DataFrame:
+    return cleaning.sorted_out(d.raw_feed, FEED, FEED_RULES, place=("line",))
+
+
+@query(f"""SELECT code, count(*) AS row_count, count(DISTINCT line) AS record_count FROM (
+       SELECT unnest(list_filter([CASE WHEN transaction_id IS NULL THEN 'E01' END,
+         CASE WHEN transaction_amount IS NOT NULL AND TRY_CAST(transaction_amount AS DOUBLE) IS NULL THEN 'E02' END,
+         CASE WHEN transaction_timestamp IS NOT NULL AND TRY_CAST(transaction_timestamp AS TIMESTAMP) IS NULL THEN 'E03' END],
+         lambda c: c IS NOT NULL)) AS code, line FROM {{raw_feed}}) GROUP BY 1""")
+def quarantine_codes(d):
+    rejected = fed(d).filter(F.col(cleaning.OUTCOME) == cleaning.REJECTED)
+    rows = cleaning.quarantine_records(rejected, "feed", RUN)
+    return rows.groupBy(F.col("validation_error_code").alias("code")).agg(
+        F.count("*").alias("row_count"), F.countDistinct(F.get_json_object("record_payload", "$.source_line")).alias("record_count"))
+
+
+@query(f"""SELECT rows_in, clean_rows, rejected_rows, duplicate_rows, rows_in - clean_rows - rejected_rows - duplicate_rows AS lost_rows
+       FROM (SELECT count(*) AS rows_in, count(*) FILTER (broken > 0) AS rejected_rows,
+       count(DISTINCT CASE WHEN broken = 0 THEN transaction_id END) AS clean_rows,
+       count(*) FILTER (broken = 0) - count(DISTINCT CASE WHEN broken = 0 THEN transaction_id END) AS duplicate_rows
+       FROM ({FEED_JUDGED}))""")
+def quarantine_balance(d):
+    """Rows in = clean + rejected + surplus copies; the copies are counted apart from the dedupe."""
+    kept = fed(d).groupBy().agg(F.count_if(F.col(cleaning.OUTCOME) == cleaning.ACCEPTED).alias("clean_rows"),
+                                F.count_if(F.col(cleaning.OUTCOME) == cleaning.REJECTED).alias("rejected_rows"))
+    counted = cleaning.surplus_rows(d.raw_feed, "transaction_id", FEED_RULES)
+    none = F.lit(0).cast("bigint")
+    rows = kept.select(none.alias("rows_in"), "clean_rows", "rejected_rows", none.alias("duplicate_rows")).unionByName(
+        counted.select(F.col("row_count").alias("rows_in"), none.alias("clean_rows"), none.alias("rejected_rows"), F.col("duplicate_count").alias("duplicate_rows")))
+    sums = rows.agg(*(F.sum(c).alias(c) for c in rows.columns))
+    return derive(sums, {"lost_rows": "rows_in - clean_rows - rejected_rows - duplicate_rows"})
