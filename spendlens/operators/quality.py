@@ -435,18 +435,26 @@ def schema_drift(df: DataFrame, expected: str) -> DataFrame:
 FOOTER_READERS = 16
 
 
+def _column_types(schema: StructType) -> dict[str, str]:
+    return {f.name: f.dataType.simpleString() for f in schema.fields}
+
+
+def file_columns(spark, paths: Sequence[str], fmt: str = "parquet") -> dict[str, dict[str, str]]:
+    """Columns and types of each file, from its footer alone; several files at a time."""
+    with ThreadPoolExecutor(FOOTER_READERS) as pool:
+        return dict(zip(paths, pool.map(lambda p: _column_types(spark.read.format(fmt).load(p).schema), paths)))
+
+
 def drift_of_files(spark, paths: Sequence[str], expected: str, fmt: str = "parquet") -> DataFrame:
     """Expected against actual columns of single files: only their footers are read, no rows and no merged schema.
 
     One row for each column and state it has in some files: column_name, expected_type, actual_type, drift (as in
     `schema_drift`), file_count and first_path. Files whose types differ from each other are no error here. Meant for the
-    new files of a load: each is looked at on its own, several at a time.
+    new files of a load.
     """
-    wanted = {f.name: f.dataType.simpleString() for f in StructType.fromDDL(expected).fields}
-    with ThreadPoolExecutor(FOOTER_READERS) as pool:
-        schemas = list(pool.map(lambda p: {f.name: f.dataType.simpleString() for f in spark.read.format(fmt).load(p).schema.fields}, sorted(paths)))
+    wanted = _column_types(StructType.fromDDL(expected))
     states: dict[tuple, list[str]] = {}
-    for path, actual in zip(sorted(paths), schemas):
+    for path, actual in file_columns(spark, sorted(paths), fmt).items():
         for name in dict.fromkeys([*wanted, *actual]):
             have, want = actual.get(name), wanted.get(name)
             verdict = "missing" if have is None else "unexpected" if want is None else "matched" if have == want else "type_changed"
@@ -456,6 +464,17 @@ def drift_of_files(spark, paths: Sequence[str], expected: str, fmt: str = "parqu
         rows, "column_name string, expected_type string, actual_type string, drift string, file_count bigint, first_path string")
 
 
+def unfit_files(spark, paths: Sequence[str], expected: str, fmt: str = "parquet") -> dict[str, str]:
+    """Files that lack a declared column or hold it in another type, and why. New columns fit."""
+    wanted = _column_types(StructType.fromDDL(expected))
+    wrong = {}
+    for path, actual in file_columns(spark, paths, fmt).items():
+        why = [f"{c}: {actual.get(c, 'missing')} instead of {kind}" for c, kind in wanted.items() if actual.get(c) != kind]
+        if why:
+            wrong[path] = "; ".join(why)
+    return wrong
+
+
 # What a failure of each severity leads to.
 ACTIONS = (("critical", "fail"), ("high", "quarantine"), ("medium", "flag"), ("low", "warn"))
 

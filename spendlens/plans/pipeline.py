@@ -60,8 +60,8 @@ def load_new_files(lake: Lake, run_id: str, specs: Sequence[C.TableSpec] = C.SOU
     The ledger knows every file that was taken in. New files are read alone, and of a partitioned table only the partitions
     with rows from them are written again, from their rows of other files and the new ones. Running it
     again after a stop gives the same tables: rows of files that the ledger does not know are replaced, not added.
-    A file that was taken before, under its own or another path, is refused and listed. A table that has new
-    columns or other types in a new file stops, as in `ingest`.
+    A file that was taken before, under its own or another path, is refused and listed; so is a file whose footer lacks a
+    declared column or holds it in another type.
     """
     spark = lake.spark
     ledger = lake.read("bronze", LEDGER) if lake.exists("bronze", LEDGER) else spark.createDataFrame([], LEDGER_SCHEMA)
@@ -69,9 +69,14 @@ def load_new_files(lake: Lake, run_id: str, specs: Sequence[C.TableSpec] = C.SOU
     def one(spec: C.TableSpec) -> DataFrame:
         judged = handed_over(without_copies(judged_files(delivered_files(lake, spec.name), ledger)), "judged-files")
         paths = [r.source_file_path for r in judged.filter("status = 'taken'").select("source_file_path").collect()]  # new files
-        if paths:
-            take_in(lake, spec, run_id, paths)
-        return judged
+        unfit = quality.unfit_files(spark, paths, spec.schema, lake.fmt) if paths else {}
+        if len(paths) > len(unfit):
+            take_in(lake, spec, run_id, [p for p in paths if p not in unfit])
+        if unfit:
+            listed = spark.createDataFrame(list(unfit.items()), "source_file_path string, why string")
+            judged = judged.join(F.broadcast(listed), "source_file_path", "left").withColumns({
+                "status": F.when(F.col("why").isNull(), F.col("status")).otherwise("refused"), "reason": F.coalesce("why", "reason")})
+        return judged.select("source_table_name", "source_file_path", "file_bytes", "modified_at", "status", "reason")
 
     found = union(each(specs, one)).withColumn("pipeline_run_id", F.lit(run_id)).select(*ledger.columns)
     lake.publish(ledger.unionByName(found), "bronze", LEDGER)
@@ -199,7 +204,12 @@ def version(lake: Lake, run_id: str, as_of: str | None = None, specs: Sequence[C
             lake.replace(state, "silver", spec.output, columns)
 
     each(specs, one)
-    quality.ensure_passed(union([quality.check_scd(lake.read("silver", s.output), s) for s in specs]))
+    quality.ensure_passed(union([check_versions(lake, s) for s in specs]))
+
+
+def check_versions(lake: Lake, spec: C.ScdSpec) -> DataFrame:
+    versions = lake.read("silver", spec.output)
+    return quality.check_scd(versions, spec).unionByName(quality.check_intervals(versions, spec))
 
 
 def match(lake: Lake, run_id: str, policy: str = "flat") -> Published:
@@ -312,7 +322,7 @@ def report(lake: Lake, run_id: str, specs: Sequence[C.TableSpec] = C.SOURCE_TABL
     published = {p.table for p in done if p.checks}
     parts = [
         check_release(lake, specs), quality.count_rows(layers, "raw_equals_bronze"), check_silver(lake, specs), check_rows_add_up(lake, specs),
-        *(quality.check_scd(lake.read("silver", s.output), s) for s in C.SCD_TABLES if lake.exists("silver", s.output)),
+        *(check_versions(lake, s) for s in C.SCD_TABLES if lake.exists("silver", s.output)),
         *(check(lake.read("gold", table)) for table, check in MART_CHECKS if table not in published),
     ]
     if kept:

@@ -127,6 +127,23 @@ def test_only_new_files_are_loaded(lake, spark):
     assert lake.read("bronze", L.LEDGER).filter("status = 'taken'").count() == 3
 
 
+def test_files_that_do_not_fit_are_refused(lake, spark):
+    deliver(spark, lake, "one", day(1, "a"))
+    changed = raw(spark, day(1, "b")).withColumn("amount", F.col("amount").cast("double")).drop("note").withColumn("more", F.lit(1))
+    changed.coalesce(1).write.parquet(f"{lake.folder('raw', 'feed')}/two")
+    raw(spark, day(2, "c")).withColumn("more", F.lit(1)).coalesce(1).write.parquet(f"{lake.folder('raw', 'feed')}/three")
+    rows = {r.source_file_path.split("/")[-2]: (r.status, r.reason) for r in pipeline.load_new_files(lake, "r1", [FEED]).collect()}
+    assert rows["one"] == rows["three"] == ("taken", None)
+    assert rows["two"] == ("refused", "amount: double instead of string; note: missing instead of string")
+    assert [r[0] for r in rows_of(lake)] == ["a", "c"]
+    paths = [r.source_file_path for r in L.delivered_files(lake, "feed").collect()]
+    drift = quality.drift_of_files(spark, paths, FEED.schema)
+    found = {(r.column_name, r.actual_type): (r.drift, r.file_count) for r in drift.collect()}
+    assert found["amount", "string"] == ("matched", 2) and found["amount", "double"] == ("type_changed", 1)
+    assert found["note", None] == ("missing", 1) and found["more", "int"] == ("unexpected", 2)
+    assert "FileScan" not in drift._jdf.queryExecution().executedPlan().toString()
+
+
 def test_a_stopped_load_can_run_again(lake, spark):
     deliver(spark, lake, "one", day(1, "a"))
     pipeline.load_new_files(lake, "r1", [FEED])
