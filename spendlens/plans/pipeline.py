@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.exprs import stamp
-from ..operators import cleaning, marts, matching, quality, risk, scd
+from ..operators import abuse, cleaning, lineage, marts, matching, privacy, quality, risk, scd
 from ..operators import incrementality as inc
 from ..sources import contracts as C
 from ..sources.lake import (
@@ -282,6 +283,93 @@ def cannibalization(lake: Lake, run_id: str) -> Published:
         run_id, quality.check_cannibalization, quality.CANNIBALIZATION_CHECKS)
 
 
+@dataclass(frozen=True)
+class Summary:
+    """A gold table beside the marts: how it is built from silver tables, its grain, and what must not be in it."""
+
+    table: str
+    grain: tuple[str, ...]
+    build: Callable[[Callable[[str], DataFrame]], DataFrame]
+    checks: tuple[quality.Check, ...]
+    partition: str | None = None
+
+
+def _funnel(clean: Callable[[str], DataFrame]) -> DataFrame:
+    terms = clean("dim_offer").select("offer_id", "campaign_id", "merchant_id")
+    activations = clean("fact_offer_activations").drop("campaign_id", "merchant_id").join(matching.small_side(terms), "offer_id")
+    return marts.offer_funnel(clean("fact_offer_impressions"), activations, clean(C.MATCHED_TABLE))
+
+
+def _abuse(clean: Callable[[str], DataFrame]) -> DataFrame:
+    redeemed = clean("fact_offer_redemptions").withColumnsRenamed({"redemption_timestamp": "transaction_timestamp", "redemption_date": "transaction_date"})
+    events = abuse.detected_events(
+        clean("fact_transactions"), redeemed, clean("fact_reward_liability"), clean("dim_merchant"), clean("dim_risk_rule"), redeemed)
+    return marts.abuse_summary(events, clean(C.MATCHED_TABLE))
+
+
+def _lineage(clean: Callable[[str], DataFrame]) -> DataFrame:
+    day = ("transaction_date", "merchant_id")
+    rows = [
+        lineage.detail(clean("fact_transactions").filter("transaction_amount >= 0"), "gold_merchant_daily", "gmd", day,
+                       "fact_transactions_clean", "transaction_id", "gross_spend_input"),
+        lineage.detail(clean(C.MATCHED_TABLE), "gold_merchant_daily", "gmd", day, C.MATCHED_TABLE, "matched_redemption_id", "reward_cost_input"),
+    ]
+    return lineage.summary(union(rows), "amount >= 0", "sum per merchant and day")
+
+
+def _small_cohorts() -> tuple[quality.Check, ...]:
+    figures = ("protected_cohort_size", "visible_test_spend", "visible_control_spend", "visible_incremental_spend", "visible_reward_cost")
+    return (quality.Check("exposed_small_cohort", "is_suppressed AND (" + " OR ".join(f"{f} IS NOT NULL" for f in figures) + ")", "critical"),)
+
+
+def _not_negative(*columns: str) -> quality.Check:
+    return quality.Check("negative_metric", quality.below_zero(*columns))
+
+
+SUMMARIES = (
+    Summary("gold_offer_funnel_daily", C.CELL, _funnel, (
+        _not_negative("impressions", "activations", "redemptions", "gross_redeemed_spend", "reward_cost"),
+        quality.Check("breakage_formula", "coalesce(abs(breakage_rate - (1D - redemption_rate)) > 0.0001D, true)")), "business_date"),
+    Summary("gold_reward_liability_summary", (*C.CELL, "liability_owner"), lambda t: marts.liability_summary(t("fact_reward_liability")), (
+        _not_negative("reward_amount", "accrued_liability", "paid_liability", "reversed_liability"),
+        quality.Check("remaining_formula", "coalesce(abs(remaining_liability - (reward_amount - paid_liability - reversed_liability)) > 0.01D, true)"),
+        quality.Check("funding_formula", "coalesce(abs(reward_amount - merchant_funded_amount - platform_funded_amount) > 0.01D, true)")), "business_date"),
+    Summary("gold_merchant_settlement_summary", ("settlement_date", "merchant_id"), lambda t: marts.settlement_summary(t("fact_merchant_settlements")), (
+        _not_negative("gross_transaction_amount", "platform_fee_amount", "settlement_count"),
+        quality.Check("settlement_formula", "coalesce(abs(gross_transaction_amount - platform_fee_amount - merchant_settlement_amount) > 0.01D, true)")),
+        "settlement_date"),
+    Summary("gold_reconciliation_health_daily", ("reconciliation_date", "merchant_id"),
+            lambda t: marts.reconciliation_health(t("fact_data_quality_reconciliation")), (
+        quality.Check("counts_add_up", "transaction_count <> matched_count + mismatched_count", "critical"),
+        quality.Check("invalid_rate", quality.outside_unit("match_rate"))), "reconciliation_date"),
+    Summary("gold_offer_abuse_risk_summary", ("event_date", "merchant_id", "offer_id", "risk_rule_name", "risk_category", "risk_severity"), _abuse, (
+        quality.Check("invalid_score", quality.outside_unit("average_risk_score")),
+        quality.Check("states_over_events", "open_event_count + reviewed_event_count > risk_event_count")), "event_date"),
+    Summary("gold_segment_response_summary", ("segment_id",), lambda t: marts.segment_response(
+        t("fact_offer_impressions"), t("fact_offer_activations"), t(C.MATCHED_TABLE), t("dim_cardmember_token")), (
+        _not_negative("cardmember_count", "impressions", "activations", "redemptions"),)),
+    Summary("gold_category_performance_summary", ("category_id",), lambda t: marts.category_performance(
+        t("fact_transactions"), t(C.MATCHED_TABLE), t("dim_merchant")), (_not_negative("transaction_count", "redemption_count", "reward_cost_amount"),)),
+    Summary("gold_privacy_safe_offer_lift", ("merchant_id", "campaign_id"), lambda t: privacy.cohort_lift(
+        t(C.MATCHED_TABLE), t("fact_control_group_transactions"), ["merchant_id", "campaign_id"]), _small_cohorts()),
+    Summary("gold_metric_lineage_summary", ("gold_table_name", "gold_row_id", "source_table_name", "source_role"), _lineage, (
+        quality.Check("no_source_rows", "source_row_count <= 0"),)),
+)
+
+
+def summaries(lake: Lake, run_id: str, wanted: Sequence[Summary] = SUMMARIES) -> list[Published]:
+    """Finance, funnel, segment, abuse, privacy and lineage tables, each checked before it is swapped in."""
+
+    def clean(name: str) -> DataFrame:
+        return lake.read("silver", name if name == C.MATCHED_TABLE else f"{name}_clean")
+
+    def one(s: Summary) -> Published:
+        df = s.build(clean).withColumns({"summary_pipeline_run_id": F.lit(run_id), "summary_created_at": F.current_timestamp()})
+        return lake.publish(df, "gold", s.table, s.grain, s.partition, lambda written: quality.run_checks(written, s.table, s.grain, s.checks))
+
+    return each(wanted, one)
+
+
 MART_CHECKS = (
     ("gold_merchant_daily", quality.check_merchant_daily),
     ("gold_offer_daily", quality.check_offer_daily),
@@ -341,4 +429,5 @@ def run_all(lake: Lake, run_id: str, specs: Sequence[C.TableSpec] = C.SOURCE_TAB
     refine(lake, run_id, specs)
     version(lake, run_id, as_of)
     done = [match(lake, run_id), *economics(lake, run_id), incrementality(lake, run_id), profitability(lake, run_id), cannibalization(lake, run_id)]
+    done += summaries(lake, run_id)
     return report(lake, run_id, specs, done)

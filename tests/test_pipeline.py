@@ -81,3 +81,20 @@ def test_orphan_stops_the_release(lake):
     broken["fact_transactions"] = specs["fact_transactions"].filter("transaction_status <> 'refunded'")
     with pytest.raises(ValueError, match="control_transaction_to_transaction"):
         quality.ensure_passed(quality.check_relations(broken))
+
+
+def test_summaries_are_published_and_agree_with_their_sources(lake):
+    rows = {s.table: lake.read("gold", s.table) for s in pipeline.SUMMARIES}
+    assert all(df.count() > 0 for df in rows.values())
+    matches = lake.read("silver", C.MATCHED_TABLE)
+    assert rows["gold_offer_funnel_daily"].agg(F.sum("redemptions")).first()[0] == matches.count()
+    liability = lake.read("silver", "fact_reward_liability_clean").agg(F.sum("reward_amount")).first()[0]
+    assert rows["gold_reward_liability_summary"].agg(F.sum("reward_amount")).first()[0] == pytest.approx(liability)
+    tied = lake.read("silver", "fact_data_quality_reconciliation_clean").count()
+    assert rows["gold_reconciliation_health_daily"].agg(F.sum("transaction_count")).first()[0] == tied
+    assert rows["gold_category_performance_summary"].agg(F.sum("transaction_count")).first()[0] == lake.read("silver", "fact_transactions_clean").count()
+    assert rows["gold_offer_abuse_risk_summary"].select("risk_rule_name").distinct().count() >= 2
+    hidden = rows["gold_privacy_safe_offer_lift"].filter("is_suppressed")
+    assert hidden.filter("visible_test_spend IS NOT NULL OR protected_cohort_size IS NOT NULL").count() == 0
+    checked = {r.table_name for r in lake.read("gold", "check_results").select("table_name").distinct().collect()}
+    assert set(rows) <= checked
