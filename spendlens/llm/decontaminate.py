@@ -45,22 +45,36 @@ def item_windows(benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
     return grams.withColumn("hash", hashes)
 
 
+def _spots(base: DataFrame, lengths: list[int], *carried: str) -> DataFrame:
+    """The carried columns, pos, length, hash: one row for each window of each length.
+
+    The outer form keeps Spark from testing the array in a filter of its own, which would hash every window twice.
+    """
+    def placed(length: int) -> Column:
+        return F.transform(_hashes(F.col("hashed"), length), lambda h, i: F.struct(i.alias("pos"), F.lit(length).alias("length"), h.alias("hash")))
+
+    if len(lengths) == 1:
+        return base.select(*carried, F.posexplode_outer(_hashes(F.col("hashed"), lengths[0])).alias("pos", "hash"), F.lit(lengths[0]).alias("length"))
+    return base.select(*carried, F.explode_outer(F.concat(*[placed(k) for k in lengths])).alias("spot")).select(*carried, "spot.*")
+
+
 def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """doc_id, text_key, item_id, pos (of the first hit word, from 0), length: each verified occurrence."""
     windows = item_windows(benchmark, n)
     sizes = windows.groupBy("length").count().collect()  # n rows at most
     base = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), words_of(F.col("text")).alias("words"))
-    base = base.withColumn("hashed", F.transform("words", lambda w: F.xxhash64(w)))
-    lookup = F.broadcast(windows) if sum(r["count"] for r in sizes) <= max_broadcast else windows
+    hashed = base.withColumn("hashed", F.transform("words", lambda w: F.xxhash64(w)))
     lengths = sorted(r["length"] for r in sizes) or [n]
-    hits = None
-    for length in lengths:
-        # The outer form keeps Spark from testing the array in a filter of its own, which would hash every window twice.
-        spots = base.select("doc_id", "text_key", "words", F.posexplode_outer(_hashes(F.col("hashed"), length)).alias("pos", "hash"))
-        found = spots.join(lookup.where(F.col("length") == length), "hash").where(
-            F.slice("words", F.col("pos") + 1, length) == F.col("gram")).select("doc_id", "text_key", "item_id", "pos", "length")
-        hits = found if hits is None else hits.unionAll(found)
-    return hits
+    on = ["hash", "length"]
+    if sum(r["count"] for r in sizes) <= max_broadcast:
+        found = _spots(hashed, lengths, "doc_id", "text_key", "words").join(F.broadcast(windows), on)
+        return found.where(F.slice("words", F.col("pos") + 1, F.col("length")) == F.col("gram")).select("doc_id", "text_key", "item_id", "pos", "length")
+    met = _spots(hashed, lengths, "doc_id", "text_key").join(windows, on)
+    spots = met.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("item_id", "pos", "length", "gram")).alias("spots"))
+    # Only documents that have met a hash fetch their words, once each.
+    told = base.alias("b").join(spots.alias("s"), F.col("b.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("b.text_key") == F.col("s.text_key")))
+    true = F.filter("spots", lambda x: F.slice("words", x["pos"] + 1, x["length"]) == x["gram"])
+    return told.select("b.doc_id", "b.text_key", F.inline(true)).select("doc_id", "text_key", "item_id", "pos", "length")
 
 
 def text_key(text: Column) -> Column:
@@ -87,8 +101,8 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_
     """The rows of `docs` without any hit, with all their columns."""
     bad = find_hits(docs, benchmark, n, max_broadcast).select(
         F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_key")).distinct()
-    keyed = docs.withColumn("_text_key", text_key(F.col("text")))
-    return keyed.join(bad, keyed["doc_id"].eqNullSafe(bad["_bad_id"]) & (keyed["_text_key"] == bad["_bad_key"]), "left_anti").drop("_text_key")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), text_key(F.col("text")).alias("key"))
+    return keyed.join(bad, F.col("id").eqNullSafe(F.col("_bad_id")) & (F.col("key") == F.col("_bad_key")), "left_anti").select("row.*")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_broadcast: int = MAX_BROADCAST) -> DataFrame:

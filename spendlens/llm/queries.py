@@ -107,8 +107,10 @@ def _quoted(text: str) -> str:
 
 
 def licence_sql() -> str:
-    names = ", ".join(_quoted(s) for s in licences.SENTENCES)
-    ids = ", ".join(_quoted(i) for i in licences.SENTENCES.values())
+    names = ", ".join(_quoted(s) for s in licences.KNOWN)
+    ids = ", ".join(_quoted(i) for i in licences.KNOWN.values())
+    inside = " ".join(f"WHEN contains(' ' || p.whole || ' ', {_quoted(f' {n} ')}) THEN [{_quoted(n)}]"
+                      for n in sorted(licences.NOTICES, key=lambda n: (-len(n), n)))
     steps, last = [], "s0"
     for k, (_, _, identifiers) in enumerate(licences.RULES):
         run = _quoted(licences.rule_text(identifiers))
@@ -123,10 +125,20 @@ def licence_sql() -> str:
         return f"coalesce(array_to_string(list_transform(list_sort(list_filter([{entries}], lambda e: e.at < 999)), lambda e: e.name), ' '), '')"
 
     return f"""
-WITH cut AS (
-  SELECT doc_id, list_filter(list_transform(
-    string_split_regex(translate(coalesce(text, ''), '{ASCII_UPPER}', '{ASCII_LOWER}'), '[\\n\\r]+|[.;!?:]+([ \\t\\n\\r\\f]|\\z)'),
-    lambda p: trim(regexp_replace(p, '[^a-z0-9]+', ' ', 'g'))), lambda p: p <> '') AS sentences FROM documents),
+WITH pieces AS (
+  SELECT doc_id, list_transform(string_split_regex(regexp_replace(regexp_replace(
+    chr(10) || translate(coalesce(text, ''), '{ASCII_UPPER}', '{ASCII_LOWER}'), '{licences.LINE_END}', chr(10), 'g'),
+    '{licences.COMMENT_MARK}', chr(10), 'g'), '{licences.SENTENCE_END}'), lambda p: {{
+      'whole': trim(regexp_replace(p, '{licences.OTHER}', ' ', 'g')),
+      'single': list_filter(list_transform(string_split(p, chr(10)), lambda l: trim(regexp_replace(l, '{licences.OTHER}', ' ', 'g'))), lambda l: l <> '')}}) AS pieces
+  FROM documents),
+cut AS (
+  SELECT doc_id, flatten(list_transform(pieces, lambda p: CASE
+    WHEN list_contains([{names}], p.whole) THEN [p.whole]
+    WHEN len(list_filter(p.single, lambda l: list_contains([{names}], l))) > 0 THEN p.single
+    WHEN contains(' ' || p.whole || ' ', ' not ') THEN p.single
+    {inside}
+    ELSE p.single END)) AS sentences FROM pieces),
 known AS (
   SELECT doc_id, len(sentences) AS n_sentences, list_filter(list_transform(sentences,
     lambda p: [{ids}][list_position([{names}], p)]), lambda i: i IS NOT NULL) AS found FROM cut),
@@ -151,7 +163,7 @@ links AS (
   WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
 reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
 least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
-degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+degree AS (SELECT a, count(DISTINCT b) AS n FROM links GROUP BY a)
 SELECT e.vec_id, coalesce(degree.n, 0) AS n_links, least.component_id, e.vec_id = least.component_id AS kept
 FROM embeddings e JOIN least ON least.a = e.vec_id LEFT JOIN degree ON degree.a = e.vec_id""",
     "op10_decontaminate": f"""

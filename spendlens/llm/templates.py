@@ -6,12 +6,14 @@ kept as its number of pages, its number of occurrences and an exclusive-or of ha
 combined map-side, so a host of any size costs one small row for each token and task. Tokens of one vector that cover
 at least SUPPORT of their host's pages form a valid class; the class of the page frame (once on each page) and the
 classes whose paths lie below it nest into the template. Texts in valid classes are template text; all other blocks
-fill slots.
+fill slots. Pages that are copies share their text without being a template: a text counts only if the pages it stands on
+differ in their longest block, of which the least and the greatest hash are kept with the vector.
 
 Among the slots' containers, the template takes for each host the deepest path of the frame class that holds most
 of the free text that no link and no known side element holds; a page without it falls back on its own largest
-container. What the container holds, less side elements, is the main text; outside article and main elements, which
-are slots by a page's own word, template text goes as well, unless nothing else is there (pages that are copies).
+container. What the container holds, less side elements and template text, is the main text, also inside article and main
+elements; if nothing else is there, the template text stays. Class words and ids help only where a whole word of theirs
+is a mark, alone or beside words that say nothing (`ad-box`, `site-footer`; not `side-effects` or `related-work`).
 
 Defined results: null or empty html gives the empty text; html without a tag is one block of text; a null url is a host
 of its own, as are urls without a host; repeated rows give equal rows; hosts of one or two pages have no template
@@ -57,6 +59,11 @@ MARKS = frozenset((
     "login share sharing social related recommended comment comments reply replies respond disqus widget pagination pager toolbar topbar copyright "
     "legal skip toc").split())
 
+#: Words beside a mark that leave it a mark.
+COMPANIONS = frozenset((
+    "area bar block body bottom box btn button buttons col column container content group holder icon icons inner item items left link links list "
+    "main module outer page panel region right row section site slot text top unit wrap wrapper zone").split())
+
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(" + RAW + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)/?>|([^<]+|<)", re.S | re.I)
@@ -76,8 +83,10 @@ def _is_side(name: str, attributes: str, inside_article: bool) -> bool:
         return False
     for found in MARK.finditer(attributes) if name not in PAGE else ():
         value = next(g for g in found.groups() if g is not None)
-        if not MARKS.isdisjoint(CUT.split(re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower())):
-            return True
+        for word in value.split():
+            parts = [w for w in CUT.split(re.sub(r"([a-z])([A-Z])", r"\1-\2", word).lower()) if w and not w.isdigit()]
+            if not MARKS.isdisjoint(parts) and all(w in MARKS or w in COMPANIONS for w in parts):
+                return True
     return bool(HIDDEN.search(attributes))
 
 
@@ -185,29 +194,28 @@ def containers(path: str) -> list[str]:
     return ["/" + "/".join(steps[:k]) for k in range(1, len(steps) + 1) if steps[k - 1] not in LEAVES] or [""]
 
 
-def is_slot(path: str) -> bool:
-    return not {"article", "main"}.isdisjoint(path.split("/"))
-
-
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """host, token (hash), path (null for texts), pages, occurrences, vector, free (characters), combined per task."""
+    """host, token (hash), path (null for texts), pages, occurrences, vector, free (characters), least and greatest hash of
+    the longest block of its pages, combined per task."""
     held: dict[tuple[str, int], list] = {}
 
     def out() -> pa.RecordBatch:
         keys, rows = list(held), list(held.values())
         batch = pa.RecordBatch.from_arrays([
             pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64()), pa.array([r[0] for r in rows], pa.string()),
-            *[pa.array([r[i] for r in rows], pa.int64()) for i in range(1, 5)]],
-            ["host", "token", "path", "pages", "occurrences", "vector", "free"])
+            *[pa.array([r[i] for r in rows], pa.int64()) for i in range(1, 7)]],
+            ["host", "token", "path", "pages", "occurrences", "vector", "free", "low", "high"])
         held.clear()
         return batch
 
     for batch in batches:
         for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
             seen: dict[int, list] = {}
+            longest = (0, 0)  # characters and token
             for path, text, linked, side in blocks(page):
                 token = _hash("t", path, text)
                 seen.setdefault(token, [None, 0, 0])[1] += 1
+                longest = max(longest, (len(text), token))
                 free = 0 if side else len(text) - linked
                 for at in containers(path):
                     row = seen.setdefault(_hash("p", at), [at, 0, 0])
@@ -215,11 +223,12 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     row[2] += free
             of_page = _hash(page or "")
             for token, (path, count, free) in seen.items():
-                row = held.setdefault((host, token), [path, 0, 0, 0, 0])
+                row = held.setdefault((host, token), [path, 0, 0, 0, 0, longest[1], longest[1]])
                 row[1] += 1
                 row[2] += count
                 row[3] ^= hash_pair(of_page, count if path is None else 1)
                 row[4] += free
+                row[5], row[6] = min(row[5], longest[1]), max(row[6], longest[1])
             if len(held) > HELD_TOKENS:
                 yield out()
     if held:
@@ -239,10 +248,11 @@ def host_of(url):
 def deduce_templates(pages: DataFrame) -> DataFrame:
     """host, content (path or null), texts (hashes of template texts): one row for each host with a template."""
     based = pages.select(host_of(F.col("url")).alias("host"), "html")
-    counted = map_arrow(based, _occurrences, "host string, token bigint, path string, pages bigint, occurrences bigint, vector bigint, free bigint")
+    counted = map_arrow(based, _occurrences, "host string, token bigint, path string, pages bigint, occurrences bigint, vector bigint, free bigint, low bigint, high bigint")
     tokens = counted.groupBy("host", "token").agg(
         F.min("path").alias("path"), F.sum("pages").alias("pages"), F.sum("occurrences").alias("occurrences"),
-        F.bit_xor("vector").alias("vector"), F.sum("free").alias("free"))
+        F.bit_xor("vector").alias("vector"), F.sum("free").alias("free"), F.min("low").alias("low"), F.max("high").alias("high")).where(
+        "path IS NOT NULL OR low < high")
     sizes = based.groupBy("host").agg(F.count("*").alias("host_pages"))
     valid = tokens.where(f"pages >= {LEAST_PAGES}").join(sizes, "host").where(F.col("pages") >= SUPPORT * F.col("host_pages"))
     classes = valid.groupBy("host", "host_pages", "vector", "pages").agg(
@@ -273,7 +283,7 @@ def main_text(page: str | None, content: str | None, template: frozenset[int]) -
         if name == "h1" and not side and above not in ("", "/html", "/html/body") and content != above and _below(content, above):
             content = above
     kept = [(path, text) for path, text, _, side in found if not side and _below(path, content)]
-    own = kept if is_slot(content) else [(p, t) for p, t in kept if _hash("t", p, t) not in template]
+    own = [(p, t) for p, t in kept if _hash("t", p, t) not in template]
     return "\n".join(text for _, text in own or kept)
 
 

@@ -459,3 +459,125 @@ def test_links_across_components_are_a_forest():
         return of
 
     assert parts(linked) == parts(true)
+
+
+def test_decontamination_by_a_real_shuffle(spark):
+    """Items of many lengths, a text of 50,000 words, and no broadcast anywhere: the same hits by both ways."""
+    draw = random.Random(8)
+    items = [(i, " ".join(f"q{draw.randrange(300)}" for _ in range(n))) for i, n in enumerate([1, 2, 2, 3, 5, 9, 10, 11, 30, 30, 40])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    long = " ".join(f"z{i}" for i in range(50_000)).split()
+    for k, (_, text) in enumerate(items[5:]):
+        long[1000 * k:1000 * k] = text.split()
+    rows = [(1, " ".join(long), "k"), (2, "x " + items[8][1] + " y", "k"), (2, "x " + items[8][1] + " y", "k"), (None, items[4][1], "k"), (3, "none of it", "k"), (4, None, "k")]
+    rows += [(10 + i, " ".join(f"q{draw.randrange(300)}" for _ in range(200)), "k") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _text_key string")
+
+    def brute(text):
+        words, hits, found = re.findall(r"[0-9a-z\x80-\U0010ffff]+", (text or "").lower()), set(), set()
+        for i, item in items:
+            item = item.split()
+            n = min(10, len(item))
+            grams = {tuple(item[k:k + n]) for k in range(len(item) - n + 1)}
+            for k in range(len(words) - n + 1):
+                if tuple(words[k:k + n]) in grams:
+                    hits |= set(range(k, k + n))
+                    found.add(str(i))
+        return sorted(hits), sorted(found)
+
+    expected = sorted(((i, *map(tuple, brute(t))) for i, t, _ in rows), key=str)
+    for bound in (0, 10_000):
+        threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            df = decontaminate.decontaminate(docs, bench, max_broadcast=bound)
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert ("BroadcastHashJoin" in plan) == (bound > 0)
+            got = sorted(((r.doc_id, tuple(r.hits), tuple(r.items)) for r in df.collect()), key=str)
+            clean = decontaminate.clean_documents(docs, bench, max_broadcast=bound)
+            assert clean.columns == docs.columns and {r.doc_id for r in clean.collect()} == {i for i, hits, _ in expected if not hits}
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        assert got == expected
+
+
+def test_one_vector_on_several_rows_is_no_other_vector(spark):
+    rows = [(5, [1.0, 0.0, 2.0]), (5, [1.0, 0.0, 2.0]), (7, [1.0, 0.0, 2.0]), (8, [1.0, 0.0, 2.01]), (8, [1.0, 0.0, 2.01]), (9, [-1.0, 0.0, 0.0])]
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in lattice.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    assert got == [(5, 2, 5, True), (5, 2, 5, True), (7, 2, 5, False), (8, 2, 5, False), (8, 2, 5, False), (9, 0, 9, True)]
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+BSD2 = """Copyright (c) 2020, Someone. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+BSD3 = BSD2 + """
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS."""
+GPL3 = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY."""
+GPL2 = GPL3.replace("software: you", "software; you").replace("Foundation, either version 3", "Foundation; either version 2")
+MPL = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+
+
+def wrapped(text, width, mark):
+    import textwrap
+
+    lines = []
+    for paragraph in text.split("\n\n"):
+        lines += [f"{mark}{line}".rstrip() for line in textwrap.wrap(" ".join(paragraph.split()), width)] + [mark.rstrip()]
+    return "\n".join(lines)
+
+
+@pytest.mark.parametrize("text,licence", [
+    (MIT, "MIT"), (BSD2, "BSD-2-Clause"), (BSD3, "BSD-3-Clause"), (APACHE, "Apache-2.0"), (GPL3, "GPL-3.0-or-later"), (GPL2, "GPL-2.0-or-later"), (MPL, "MPL-2.0"),
+    ("GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007", "GPL-3.0")])
+def test_real_licence_texts(spark, text, licence):
+    """Whole paragraphs, wrapped at three widths, and as comments of four kinds, with code before and after."""
+    texts = [text, text.replace("\n", "\r\n")] + [wrapped(text, w, m) for w in (30, 72, 78) for m in ("", "# ", " * ", "// ", "-- ")]
+    texts += [f"int main();\n\n/*\n{wrapped(text, 72, ' * ')}\n */\nreturn 0;"]
+    if "GNU GENERAL" in text:
+        texts = [text, "# GNU GENERAL PUBLIC LICENSE\n#   Version 3, 29 June 2007\n#\n# Copyright"]
+    got = licences.scan_licences(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()
+    assert {tuple(r.licences) for r in got} == {(licence,)}
+
+
+def test_licence_notices(spark):
+    told = {
+        "Licensed under the MIT license, see LICENSE.": "MIT", "This file is released under the MIT License": "MIT", "// SPDX-License-Identifier: Apache-2.0\ncode();": "Apache-2.0",
+        "# SPDX-License-Identifier: MIT": "MIT", "The code is distributed\nunder the MIT license since 2010.": "MIT", "This package is licensed under the BSD 3-Clause License (see COPYING).": "BSD-3-Clause",
+        "Text without an end\nReleased under the MIT License.\nMore text": "MIT", "x\n\nSPDX-License-Identifier: GPL-3.0-or-later": "GPL-3.0-or-later"}
+    silent = ["Das Haus. mit. Garten", "This is not licensed under the MIT license, sorry.", "We discuss the MIT license and the Apache license here.", "mit license holders of the world"]
+    rows = [(t, n) for t, n in told.items()] + [(t, None) for t in silent]
+    got = {r.doc_id: r.licences for r in licences.scan_licences(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id int, text string")).collect()}
+    assert {t: got[i] for i, (t, _) in enumerate(rows)} == {t: [n] if n else [] for t, n in rows}
+
+
+def test_template_text_inside_articles(spark):
+    """A share line of every page goes, also in an article; text of copies stays; words that merely hold a mark are no marks."""
+    share = '<p class="x9">Pass this page on to your friends today</p>'
+    rows = [(i, f"http://a.example/{i}", f"<body><nav>Home</nav><article><h1>Head {i}</h1><p>Body {i} {'word ' * 30}</p>{share}<p>End {i} of it</p></article></body>") for i in range(6)]
+    body = f"<p>{'same text ' * 20}</p><p>and {'more of it ' * 9}</p>"
+    rows += [(10 + i, f"http://b.example/{i}", f"<html><body><div><h2>Heading {i}</h2>{body}</div></body></html>") for i in range(6)]
+    odd_names = '<h2 id="side-effects">Side effects</h2><section class="related-work"><p>Others found</p></section><p class="legal-basis">Paragraph nine</p>'
+    rows += [(20, "http://c.example/", f'<article><p>Before</p>{odd_names}<div class="ad-box">Buy</div><div class="site-footer">Imprint</div><div id="newsletter">Join</div></article>')]
+    got = {r.page_id: r.text for r in templates.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(6):
+        assert got[i] == f"Head {i}\nBody {i} {('word ' * 30).strip()}\nEnd {i} of it"
+        assert got[10 + i] == f"Heading {i}\n{('same text ' * 20).strip()}\nand {('more of it ' * 9).strip()}"
+    assert got[20] == "Before\nSide effects\nOthers found\nParagraph nine"
