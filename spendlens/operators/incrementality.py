@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import case, derive, money_sum, present, ratio_nz, ratio_pos, require, sign_label
 from ..sources.contracts import CELL, FEATURE_COLUMNS, INCREMENTALITY_COLUMNS
-from .marts import Unique, how_many, known_unique, merchant_rates, metrics, offer_terms, with_first_mark
+from .marts import Unique, counted_in_two_levels, how_many, merchant_rates, metrics, offer_terms
 from .matching import small_side
 
 TEST_AVERAGES = {
@@ -19,48 +19,59 @@ CONTROL_AVERAGES = {
 }
 
 
-def test_group_spend(matches: DataFrame, unique_ids: Unique = False) -> DataFrame:
+def _counted(df: DataFrame, columns: tuple[str, ...], unique_ids: Unique, two_level: bool):
+    """Rows and counts of the given id columns per offer cell and day."""
+    if not two_level:
+        return df, {c: how_many(c, unique_ids) for c in columns}
+    return counted_in_two_levels(df, ("transaction_date", *CELL[1:]), columns, unique_ids)
+
+
+def test_group_spend(matches: DataFrame, unique_ids: Unique = False, two_level: bool = False) -> DataFrame:
     """Cards, transactions, redemptions, spend and reward of the test group per offer cell and day.
 
-    With unique redemption ids two distinct counts are left. Transactions are then counted in two levels: one row of
-    each is marked within its cell, and the marks are added up beside the distinct cards, so no row is multiplied.
+    With `two_level` the counts of ids are taken without multiplying rows: see `counted_in_two_levels`. Cards are
+    counted distinct in any case.
     """
     needed = (
         "matched_redemption_id", "transaction_id", "offer_id", "campaign_id", "merchant_id",
         "tokenized_cardmember_id", "transaction_date", "transaction_amount", "calculated_reward_amount",
     )
     amounts_ok = (F.col("transaction_amount") >= 0) & (F.col("calculated_reward_amount") >= 0)
-    usable = require(matches, needed, "matches").filter(present(*needed) & amounts_ok)
-    cell = ("transaction_date", *CELL[1:])
-    transactions = how_many("transaction_id", unique_ids)
-    if known_unique("matched_redemption_id", unique_ids) and not known_unique("transaction_id", unique_ids):
-        usable = with_first_mark(usable.select(*needed), cell, "transaction_id", "__first")
-        transactions = F.count_if("__first")
+    usable = require(matches, needed, "matches").filter(present(*needed) & amounts_ok).select(*needed)
+    ids = ("matched_redemption_id", "transaction_id", "tokenized_cardmember_id")
+    usable, counts = _counted(usable, ids, _but_cards(unique_ids), two_level)
     grouped = usable.groupBy(F.col("transaction_date").alias("business_date"), *CELL[1:]).agg(
-        F.countDistinct("tokenized_cardmember_id").alias("test_cardmember_count"),
-        transactions.alias("test_transaction_count"),
-        how_many("matched_redemption_id", unique_ids).alias("test_redemption_count"),
+        counts["tokenized_cardmember_id"].alias("test_cardmember_count"),
+        counts["transaction_id"].alias("test_transaction_count"),
+        counts["matched_redemption_id"].alias("test_redemption_count"),
         money_sum("transaction_amount").alias("total_test_spend_amount"),
         money_sum("calculated_reward_amount").alias("total_test_reward_amount"),
     )
     return derive(grouped, TEST_AVERAGES)
 
 
-def control_group_spend(control: DataFrame, unique_ids: Unique = False) -> DataFrame:
+def control_group_spend(control: DataFrame, unique_ids: Unique = False, two_level: bool = False) -> DataFrame:
     """Cards, transactions and spend of the control group per offer cell and day."""
     needed = (
         "control_transaction_id", "offer_id", "campaign_id", "merchant_id", "tokenized_cardmember_id",
         "transaction_date", "transaction_amount",
     )
-    usable = require(control, needed, "control").filter(present(*needed) & (F.col("transaction_amount") >= 0))
+    usable = require(control, needed, "control").filter(present(*needed) & (F.col("transaction_amount") >= 0)).select(*needed)
+    usable, counts = _counted(usable, ("control_transaction_id", "tokenized_cardmember_id"), _but_cards(unique_ids), two_level)
     grouped = usable.groupBy(F.col("transaction_date").alias("business_date"), *CELL[1:]).agg(
-        F.countDistinct("tokenized_cardmember_id").alias("control_cardmember_count"),
-        how_many("control_transaction_id", unique_ids).alias("control_transaction_count"),
+        counts["tokenized_cardmember_id"].alias("control_cardmember_count"),
+        counts["control_transaction_id"].alias("control_transaction_count"),
         money_sum("transaction_amount").alias("total_control_spend_amount"),
     )
     return derive(grouped, CONTROL_AVERAGES)
 
 
+def _but_cards(unique_ids: Unique) -> tuple[str, ...]:
+    """Ids that are unique; a card never is, as it buys more than once."""
+    every = ("matched_redemption_id", "transaction_id", "control_transaction_id")
+    return every if unique_ids is True else tuple(c for c in unique_ids or () if c in every)
+
+
 LIFT = {
     "lift_per_cardmember": "average_test_spend_per_cardmember - average_control_spend_per_cardmember",
     "lift_direction": sign_label("lift_per_cardmember", "positive_lift", "negative_lift", "no_lift"),

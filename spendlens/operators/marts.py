@@ -40,6 +40,19 @@ def with_first_mark(df: DataFrame, by: Sequence[str], column: str, mark: str) ->
     return df.withColumn(mark, F.row_number().over(one) == 1)
 
 
+def counted_in_two_levels(df: DataFrame, by: Sequence[str], columns: Sequence[str], unique: Unique) -> tuple[DataFrame, dict[str, Column]]:
+    """`df` with the marks it needs, and the count of each column: all but the last are marked, the last is counted distinct.
+
+    One distinct count is left, so Spark multiplies no row; columns known to be unique are plainly counted.
+    """
+    open_ones = [c for c in columns if not known_unique(c, unique)]
+    counts = {c: how_many(c, unique) for c in columns}
+    for c in open_ones[:-1]:
+        df = with_first_mark(df, by, c, f"__first_{c}")
+        counts[c] = F.count_if(f"__first_{c}")
+    return df, counts
+
+
 def metrics(name_columns: Sequence[str], prefix: str) -> list[str]:
     """Mart columns without the metadata triplet."""
     return [c for c in name_columns if not c.startswith((f"{prefix}_pipeline", f"{prefix}_rule", f"{prefix}_created"))]

@@ -667,13 +667,9 @@ def category_performance(d):
 # ============================================================== incrementality, profitability, risk
 
 
-#: Both are line numbers of the source tables; one transaction may have several lines in a cell.
-LINE_IDS = ("matched_redemption_id", "control_transaction_id")
-
-
 @once
 def lifted(d: Domain) -> DataFrame:
-    return inc.lift(inc.test_group_spend(d.test, LINE_IDS), inc.control_group_spend(d.control, LINE_IDS))
+    return inc.lift(inc.test_group_spend(d.test, two_level=True), inc.control_group_spend(d.control, two_level=True))
 
 
 @once
@@ -693,12 +689,12 @@ def risks(d: Domain) -> DataFrame:
 
 @query("SELECT * FROM {test_cells}")
 def test_group_spend(d):
-    return inc.test_group_spend(d.test, LINE_IDS)
+    return inc.test_group_spend(d.test, two_level=True)
 
 
 @query("SELECT * FROM {control_cells}")
 def control_group_spend(d):
-    return inc.control_group_spend(d.control, LINE_IDS)
+    return inc.control_group_spend(d.control, two_level=True)
 
 
 @query("SELECT * FROM {lifted}")
@@ -1282,7 +1278,7 @@ EVENT_SQL = f"""SELECT {hashed('fraud_', 't.transaction_id', 'risk_rule_id')} AS
        t.transaction_date AS event_date, CASE WHEN t.risk_score >= 0.90 THEN 'open' WHEN t.risk_score >= 0.75
        THEN 'reviewed' ELSE 'confirmed_false_positive' END AS risk_event_status,
        k.risk_rule_description AS risk_event_description
-       FROM (SELECT *, least(transaction_amount / 100, 1.0) AS risk_score, CASE transaction_status WHEN 'refunded' THEN
+       FROM (SELECT *, round(least(transaction_amount / 100, 1.0), 4) AS risk_score, CASE transaction_status WHEN 'refunded' THEN
              'refund_after_reward' ELSE 'high_redemption_velocity' END AS risk_rule_name FROM {{tx}}) t
        JOIN {{risk_rule}} k ON k.risk_rule_name = t.risk_rule_name AND k.is_active
        LEFT JOIN (SELECT transaction_id, min(redemption_id) AS redemption_id FROM {{redeemed}} GROUP BY 1) r
@@ -1294,7 +1290,7 @@ def risk_event_rows(d: Domain) -> DataFrame:
     rule = F.expr("CASE transaction_status WHEN 'refunded' THEN 'refund_after_reward' "
                   "ELSE 'high_redemption_velocity' END")
     hits = d.tx.withColumns(
-        {"risk_score": F.least(F.col("transaction_amount") / 100, F.lit(1.0)), "risk_rule_name": rule})
+        {"risk_score": F.round(F.least(F.col("transaction_amount") / 100, F.lit(1.0)), 4), "risk_rule_name": rule})
     return abuse.risk_events(hits, d.risk_rule, redeemed(d))
 
 

@@ -105,11 +105,17 @@ def test_flagship_multiplies_no_rows(spark, small, name):
 
 
 def test_two_level_counts_equal_distinct_counts(spark):
-    """Transactions with several lines, several cards and several cells."""
+    """Repeated ids of all three kinds: transactions with several lines, cards and cells, redemptions on several rows."""
     cells = spark.range(3000).selectExpr(
-        "id AS matched_redemption_id", "id % 97 AS transaction_id", "id % 5 AS offer_id", "id % 2 AS campaign_id", "id % 3 AS merchant_id",
+        "id % 701 AS matched_redemption_id", "id % 97 AS transaction_id", "id % 5 AS offer_id", "id % 2 AS campaign_id", "id % 3 AS merchant_id",
         "id % 11 * (id % 97) AS tokenized_cardmember_id", "date_add(DATE '2024-01-01', CAST(id % 4 AS INT)) AS transaction_date",
         "CAST(id AS DOUBLE) / 8 AS transaction_amount", "1D AS calculated_reward_amount")
-    plain, staged = (incrementality.test_group_spend(cells, unique) for unique in (False, ("matched_redemption_id",)))
+    plain, staged = (incrementality.test_group_spend(cells, two_level=two) for two in (False, True))
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, staged.select(*plain.columns).collect()))
     assert "Expand" in plan(plain) and "Expand" not in plan(staged)
+    control = cells.withColumnRenamed("matched_redemption_id", "control_transaction_id")
+    plain, staged = (incrementality.control_group_spend(control, two_level=two) for two in (False, True))
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, staged.select(*plain.columns).collect()))
+    assert "Expand" in plan(plain) and "Expand" not in plan(staged)
+    one = incrementality.test_group_spend(cells, ("matched_redemption_id",), two_level=True)
+    assert plan(one).count("row_number") < plan(incrementality.test_group_spend(cells, two_level=True)).count("row_number")
