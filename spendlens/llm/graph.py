@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from spendlens.llm.common import stored
 
 
+def _signature(edges: DataFrame):
+    return edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, component (its smallest reachable node) for every node of `edges` (a, b: bigint, a != b, no nulls).
 
@@ -16,7 +20,8 @@ def components(edges: DataFrame) -> DataFrame:
     is never held in one task. Ends when a round changes nothing.
     """
     now = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    while True:
+    before = _signature(now)
+    while before["n"]:
         # Large star: larger neighbours of u go to the least of u and its neighbours.
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
@@ -25,11 +30,10 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").unionAll(
             low.select("a", F.col("m").alias("b"))).distinct()
-        then = stored(small, "edges")
-        same = then.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first() \
-            == now.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
-        now = then
-        if same:
+        now = stored(small, "edges")
+        after = _signature(now)
+        if after == before:
             break
+        before = after
     roots = now.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
     return roots.unionAll(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -119,55 +119,68 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, rounds: int = 5
     return w
 
 
-def log_likelihood_ratio(a: int, b: int, n_a: int, n_b: int) -> float:
+def log_likelihood_ratios(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int) -> np.ndarray:
+    """Of shares a / n_a and b / n_b being one share; 0 where all or none of the rows count."""
     def part(k, n, p):
-        return (k * log(k / (n * p)) if k else 0.0) + ((n - k) * log((n - k) / (n * (1 - p))) if n - k else 0.0)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return np.where(k > 0, k * np.log(k / (n * p)), 0) + np.where(n > k, (n - k) * np.log((n - k) / (n * (1 - p))), 0)
     p = (a + b) / (n_a + n_b)
-    return 2 * (part(a, n_a, p) + part(b, n_b, p)) if 0 < p < 1 else 0.0
+    return np.where((p > 0) & (p < 1), 2 * (part(a, n_a, p) + part(b, n_b, p)), 0.0)
 
 
-def fit(texts: list[Collection[bytes]], labels: list[int], base: float) -> ToxicityModel:
-    """Dictionaries from two of three rows, calibration on the others; `base` is the share of label 1 to calibrate for."""
+def fit(words: list[bytes], texts: list[np.ndarray], labels: list[int], base: float) -> ToxicityModel:
+    """Dictionaries from two of three rows, calibration on the others; `base` is the share of label 1 to calibrate for.
+
+    `words` is sorted; a text is the rising numbers of its distinct windows in it.
+    """
     constant = ToxicityModel(base)
     check = list(zip(texts[::3], labels[::3]))
     learn = [(t, y) for i, (t, y) in enumerate(zip(texts, labels)) if i % 3]
     bad, good = [t for t, y in learn if y], [t for t, y in learn if not y]
     if not bad or not good or len({y for _, y in check}) < 2:
         return constant
-    in_bad, in_good = Counter(w for t in bad for w in t), Counter(w for t in good for w in t)
-    ratio = {w: log_likelihood_ratio(n, in_good[w], len(bad), len(good)) for w, n in in_bad.items() if n / len(bad) > in_good[w] / len(good)}
-    telling = {w for w, r in ratio.items() if r > SIGNIFICANT} or set(sorted(ratio, key=lambda w: (-ratio[w], w))[:10])
-    if not telling:
+    in_bad, in_good = (np.bincount(np.concatenate(part), minlength=len(words)) for part in (bad, good))
+    ratio = np.where(in_bad / len(bad) > in_good / len(good), log_likelihood_ratios(in_bad, in_good, len(bad), len(good)), -1.0)
+    telling = np.flatnonzero(ratio > SIGNIFICANT)
+    if not len(telling):
+        telling = np.sort(np.argsort(-ratio, kind="stable")[:min(10, int((ratio >= 0).sum()))])
+    if not len(telling):
         return constant
-    ordinary = [b" " + w + b" " for t in good for w in sorted(t)]
-    ordinary = [ordinary[i] for i in np.random.default_rng(7).permutation(len(ordinary))[:ORDINARY_WINDOWS]]
-    toxic = [b" " + w + b" " for t in bad for w in sorted(telling.intersection(t))]
+    of_good = np.concatenate(good)
+    of_good = of_good[np.random.default_rng(7).permutation(len(of_good))[:ORDINARY_WINDOWS]]
+    ordinary = [b" " + words[i] + b" " for i in of_good]
+    toxic = [b" " + words[i] + b" " for t in bad for i in np.intersect1d(t, telling)]
     if not ordinary or not toxic:
         return constant
     model = ToxicityModel(base, _dictionary(TOXIC_BYTES, toxic), _dictionary(ORDINARY_BYTES, ordinary))
     y = np.array([y for _, y in check], float)
-    weights = logistic(model.features([t for t, _ in check]), y)
+    weights = logistic(model.features([[words[i] for i in t] for t, _ in check]), y)
     drawn, base = y.mean(), min(max(base, 1e-4), 1 - 1e-4)
     weights[0] += log(base / (1 - base)) - log(drawn / (1 - drawn))
     model.weights = weights
+    model.memory.clear()
     return model
 
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame, usable: Column | None = None, rows: int = SAMPLE_ROWS) -> ToxicityModel:
     """A model from at most `rows` labelled documents, and at most SAMPLE_WORDS distinct words of each."""
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [sorted(sorted(windows(t)), key=hash_of)[:SAMPLE_WORDS] for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(found, pa.list_(pa.binary()))], ["doc_id", "label", "words"])
 
     sample = labelled_sample(docs, labels, "toxic", rows, usable)
     kind = sample.schema["doc_id"].dataType.simpleString()
-    shared: dict[bytes, bytes] = {}  # one object for each word of the sample
-    got = [(hash_of(str(r["doc_id"]).encode()), r["label"], tuple(shared.setdefault(bytes(w), bytes(w)) for w in r["words"]))
-           for r in map_arrow(sample, words, f"doc_id {kind}, label int, words array<binary>").toLocalIterator()]
+    numbers: dict[bytes, int] = {}  # a text is held as the numbers of its words
+    got = [(hash_of(str(r["doc_id"]).encode()), r["label"], np.array([numbers.setdefault(bytes(w), len(numbers)) for w in r["words"]], np.int32))
+           for r in map_arrow(sample, sampled, f"doc_id {kind}, label int, words array<binary>").toLocalIterator()]
     got.sort(key=lambda r: r[:2])
+    words = sorted(numbers)
+    place = np.empty(len(words), np.int32)
+    place[[numbers[w] for w in words]] = np.arange(len(words))
+    del numbers
     seen = labels.where(F.col("toxic").isin(0, 1) & (usable if usable is not None else F.lit(True))).agg(F.avg("toxic")).first()[0]
-    return fit([r[2] for r in got], [r[1] for r in got], float(seen or 0.0))
+    return fit(words, [np.sort(place[r[2]]) for r in got], [r[1] for r in got], float(seen or 0.0))
 
 
 def hash_of(word: bytes) -> int:
