@@ -31,7 +31,7 @@ from spendlens.llm.common import map_arrow
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
-MEMORY = 200_000
+MEMORY = 300_000
 
 
 class PieceModel:
@@ -69,7 +69,8 @@ class PieceModel:
             self.automaton.add_word(p, p)
         self.automaton.make_automaton()
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.memory: dict[str, tuple[int, bytes, str]] = {}
+        self.memory: dict[str, bytes] = {}
+        self.changed: dict[str, str] = {}
 
     def merge(self, symbols: list[str]) -> list[str]:
         """Plain merging: again and again the best-scored neighbouring pair, the leftmost of equals."""
@@ -121,29 +122,41 @@ class PieceModel:
             at -= len(piece)
         return taken
 
-    def encode_part(self, part: str) -> tuple[int, bytes, str]:
-        """Number of ids, ids as little-endian int32, decoded text."""
+    def encode_part(self, part: str) -> bytes:
+        """Ids of a part as little-endian int32; its decoded text is held apart if it is not the part itself."""
         ids: list[int] = []
         for piece in self.backtrack(part):
             known = self.ids.get(piece)
             ids += [known] if known is not None else [self.byte_ids[b] for b in piece.encode()]
-        return len(ids), np.array(ids, "<i4").tobytes(), self.decode_ids(ids)
+        decoded = self.decode_ids(ids)
+        if decoded != part.replace(SPACE, " "):
+            self.changed[part] = decoded
+        return np.array(ids, "<i4").tobytes()
 
     def encode(self, text: str) -> tuple[int, bytes, str]:
+        """Number of ids, ids as little-endian int32, the text decoded from them."""
         if not text:
             return 0, b"", ""
         memory, got = self.memory, []
-        for part in self.parts(SPACE + text.replace(" ", SPACE)):
+        if len(memory) > MEMORY:
+            self.forget()
+        parts = self.parts(SPACE + text.replace(" ", SPACE))
+        for part in parts:
             found = memory.get(part)
             if found is None:
-                if len(memory) > MEMORY:
-                    memory.clear()
                 found = self.encode_part(part)
                 if len(part) <= 64:
                     memory[part] = found
             got.append(found)
-        decoded = "".join([g[2] for g in got])
-        return sum([g[0] for g in got]), b"".join([g[1] for g in got]), decoded[1:] if decoded.startswith(" ") else decoded
+        raw = b"".join(got)
+        # A part decodes to itself, with its spaces, unless it is held in `changed`.
+        changed = self.changed
+        decoded = ("".join([changed.get(p, p) for p in parts]) if changed else "".join(parts)).replace(SPACE, " ")
+        return len(raw) // 4, raw, decoded[1:] if decoded.startswith(" ") else decoded
+
+    def forget(self) -> None:
+        self.memory.clear()
+        self.changed.clear()
 
     def decode_ids(self, ids) -> str:
         """Text of ids in which every run of byte pieces holds whole or broken UTF-8; no leading space is dropped."""
@@ -193,7 +206,7 @@ def encode_documents(docs: DataFrame, model_file: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(counts, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), flat), pa.array(decoded, pa.string())],
                     ["doc_id", "n_tokens", "ids", "decoded"])
-        _MODELS[key].memory.clear()  # the worker is used again by other stages
+        _MODELS[key].forget()  # the worker is used again by other stages
         _MODELS[key].pairs.clear()
 
     return map_arrow(docs.select("doc_id", F.col("text")), run, f"doc_id {id_type}, n_tokens bigint, ids array<int>, decoded string")
