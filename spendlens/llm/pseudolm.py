@@ -5,7 +5,8 @@ network knows units: the corpus's most frequent tokens, and hashed buckets for t
 square root of that of the distinct tokens. It sees the SIDE units on either side of a masked position and predicts the
 unit in two steps, its class and its place in the class. A token of a bucket has the bucket's probability times its
 share of it, n / (total of the bucket + 1), from the table of all counts, which is joined and never gathered; what is
-left of a bucket goes to a token that the corpus does not hold. The network is
+left of a bucket goes to a token that the corpus does not hold. Texts are split once, into a stored table of their units
+and of their tokens in buckets, which all rounds and the scores read. The network is
 trained in numpy: in each round every task starts from the same weights, takes gradient steps on the masked positions
 (a hash picks MASKED of them) of all its documents and gives its weights, which are averaged by the number of
 positions, in a tree, so that the driver adds up at most MERGED of them. Scores sum up the log-probabilities of all
@@ -21,6 +22,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import compress
 from math import isqrt
 
 import numpy as np
@@ -73,8 +75,9 @@ def unpacked(flat: np.ndarray) -> dict[str, np.ndarray]:
 
 def token_counts(docs: DataFrame) -> DataFrame:
     """token, n over all documents."""
-    words = F.split(lower_ascii(F.col("text")), r"[ \t\n\x0B\f\r]+")
-    return docs.select(F.explode_outer(words).alias("token")).where("token <> ''").groupBy("token").agg(F.count("*").alias("n"))
+    words = docs.select(F.explode_outer(F.split("text", r"[ \t\n\x0B\f\r]+")).alias("word")).where("word <> ''")
+    written = words.groupBy("word").agg(F.count("*").alias("n"))  # lower-casing each way of writing once is cheaper than whole texts
+    return written.groupBy(lower_ascii(F.col("word")).alias("token")).agg(F.sum("n").alias("n"))
 
 
 def split_tokens(text: str | None) -> list[bytes]:
@@ -99,16 +102,16 @@ class WindowModel:
 
     def stream(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Padded ids of several texts, the positions of their tokens, and the number of tokens of each."""
-        rows = [self.tokens(t) for t in texts]
-        gap = [PAD] * SIDE
-        flat = list(gap)
-        for r in rows:
-            flat += r
-            flat += gap
-        counts = np.array([len(r) for r in rows], np.int64)
-        starts = SIDE + np.r_[0, np.cumsum(counts + SIDE)[:-1]] if len(rows) else np.empty(0, np.int64)
-        where = np.repeat(starts - np.r_[0, np.cumsum(counts)[:-1]], counts) + np.arange(counts.sum()) if len(rows) else np.empty(0, np.int64)
-        return np.array(flat, np.int64), where, counts
+        return padded([np.array(self.tokens(t), np.int64) for t in texts])
+
+
+def padded(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Units of several texts with SIDE gaps around each, the positions of the units, and the number of units of each."""
+    counts = np.array([len(r) for r in rows], np.int64)
+    where = np.repeat(SIDE * np.arange(1, len(rows) + 1), counts) + np.arange(counts.sum())
+    flat = np.full(counts.sum() + SIDE * (len(rows) + 1), PAD, np.int64)
+    flat[where] = np.concatenate([np.empty(0, np.int64), *rows])
+    return flat, where, counts
 
 
 def counted_model(docs: DataFrame) -> WindowModel:
@@ -135,26 +138,56 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
 
 def _hidden(w, ids: np.ndarray, at: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     context = [ids[at + k] for k in OFFSETS]
-    return context, np.tanh(sum(w["window"][k][c] for k, c in enumerate(context)) + w["bias"])
+    hidden = w["window"][0].take(context[0], axis=0)
+    for k, c in enumerate(context[1:], 1):
+        hidden += w["window"][k].take(c, axis=0)
+    hidden += w["bias"]
+    return context, np.tanh(hidden, out=hidden)
+
+
+def _by_class(ids: np.ndarray, at: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+    """An order of the positions by the class of their units, classes and places in that order, and (class, from, to) of those met."""
+    kind, place = np.divmod(ids[at], classes)
+    order = np.argsort(kind, kind="stable")
+    kind, place = kind[order], place[order]
+    bounds = np.searchsorted(kind, np.arange(classes + 1)).tolist()
+    return order, kind, place, [(c, i, j) for c, (i, j) in enumerate(zip(bounds, bounds[1:])) if i < j]
+
+
+def _place_logits(w, hidden: np.ndarray, met: list[tuple[int, int, int]]) -> np.ndarray:
+    out = np.empty((len(hidden), w["place_bias"].shape[1]), np.float32)
+    for c, i, j in met:
+        np.matmul(hidden[i:j], w["place"][c], out=out[i:j])
+        out[i:j] += w["place_bias"][c]
+    return out
+
+
+def _most(weights: np.ndarray, bias: np.ndarray) -> float:
+    """No logit is further from 0: hidden values lie between -1 and 1."""
+    return float((np.abs(weights).sum(-2) + np.abs(bias)).max())
+
+
+def _log_chosen(logits: np.ndarray, chosen: np.ndarray, most: float) -> np.ndarray:
+    """Log-softmax of one column of each row; `logits`, none of which is further from 0 than `most`, are used up."""
+    if most > 60:  # else no exponential is out of range
+        logits -= logits.max(1, keepdims=True)
+    mine = logits[np.arange(len(logits)), chosen].astype(float)
+    np.exp(logits, out=logits)
+    return mine - np.log(logits.sum(1))
 
 
 def log_probabilities(flat: np.ndarray, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Natural log-probability of the unit at each position, given those around it."""
     w, classes = unpacked(flat), classes_in(flat)
-    out = np.empty(len(at))
+    out, most = np.empty(len(at)), (_most(w["kind"], w["kind_bias"]), _most(w["place"], w["place_bias"]))
     for start in range(0, len(at), BLOCK):
         here = at[start:start + BLOCK]
-        _, hidden = _hidden(w, ids, here)
-        kind, place = np.divmod(ids[here], classes)
-        rows = np.arange(len(here))
-        p = _softmax(hidden @ w["kind"] + w["kind_bias"])[rows, kind]
-        order = np.argsort(kind, kind="stable")
-        bounds = np.searchsorted(kind[order], np.arange(classes + 1))
-        for c in range(classes):
-            of = order[bounds[c]:bounds[c + 1]]
-            if len(of):
-                p[of] *= _softmax(hidden[of] @ w["place"][c] + w["place_bias"][c])[np.arange(len(of)), place[of]]
-        out[start:start + BLOCK] = np.log(np.maximum(p, 1e-30))
+        order, kind, place, met = _by_class(ids, here, classes)
+        _, hidden = _hidden(w, ids, here[order])
+        logits = hidden @ w["kind"]
+        logits += w["kind_bias"]
+        logs = _log_chosen(logits, kind, most[0]) + _log_chosen(_place_logits(w, hidden, met), place, most[1])
+        out[start + order] = np.maximum(logs, np.log(1e-30))
     return out
 
 
@@ -165,46 +198,82 @@ def train_on(flat: np.ndarray, ids: np.ndarray, at: np.ndarray, squares: np.ndar
     def step(name: str, at, g: np.ndarray) -> None:
         # Weights without a gradient don't move, so only the rows that were met are touched.
         g /= n
-        sums[name][at] += g * g
-        w[name][at] -= RATE * g / np.sqrt(sums[name][at] + 1e-10)
+        total = sums[name][at] + g * g
+        sums[name][at] = total
+        total += 1e-10
+        np.sqrt(total, out=total)
+        g *= RATE
+        g /= total
+        w[name][at] -= g
 
     for start in range(0, len(at), BATCH):
         here = at[start:start + BATCH]
         n = len(here)
-        context, hidden = _hidden(w, ids, here)
-        kind, place = np.divmod(ids[here], classes)
+        order, kind, place, met = _by_class(ids, here, classes)
+        context, hidden = _hidden(w, ids, here[order])
         wrong = _softmax(hidden @ w["kind"] + w["kind_bias"])
         wrong[np.arange(n), kind] -= 1
         back = wrong @ w["kind"].T
         step("kind", ..., hidden.T @ wrong)
         step("kind_bias", ..., wrong.sum(0))
-        order = np.argsort(kind, kind="stable")
-        bounds = np.searchsorted(kind[order], np.arange(classes + 1))
-        for c in range(classes):
-            of = order[bounds[c]:bounds[c + 1]]
-            if len(of):
-                wrong = _softmax(hidden[of] @ w["place"][c] + w["place_bias"][c])
-                wrong[np.arange(len(of)), place[of]] -= 1
-                back[of] += wrong @ w["place"][c].T
-                step("place", c, hidden[of].T @ wrong)
-                step("place_bias", c, wrong.sum(0))
+        wrong = _softmax(_place_logits(w, hidden, met))
+        wrong[np.arange(n), place] -= 1
+        g = np.empty((len(met), WIDTH, classes), np.float32)
+        for k, (c, i, j) in enumerate(met):
+            back[i:j] += wrong[i:j] @ w["place"][c].T
+            np.matmul(hidden[i:j].T, wrong[i:j], out=g[k])
+        classes_met = ... if len(met) == classes else [c for c, _, _ in met]
+        step("place", classes_met, g)
+        step("place_bias", classes_met, np.add.reduceat(wrong, [i for _, i, _ in met], axis=0))
         back *= 1 - hidden * hidden
         step("bias", ..., back.sum(0))
         for k, c in enumerate(context):
-            met, row = np.unique(c, return_inverse=True)
-            g = np.zeros((len(met), WIDTH), np.float32)
-            np.add.at(g, row, back)
-            step("window", (k, met), g)
+            alike = np.argsort(c, kind="stable")
+            c = c[alike]
+            first = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])
+            step("window", (k, c[first]), np.add.reduceat(back[alike], first, axis=0))
+
+
+def _kind_of_units(classes: int) -> str:
+    return "<u2" if classes <= 256 else "<u4"
+
+
+def encoded(docs: DataFrame, model: WindowModel) -> DataFrame:
+    """row, doc_id, units (as binary), rare (the tokens that stand in buckets, by spaces), times (how often) of every document; stored."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    ids, classes = model.ids, classes_in(model.flat)
+    buckets = buckets_of(classes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        get = ids.get
+        for whole in batches:
+            for start in range(0, whole.num_rows, 500):
+                batch = whole.slice(start, 500)
+                words = [split_tokens(t) for t in batch.column("text").to_pylist()]
+                units = [np.array([get(t) or 1 + zlib.crc32(t) % buckets for t in row], _kind_of_units(classes)) for row in words]
+                found = [Counter(compress(row, (of <= buckets).tolist())) for row, of in zip(words, units)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), pa.array([u.tobytes() for u in units], pa.binary()),
+                     pa.array([b" ".join(f) for f in found], pa.binary()).cast(pa.string()), pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))],
+                    ["doc_id", "units", "rare", "times"])
 
+    found = map_arrow(docs.select("doc_id", "text"), run, f"doc_id {kind}, units binary, rare string, times array<int>")
+    return stored(found.withColumn("row", F.monotonically_increasing_id()), "units")
 
-def _trained(batches: Iterator[pa.RecordBatch], ids: dict[bytes, int], flat: np.ndarray) -> Iterator[pa.RecordBatch]:
-    model, weights, squares, seen = WindowModel(ids, flat), flat.copy(), np.zeros(len(flat), np.float32), 0
+
+def _streams(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
     for whole in batches:
         for start in range(0, whole.num_rows, 500):
-            tokens, at, _ = model.stream(whole.slice(start, 500).column("text").to_pylist())
-            at = at[(at * 2654435761 + tokens[at] * 40503) % 65536 < MASKED * 65536]
-            train_on(weights, tokens, at, squares)
-            seen += len(at)
+            batch = whole.slice(start, 500)
+            yield batch, *padded([np.frombuffer(u, kind) for u in batch.column("units").to_pylist()])
+
+
+def _trained(batches: Iterator[pa.RecordBatch], flat: np.ndarray) -> Iterator[pa.RecordBatch]:
+    weights, squares, seen = flat.copy(), np.zeros(len(flat), np.float32), 0
+    for _, tokens, at, _ in _streams(batches, _kind_of_units(classes_in(flat))):
+        at = at[(at * 2654435761 + tokens[at] * 40503) % 65536 < MASKED * 65536]
+        train_on(weights, tokens, at, squares)
+        seen += len(at)
     if seen:
         yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([weights.tobytes()], pa.binary())], ["seen", "weights"])
 
@@ -219,55 +288,55 @@ def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([(total / seen).astype(np.float32).tobytes()], pa.binary())], ["seen", "weights"])
 
 
-def train(docs: DataFrame, rounds: int = ROUNDS) -> WindowModel:
-    model = counted_model(docs)
-    texts = docs.select("text").where("text is not null")
-    schema = "seen bigint, weights binary"
+def _train_rounds(model: WindowModel, units: DataFrame, rounds: int) -> None:
+    texts, schema = units.select("units"), "seen bigint, weights binary"
     for _ in range(rounds):
-        ids, flat = model.ids, model.flat
-        parts = map_arrow(texts, lambda b: _trained(b, ids, flat), schema)
+        flat = model.flat
+        parts = map_arrow(texts, lambda b: _trained(b, flat), schema)
         for width in (max(MERGED, isqrt(texts.rdd.getNumPartitions())), MERGED):
             parts = map_arrow(parts.repartition(width, F.crc32("weights")), _averaged, schema)
         rows = parts.collect()  # MERGED rows of one model's size at most
         if rows:
             seen = np.array([r["seen"] for r in rows], float)
             model.flat = (np.array([np.frombuffer(r["weights"], np.float32) for r in rows]) * (seen / seen.sum())[:, None]).sum(0).astype(np.float32)
-    return model
 
 
-def _rare(words: list[list[bytes]], ids: dict[bytes, int]) -> pa.ListArray:
-    """The tokens of each text that stand in buckets, and how often."""
-    found = [Counter(t for t in row if t not in ids) for row in words]
-    pairs = pa.StructArray.from_arrays([
-        pa.array([t for row in found for t in row], pa.binary()).cast(pa.string()), pa.array([n for row in found for n in row.values()], pa.int64())],
-        ["token", "times"])
-    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(row) for row in found])], pa.int32()), pairs)
+def train(docs: DataFrame, rounds: int = ROUNDS) -> WindowModel:
+    model = counted_model(docs)
+    _train_rounds(model, encoded(docs, model), rounds)
+    return model
 
 
 def score_documents(docs: DataFrame, model: WindowModel) -> DataFrame:
     """doc_id, n_tokens, log_likelihood (sum, natural log), mean_log_likelihood, pseudo_perplexity."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    return _scored(encoded(docs, model), model)
+
+
+def train_and_score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """The scores of the documents that the network learns from, which are split once."""
+    model = counted_model(docs)
+    units = encoded(docs, model)
+    _train_rounds(model, units, rounds)
+    return _scored(units, model)
+
+
+def _scored(units: DataFrame, model: WindowModel) -> DataFrame:
+    kind, flat, totals = units.schema["doc_id"].dataType.simpleString(), model.flat, model.totals
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, 500):
-                batch = whole.slice(start, 500)
-                texts = batch.column("text").to_pylist()
-                tokens, at, counts = model.stream(texts)
-                logs = np.r_[0.0, np.cumsum(log_probabilities(model.flat, tokens, at) - model.totals[tokens[at]])]
-                ends = np.cumsum(counts)
-                sums = logs[ends] - logs[ends - counts]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts), pa.array(sums), _rare([split_tokens(t) for t in texts], model.ids)],
-                                                 ["doc_id", "n_tokens", "units", "rare"])
-
-    scored = map_arrow(docs.select("doc_id", "text"), run, f"doc_id {kind}, n_tokens bigint, units double, rare array<struct<token:string,times:bigint>>")
+        for batch, tokens, at, counts in _streams(batches, _kind_of_units(classes_in(flat))):
+            logs = log_probabilities(flat, tokens, at) - totals[tokens[at]]
+            sums = np.bincount(np.repeat(np.arange(len(counts)), counts), logs, len(counts)).astype(float)  # from left to right within each text
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(counts), pa.array(sums)], ["row", "doc_id", "n_tokens", "units"])
+
+    scored = map_arrow(units.select("row", "doc_id", "units"), run, f"row bigint, doc_id {kind}, n_tokens bigint, units double")
     log_likelihood = F.col("units")
     if model.counts is not None:
         # What a bucket's tokens have of it: their counts; a count of 1 adds nothing, nor does a token that was never seen.
-        scored = stored(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
         often = model.counts.where("n > 1").select("token", F.round(F.log("n") * STEP).cast("long").alias("steps"))
-        added = scored.select("row", F.inline("rare")).join(often, "token").groupBy("row").agg(F.sum(F.col("times") * F.col("steps")).alias("steps"))
-        scored = scored.drop("rare").join(added, "row", "left")
+        pairs = units.select("row", F.inline(F.arrays_zip(F.split("rare", " ").alias("token"), "times")))
+        added = pairs.join(often.hint("shuffle_hash"), "token").groupBy("row").agg(F.sum(F.col("times") * F.col("steps")).alias("steps"))
+        scored = scored.join(added, "row", "left")
         log_likelihood = F.col("units") + F.coalesce("steps", F.lit(0)) / F.lit(STEP)
     summed = scored.select("doc_id", "n_tokens", log_likelihood.alias("log_likelihood"))
     mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))

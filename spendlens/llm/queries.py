@@ -40,8 +40,7 @@ def op4_main_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    return pseudolm.score_documents(docs, pseudolm.train(docs))
+    return pseudolm.train_and_score(table(spark, folder, "documents").select("doc_id", "text"))
 
 
 def op6_near_vectors(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,7 +6,7 @@ import hashlib
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
@@ -581,3 +581,60 @@ def test_template_text_inside_articles(spark):
         assert got[i] == f"Head {i}\nBody {i} {('word ' * 30).strip()}\nEnd {i} of it"
         assert got[10 + i] == f"Heading {i}\n{('same text ' * 20).strip()}\nand {('more of it ' * 9).strip()}"
     assert got[20] == "Before\nSide effects\nOthers found\nParagraph nine"
+
+
+def test_scores_split_texts_once_and_are_those_of_the_network_itself(spark, docs, monkeypatch):
+    some = docs.select("doc_id", F.concat("text", F.lit(" Zebra ZEBRA zebra")).alias("text")).limit(60).coalesce(1).cache()
+    tables, stored = [], pseudolm.stored
+    monkeypatch.setattr(pseudolm, "stored", lambda df, name: tables.append(name) or stored(df, name))
+    got = {r.doc_id: r for r in pseudolm.train_and_score(some).collect()}
+    assert tables == ["tokens", "units"]
+    model = pseudolm.train(some)
+    counts = {r.token: r.n for r in pseudolm.token_counts(some).collect()}
+    w, classes = pseudolm.unpacked(model.flat), pseudolm.classes_in(model.flat)
+    texts = {r.doc_id: r.text for r in some.collect()}
+    assert counts == Counter(t.decode() for text in texts.values() for t in pseudolm.split_tokens(text)) and counts["zebra"] >= 180
+
+    def log_softmax(x):
+        return x - np.log(np.exp(x).sum())
+
+    for doc_id in sorted(texts)[:8]:
+        words = pseudolm.split_tokens(texts[doc_id])
+        units = [0, 0, *model.tokens(texts[doc_id]), 0, 0]
+        total = 0.0
+        for i, word in enumerate(words, 2):
+            seen = [units[i + k] for k in pseudolm.OFFSETS]
+            hidden = np.tanh(sum(w["window"][k][u].astype(float) for k, u in enumerate(seen)) + w["bias"])
+            kind, place = divmod(units[i], classes)
+            total += log_softmax(hidden @ w["kind"] + w["kind_bias"])[kind] + log_softmax(hidden @ w["place"][kind] + w["place_bias"][kind])[place]
+            if word not in model.ids:
+                total += np.log(counts[word.decode()]) - model.totals[units[i]]
+        assert got[doc_id].n_tokens == len(words) and np.isclose(got[doc_id].log_likelihood, total, rtol=1e-5)
+
+
+def test_training_steps_are_those_of_a_plain_network():
+    classes, draw = 32, np.random.default_rng(4)
+    flat = pseudolm.start_weights(classes) * 4
+    ids = draw.integers(0, classes * classes, 900) // draw.integers(1, 40, 900)
+    at = np.sort(draw.choice(np.arange(2, 898), 300, replace=False))
+    want = flat.astype(float)
+    w, g = pseudolm.unpacked(want), pseudolm.unpacked(np.zeros(len(flat)))
+    for i in at:
+        seen = [ids[i + k] for k in pseudolm.OFFSETS]
+        hidden = np.tanh(sum(w["window"][k][u] for k, u in enumerate(seen)) + w["bias"])
+        kind, place = divmod(ids[i], classes)
+        p, q = np.exp(hidden @ w["kind"] + w["kind_bias"]), np.exp(hidden @ w["place"][kind] + w["place_bias"][kind])
+        p, q = p / p.sum(), q / q.sum()
+        p[kind] -= 1
+        q[place] -= 1
+        back = (w["kind"] @ p + w["place"][kind] @ q) * (1 - hidden ** 2)
+        for name, at_, part in (("kind", ..., np.outer(hidden, p)), ("kind_bias", ..., p), ("place", kind, np.outer(hidden, q)), ("place_bias", kind, q), ("bias", ..., back)):
+            g[name][at_] += part / len(at)
+        for k, u in enumerate(seen):
+            g["window"][k, u] += back / len(at)
+    flat_g = np.concatenate([x.ravel() for x in g.values()])
+    want -= pseudolm.RATE * flat_g / np.sqrt(flat_g ** 2 + 1e-10)
+    pseudolm.train_on(flat, ids, at, squares := np.zeros(len(flat), np.float32))
+    assert np.allclose(squares, flat_g ** 2, rtol=1e-3, atol=1e-9) and np.abs(flat - want).max() < 2e-3
+    big = flat * 300  # logits whose exponentials are out of range
+    assert np.isfinite(pseudolm.log_probabilities(big, ids, at)).all()
