@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import pickle
 import tempfile
 import uuid
 import zipfile
@@ -55,6 +56,15 @@ def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
+def learnt(sample: DataFrame, learn: Callable[[list[pa.RecordBatch]], object]):
+    """What `learn` makes of a bounded sample: computed in one task, so that the driver gets a model and no rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(learn(list(batches)))], pa.binary())], ["model"])
+
+    rows = map_arrow(sample.repartition(1), run, "model binary").collect()
+    return pickle.loads(rows[0]["model"]) if rows else learn([])  # no task where Spark knows that there are no rows
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...], rows: int) -> Iterator[pa.Table]:
     """Tables of whole groups, from batches that are sorted by the integer columns `names`; about `rows` rows each."""
     held = None

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spendlens.llm.common import labelled_sample, map_arrow
+from spendlens.llm.common import labelled_sample, learnt, map_arrow
 from spendlens.llm.toxicity import logistic
 
 LABELLED, POOL, ROUNDS, GIVEN = 2000, 2000, 4, 60
@@ -192,12 +192,17 @@ def learn_quality(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED,
         _TOKENS.clear()
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    got = map_arrow(rows, run, f"doc_id {kind}, label int, x binary, m binary").collect()  # fixed size for each row
-    got.sort(key=lambda r: zlib.crc32(str(r["doc_id"]).encode()))
     seen = labels.where(F.col("quality").isin(0, 1)).agg(F.avg("quality")).first()[0]
-    x = np.array([np.frombuffer(r["x"], "<f4") for r in got], float).reshape(len(got), DIMENSIONS)
-    m = np.array([np.frombuffer(r["m"]) for r in got]).reshape(len(got), 2 * PLACES + LAYOUT)
-    return co_train(x, m, np.array([r["label"] for r in got], int), 1.0 if seen is None else float(seen))
+    base = 1.0 if seen is None else float(seen)
+
+    def fitted(batches: list[pa.RecordBatch]) -> QualityModel:
+        got = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("doc_id", "label", "x", "m")))]
+        got.sort(key=lambda r: (zlib.crc32(str(r[0]).encode()), str(r[0])))
+        x = np.array([np.frombuffer(r[2], "<f4") for r in got], float).reshape(len(got), DIMENSIONS)
+        m = np.array([np.frombuffer(r[3]) for r in got]).reshape(len(got), 2 * PLACES + LAYOUT)
+        return co_train(x, m, np.array([r[1] for r in got], int), base)
+
+    return learnt(map_arrow(rows, run, f"doc_id {kind}, label int, x binary, m binary"), fitted)  # fixed size for each row
 
 
 def with_quality(docs: DataFrame, model: QualityModel, column: str = "quality") -> DataFrame:

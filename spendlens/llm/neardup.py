@@ -312,6 +312,19 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int,
     return map_arrow(joined, judge, "a bigint, b bigint").distinct()
 
 
+def joined_components(nodes: DataFrame, first: DataFrame, more: DataFrame) -> DataFrame:
+    """`nodes` with the component of each `node`, its own number if it has no links: what `first` (node, component) becomes by further links `more` (a, b).
+
+    Only components that `more` links are contracted again, as nodes by their least number.
+    """
+    label = first.select(F.col("node").alias("end"), F.col("component").alias("label"))
+    for end in ("a", "b"):
+        more = more.join(label.withColumnRenamed("end", end), end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
+    merged = components(more.where("a <> b")).select(F.col("node").alias("label"), F.col("component").alias("merged"))
+    labelled = nodes.join(first, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+    return labelled.join(merged, "label", "left").withColumn("component", F.coalesce("merged", "label")).drop("label", "merged")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row."""
     light = stored(sketches(docs, words), "sketches")
@@ -333,9 +346,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     labelled = shared.select("key", "node").join(first, "node", "left").select("key", "node", F.coalesce("component", "node").alias("label"))
     mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
     more = stored(_across(stored(labelled.join(mixed, "key"), "mixed"), classes, docs, words, percent), "links")
-    final = components(links.unionAll(more))
-
-    by_node = classes.select("digest", "node").join(final, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
+    by_node = joined_components(classes.select("digest", "node"), first, more).select("digest", F.col("component").alias("component_id"))
     rows = light.select("doc_id", "n_shingles", F.when(F.expr("doc_id is not null and n_shingles > 0"), F.col("digest")).alias("digest"))
     found = rows.join(by_node, "digest", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

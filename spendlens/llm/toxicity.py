@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spendlens.llm.common import labelled_sample, map_arrow
+from spendlens.llm.common import labelled_sample, learnt, map_arrow
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LEVEL, PAD = 19, b" " * 24
@@ -166,21 +166,25 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, usable: Column | None = N
     """A model from at most `rows` labelled documents, and at most SAMPLE_WORDS distinct words of each."""
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sorted(sorted(windows(t)), key=hash_of)[:SAMPLE_WORDS] for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(found, pa.list_(pa.binary()))], ["doc_id", "label", "words"])
+            found = [b" ".join(sorted(sorted(windows(t)), key=hash_of)[:SAMPLE_WORDS]) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(found, pa.binary())], ["doc_id", "label", "words"])
 
     sample = labelled_sample(docs, labels, "toxic", rows, usable)
     kind = sample.schema["doc_id"].dataType.simpleString()
-    numbers: dict[bytes, int] = {}  # a text is held as the numbers of its words
-    got = [(hash_of(str(r["doc_id"]).encode()), r["label"], np.array([numbers.setdefault(bytes(w), len(numbers)) for w in r["words"]], np.int32))
-           for r in map_arrow(sample, sampled, f"doc_id {kind}, label int, words array<binary>").toLocalIterator()]
-    got.sort(key=lambda r: r[:2])
-    words = sorted(numbers)
-    place = np.empty(len(words), np.int32)
-    place[[numbers[w] for w in words]] = np.arange(len(words))
-    del numbers
     seen = labels.where(F.col("toxic").isin(0, 1) & (usable if usable is not None else F.lit(True))).agg(F.avg("toxic")).first()[0]
-    return fit(words, [np.sort(place[r[2]]) for r in got], [r[1] for r in got], float(seen or 0.0))
+
+    def fitted(batches: list[pa.RecordBatch]) -> ToxicityModel:
+        numbers: dict[bytes, int] = {}  # a text is held as the numbers of its words
+        got = [(hash_of(str(i).encode()), str(i), y, np.array([numbers.setdefault(w, len(numbers)) for w in found.as_py().split()], np.int32))
+               for b in batches for i, y, found in zip(b.column("doc_id").to_pylist(), b.column("label").to_pylist(), b.column("words"))]
+        got.sort(key=lambda r: r[:2])
+        words = sorted(numbers)
+        place = np.empty(len(words), np.int32)
+        place[[numbers[w] for w in words]] = np.arange(len(words))
+        del numbers
+        return fit(words, [np.sort(place[r[3]]) for r in got], [r[2] for r in got], float(seen or 0.0))
+
+    return learnt(map_arrow(sample, sampled, f"doc_id {kind}, label int, words binary"), fitted)
 
 
 def hash_of(word: bytes) -> int:

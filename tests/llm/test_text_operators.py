@@ -638,3 +638,32 @@ def test_training_steps_are_those_of_a_plain_network():
     assert np.allclose(squares, flat_g ** 2, rtol=1e-3, atol=1e-9) and np.abs(flat - want).max() < 2e-3
     big = flat * 300  # logits whose exponentials are out of range
     assert np.isfinite(pseudolm.log_probabilities(big, ids, at)).all()
+
+
+def test_learning_hands_the_driver_a_model_and_no_rows(spark, docs, small, monkeypatch):
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    frame, handed = type(docs), []
+    collect = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: handed.append(rows := collect(self)) or rows)
+    monkeypatch.setattr(frame, "toLocalIterator", lambda self, *a: iter(self.collect()))
+    cotraining.learn_quality(docs, labels)
+    toxicity.learn_toxicity(docs, labels)
+    assert sum(len(rows) for rows in handed) <= 4
+    empty = docs.limit(0)
+    assert cotraining.learn_quality(empty, labels.limit(0)).base == 1.0 and toxicity.learn_toxicity(empty, labels.limit(0)).base == 0.0
+
+
+def test_joined_components_are_those_of_all_links(spark):
+    draw = random.Random(8)
+    links = [tuple(draw.sample(range(60), 2)) for _ in range(25)]
+    more = [tuple(draw.sample(range(60), 2)) for _ in range(12)]
+    edges = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    nodes = spark.range(60).withColumnRenamed("id", "node")
+    want = list(range(60))
+    for _ in range(60):
+        for a, b in links + more:
+            want[a] = want[b] = min(want[a], want[b])
+    got = {r.node: r.component for r in neardup.joined_components(nodes, graph.components(edges(links)), edges(more)).collect()}
+    assert got == dict(enumerate(want))
+    none = {r.node: r.component for r in neardup.joined_components(nodes, graph.components(edges(links)), edges([])).collect()}
+    assert none == {r.node: r.component for r in nodes.join(graph.components(edges(links)), "node", "left").withColumn("component", F.coalesce("component", "node")).collect()}
