@@ -27,18 +27,16 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(lower_ascii(F.coalesce(text, F.lit(""))), WORD_GAP), lambda w: w != "")
 
 
-def _hashes(hashed: Column, length: int) -> Column:
-    """Hash of each run of `length` neighbours in an array of word hashes; empty where there are fewer."""
-    starts = F.sequence(F.lit(0), F.size(hashed) - F.lit(length))
-    runs = F.transform(starts, lambda i: F.xxhash64(*[F.get(hashed, i + k) for k in range(length)]))
-    return F.when(F.size(hashed) >= length, runs).otherwise(F.array().cast("array<bigint>"))
+def _run_hash(hashed: Column, start: Column, length: int) -> Column:
+    """Hash of `length` neighbours in an array of word hashes."""
+    return F.xxhash64(*[F.get(hashed, start + k) for k in range(length)])
 
 
 def item_windows(benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
-    """item_id, length, gram (array of words), hash: each distinct window of each item."""
+    """item_id, gram (array of words), hash: each distinct window of each item."""
     items = benchmark.select("item_id", words_of(F.col("text")).alias("words")).where("size(words) > 0")
     length = F.least(F.size("words"), F.lit(n))
-    grams = items.select("item_id", length.alias("length"), F.explode(F.transform(
+    grams = items.select("item_id", F.explode(F.transform(
         F.sequence(F.lit(1), F.size("words") - length + 1), lambda i: F.slice("words", i, length))).alias("gram")).distinct()
     hashes = F.coalesce(*[
         F.when(F.size("gram") == k, F.xxhash64(*[F.xxhash64(F.get("gram", F.lit(j))) for j in range(k)])) for k in range(1, n + 1)])
@@ -46,35 +44,39 @@ def item_windows(benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
 
 
 def _spots(base: DataFrame, lengths: list[int], *carried: str) -> DataFrame:
-    """The carried columns, pos, length, hash: one row for each window of each length.
+    """The carried columns, pos, hash: one row for each window of each length (some hashes are null for several lengths).
 
-    The outer form keeps Spark from testing the array in a filter of its own, which would hash every window twice.
+    Positions are exploded, not arrays of hashes: hashing and the join that follows then run in one generated loop, which
+    refers to the carried arrays of a document and does not copy them for each window. The outer form keeps Spark from
+    testing the array in a filter of its own, which would split every text twice.
     """
-    def placed(length: int) -> Column:
-        return F.transform(_hashes(F.col("hashed"), length), lambda h, i: F.struct(i.alias("pos"), F.lit(length).alias("length"), h.alias("hash")))
-
-    if len(lengths) == 1:
-        return base.select(*carried, F.posexplode_outer(_hashes(F.col("hashed"), lengths[0])).alias("pos", "hash"), F.lit(lengths[0]).alias("length"))
-    return base.select(*carried, F.explode_outer(F.concat(*[placed(k) for k in lengths])).alias("spot")).select(*carried, "spot.*")
+    words = F.size("hashed")
+    at = base.select(*carried, "hashed", F.explode_outer(
+        F.when(words >= lengths[0], F.sequence(F.lit(0), words - lengths[0]))).alias("pos")).where("pos IS NOT NULL")
+    first, *longer = [_run_hash(F.col("hashed"), F.col("pos"), k) for k in lengths]
+    if longer:
+        first = F.explode(F.array(first, *[F.when(F.col("pos") + k <= words, h) for k, h in zip(lengths[1:], longer)]))
+    return at.select(*carried, "pos", first.alias("hash"))
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """doc_id, text_key, item_id, pos (of the first hit word, from 0), length: each verified occurrence."""
     windows = item_windows(benchmark, n)
-    sizes = windows.groupBy("length").count().collect()  # n rows at most
+    sizes = windows.groupBy(F.size("gram").alias("length")).count().collect()  # n rows at most
     base = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), words_of(F.col("text")).alias("words"))
     hashed = base.withColumn("hashed", F.transform("words", lambda w: F.xxhash64(w)))
     lengths = sorted(r["length"] for r in sizes) or [n]
-    on = ["hash", "length"]
     if sum(r["count"] for r in sizes) <= max_broadcast:
-        found = _spots(hashed, lengths, "doc_id", "text_key", "words").join(F.broadcast(windows), on)
-        return found.where(F.slice("words", F.col("pos") + 1, F.col("length")) == F.col("gram")).select("doc_id", "text_key", "item_id", "pos", "length")
-    met = _spots(hashed, lengths, "doc_id", "text_key").join(windows, on)
-    spots = met.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("item_id", "pos", "length", "gram")).alias("spots"))
+        found = _spots(hashed, lengths, "doc_id", "text_key", "words").join(F.broadcast(windows), "hash")
+        # The size is the gram's: an equality with one table on each side would become a key, built for every window.
+        true = found.where(F.slice("words", F.col("pos") + 1, F.size("gram")) == F.col("gram"))
+        return true.select("doc_id", "text_key", "item_id", "pos", F.size("gram").alias("length"))
+    met = _spots(hashed, lengths, "doc_id", "text_key").join(windows, "hash")
+    spots = met.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("item_id", "pos", "gram")).alias("spots"))
     # Only documents that have met a hash fetch their words, once each.
     told = base.alias("b").join(spots.alias("s"), F.col("b.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("b.text_key") == F.col("s.text_key")))
-    true = F.filter("spots", lambda x: F.slice("words", x["pos"] + 1, x["length"]) == x["gram"])
-    return told.select("b.doc_id", "b.text_key", F.inline(true)).select("doc_id", "text_key", "item_id", "pos", "length")
+    true = F.filter("spots", lambda x: F.slice("words", x["pos"] + 1, F.size(x["gram"])) == x["gram"])
+    return told.select("b.doc_id", "b.text_key", F.inline(true)).select("doc_id", "text_key", "item_id", "pos", F.size("gram").alias("length"))
 
 
 def text_key(text: Column) -> Column:

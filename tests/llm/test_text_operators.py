@@ -501,6 +501,20 @@ def test_decontamination_by_a_real_shuffle(spark):
         assert got == expected
 
 
+def test_windows_are_looked_up_by_their_hash_alone(spark):
+    """The words of a window are compared where its hash is met; no window is built or copied to be looked up."""
+    ten = [f"w{i}" for i in range(10)]
+    rows = [(1, " ".join(["x", *ten])), (2, " ".join(ten)), (3, " ".join(ten[:9])), (4, " ".join([*ten, "y", "a", "b"])), (5, "a"), (6, "b a"), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for texts, expected in [([" ".join(ten)], {(1, 1, 10), (2, 0, 10), (4, 0, 10)}),
+                            ([" ".join(ten), "a b", "a"], {(1, 1, 10), (2, 0, 10), (4, 0, 10), (4, 11, 2), (4, 11, 1), (5, 0, 1), (6, 1, 1)})]:
+        found = decontaminate.find_hits(docs, spark.createDataFrame(list(enumerate(texts)), "item_id long, text string"))
+        assert sorted((r.doc_id, r.pos, r.length) for r in found.collect()) == sorted(expected)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert set(re.findall(r"BroadcastHashJoin \[(.*?)\], \[(.*?)\]", re.sub(r"#\d+L?", "", plan))) == {("hash", "hash")}
+        assert re.search(r"\*\(\d+\) Generate explode\(CASE", plan)  # in one generated loop with the join
+
+
 def test_one_vector_on_several_rows_is_no_other_vector(spark):
     rows = [(5, [1.0, 0.0, 2.0]), (5, [1.0, 0.0, 2.0]), (7, [1.0, 0.0, 2.0]), (8, [1.0, 0.0, 2.01]), (8, [1.0, 0.0, 2.01]), (9, [-1.0, 0.0, 0.0])]
     got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in lattice.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
