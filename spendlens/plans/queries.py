@@ -668,13 +668,17 @@ def category_performance(d):
 
 
 @once
+def group_lift(d: Domain) -> DataFrame:
+    return inc.group_lift(d.li, "line_id")
+
+
 def lifted(d: Domain) -> DataFrame:
-    return inc.lift(inc.test_group_spend(d.test, two_level=True), inc.control_group_spend(d.control, two_level=True))
+    return group_lift(d).drop(*inc.SHOWN_TERMS)
 
 
 @once
 def incremental(d: Domain) -> DataFrame:
-    return inc.with_context(inc.scaled_revenue(lifted(d)), d.cell_offer, d.merchant)
+    return inc.valued(inc.scaled_revenue(group_lift(d)), d.merchant)
 
 
 @once
